@@ -16,7 +16,7 @@ def class_sizes(df: DataFrame, label: str) -> DataFrame:
 
 def attach(df: DataFrame, label: str, table: DataFrame) -> DataFrame:
     """Add the columns of a class table to every row."""
-    return lookup.lookup_join(df, label, table, label, "n", null_safe=True)
+    return lookup.lookup_join(df, label, table.drop("n"), label, null_safe=True)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -65,9 +65,9 @@ def category_index(df: DataFrame, column: str, out: str = "label") -> DataFrame:
 
 def index_names(df: DataFrame, index: str, table: DataFrame, number: str, name: str, out: str) -> DataFrame:
     """Replace class numbers by names: add ``out`` from the (name, n, number) table."""
-    names = table.select(F.col(number).cast("double").alias("index__number"), F.col(name).alias(out), "n")
+    names = table.select(F.col(number).cast("double").alias("index__number"), F.col(name).alias(out))
     marked = df.withColumn("index__wanted", F.col(index).cast("double"))
-    return lookup.lookup_join(marked, "index__wanted", names, "index__number", "n").drop("index__wanted")
+    return lookup.lookup_join(marked, "index__wanted", names, "index__number").drop("index__wanted")
 
 
 def class_count(df: DataFrame, label: str) -> DataFrame:

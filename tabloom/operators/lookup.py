@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom import runtime
 
 
-def frequent_part(table: DataFrame, freq: str) -> DataFrame | None:
-    """The most frequent entries of a lookup table, few enough to broadcast; None if there are none.
+def _octave(freq: str) -> Column:
+    return F.floor(F.log2(F.greatest(freq, F.lit(1))))
 
-    Entries are counted per power of two of their frequency (at most 64 groups), and the
-    lowest power is taken at which the entries above still fit.
+
+def frequent_floor(table: DataFrame, freq: str) -> int | None:
+    """Smallest power-of-two exponent at which the entries that are at least so frequent fit a broadcast.
+
+    Entries are measured per power of two of their frequency, which gives at most 64 groups.
     """
-    octaves = table.groupBy(F.floor(F.log2(freq)).alias("octave")).agg(F.count("*").alias("n")).collect()
-    total, floor = 0, None
-    for octave, n in sorted(((r["octave"], r["n"]) for r in octaves), reverse=True):
-        total += n
-        if total > runtime.BROADCAST_ROWS:
+    octaves = (
+        table.groupBy(_octave(freq).alias("octave"))
+        .agg(F.count("*").alias("entries"), F.sum(runtime.row_bytes(table)).alias("size"))
+        .collect()
+    )
+    entries = size = 0
+    floor = None
+    for row in sorted(octaves, key=lambda r: -r["octave"]):
+        entries, size = entries + row["entries"], size + row["size"]
+        if not runtime.fits_broadcast(entries, size):
             break
-        floor = octave
-    return None if floor is None else table.filter(F.floor(F.log2(freq)) >= F.lit(floor))
+        floor = row["octave"]
+    return floor
 
 
 def lookup_join(
@@ -29,43 +37,38 @@ def lookup_join(
     column: str,
     table: DataFrame,
     key: str,
-    freq: str,
     *,
-    rows: int | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Left-join ``table`` on ``column``; entries that are not found give NULLs.
+    """Left-join ``table``, which holds one row per ``key``, on ``column`` of any skew.
 
-    ``table`` holds one row per ``key`` with the row count ``freq``, and should be stored.
-    A table counted to be small is broadcast. Of a larger one the frequent entries are
-    broadcast and only rows with rare values are shuffled, so no key can be hot.
+    A table measured to be small is broadcast; give a stored one, as it is read twice. Of a
+    larger table only the entries that ``df`` uses are kept, together with how often it
+    uses them. The frequent ones are broadcast, and only rows with rare values are
+    shuffled, so no key of the shuffle is hot, be it known to the table or not.
     """
-    rows = table.count() if rows is None else rows
-    values = [c for c in table.columns if c not in (key, freq)]
+    rows, size = table.agg(F.count("*"), F.sum(runtime.row_bytes(table))).first()
+    values = [c for c in table.columns if c != key]
+    right = table.select(F.col(key).alias("lookup__key"), *values)
+
+    def same(left: DataFrame) -> Column:
+        a, b = left[column], F.col("lookup__key")
+        return a.eqNullSafe(b) if null_safe else a == b
 
-    def right(part: DataFrame) -> DataFrame:
-        return part.select(F.col(key).alias("lookup__key"), *values)
+    if runtime.fits_broadcast(rows, size):
+        return df.join(F.broadcast(right), same(df), "left").drop("lookup__key")
 
-    same = (
-        F.col(column).eqNullSafe(F.col("lookup__key")) if null_safe else F.col(column) == F.col("lookup__key")
+    used = df.groupBy(column).agg(F.count("*").alias("lookup__n"))
+    found = runtime.materialize(
+        used.join(right, same(used), "left").select(F.col(column).alias("lookup__used"), "lookup__n", *values)
     )
-    if rows <= runtime.BROADCAST_ROWS:
-        return df.join(F.broadcast(right(table)), same, "left").drop("lookup__key")
-    nothing = {v: F.lit(None).cast(table.schema[v].dataType) for v in values}
-    head = frequent_part(table, freq)
-    parts, rest, tail = [], df, table
-    if head is not None:
-        floor = head.agg(F.min(freq)).first()[0]
-        tail = table.filter(F.col(freq) < F.lit(floor))
-        small = F.broadcast(right(head))
-        parts.append(df.join(small, same, "inner").drop("lookup__key"))
-        rest = df.join(F.broadcast(right(head).select("lookup__key")), same, "left_anti")
-    if not null_safe:
-        # missing values match nothing; keep them away from the shuffle, where they are one key
-        parts.append(rest.filter(F.col(column).isNull()).withColumns(nothing))
-        rest = rest.filter(F.col(column).isNotNull())
-    parts.append(rest.join(right(tail), same, "left").drop("lookup__key"))
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    return stacked
+    match = F.col(column).eqNullSafe(F.col("lookup__used"))
+    floor = frequent_floor(found, "lookup__n")
+    if floor is None:
+        return df.join(found.drop("lookup__n"), match).drop("lookup__used")
+    frequent = _octave("lookup__n") >= F.lit(floor)
+    head = F.broadcast(found.filter(frequent).drop("lookup__n"))
+    common = df.join(head, match)
+    rest = df.join(head.select("lookup__used"), match, "left_anti")
+    rare = rest.join(found.filter(~frequent).drop("lookup__n"), match)
+    return common.unionByName(rare).drop("lookup__used")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -153,10 +154,18 @@ def auc(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def classification_report(df: DataFrame, label: str, prediction: str, probability: str) -> DataFrame:
-    """Rows (metric, value): accuracy, balanced accuracy, recall, precision and AUC."""
-    scores = binary_scores(binary_counts(df, label, prediction)).unpivot([], list(BINARY_METRICS), "metric", "value")
-    area = auc(df, label, probability).unpivot([], ["auc"], "metric", "value")
-    return scores.unionByName(area)
+    """Rows (metric, value): accuracy, balanced accuracy, recall, precision and AUC.
+
+    Computed at once, because scoring is costly and three passes over its result are needed.
+    """
+    scored = df.select(label, prediction, probability).persist()
+    try:
+        scores = binary_scores(binary_counts(scored, label, prediction))
+        rows = scores.unpivot([], list(BINARY_METRICS), "metric", "value").toArrow()
+        area = auc(scored, label, probability).unpivot([], ["auc"], "metric", "value").toArrow()
+    finally:
+        scored.unpersist()
+    return df.sparkSession.createDataFrame(pa.concat_tables([rows, area]))
 
 
 def mean_over(df: DataFrame, metrics: Sequence[str]) -> DataFrame:

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tabloom import runtime
 
-_SKETCH = 10_000  # accuracy of percentile_approx: rank error is rows / _SKETCH
+_SKETCH = 5_000  # accuracy of percentile_approx: rank error is rows / _SKETCH
+_SLACK = 2 / _SKETCH  # distance of the bracket from the wanted rank, as a share of the rows
 
 
 @dataclass
@@ -68,27 +69,32 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
         wide = [t for t in open_targets if t.inside > runtime.SINGLE_TASK_ROWS]
         if not wide:
             break
+        # targets with the same bracket share one sketch and one set of counts
+        brackets: dict[tuple, list[_Target]] = {}
+        for t in wide:
+            brackets.setdefault((t.column, t.low, t.high), []).append(t)
         sketches = []
-        for i, t in enumerate(wide):
-            share, slack = (t.rank - t.below) / t.inside, 4 / _SKETCH
-            fractions = sorted({min(1.0, max(0.0, share + d)) for d in (-slack, 0.0, slack)})
+        for i, group in enumerate(brackets.values()):
+            t = group[0]
+            shares = {(g.rank - g.below) / g.inside + d for g in group for d in (-_SLACK, _SLACK)}
+            fractions = sorted({min(1.0, max(0.0, share)) for share in shares})
             sketches.append(
                 F.percentile_approx(F.when(t.mask(), F.col(t.column)), fractions, _SKETCH).alias(f"s{i}")
             )
         found = df.agg(*sketches).first()
-        tallies, plan = [], []
-        for i, t in enumerate(wide):
-            for j, value in enumerate(sorted(set(found[i]))):
-                x, mask = F.col(t.column), t.mask()
-                tallies.append(F.count_if(mask & (x < F.lit(value))).alias(f"l{i}_{j}"))
-                tallies.append(F.count_if(mask & (x == F.lit(value))).alias(f"e{i}_{j}"))
-                plan.append((i, value))
-        row = df.agg(*tallies).first()
-        borders: dict[int, list[tuple[float, int, int]]] = {}
-        for k, (i, value) in enumerate(plan):
-            borders.setdefault(i, []).append((value, row[2 * k], row[2 * k + 1]))
-        for i, t in enumerate(wide):
-            t.settle(borders[i])
+        borders = [sorted(set(values)) for values in found]
+        tallies = []
+        for values, group in zip(borders, brackets.values(), strict=True):
+            t = group[0]
+            x, mask = F.col(t.column), t.mask()
+            for value in values:
+                tallies.append(F.count_if(mask & (x < F.lit(value))).alias(f"c{len(tallies)}"))
+                tallies.append(F.count_if(mask & (x == F.lit(value))).alias(f"c{len(tallies)}"))
+        counted = iter(df.agg(*tallies).first())
+        for values, group in zip(borders, brackets.values(), strict=True):
+            cuts = [(value, next(counted), next(counted)) for value in values]
+            for t in group:
+                t.settle(cuts)
     rest = [t for t in targets if t.value is None]
     if rest:
         # every interval is counted to hold at most SINGLE_TASK_ROWS values; equal ones share a pass

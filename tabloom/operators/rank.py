@@ -76,15 +76,20 @@ def _offsets(sizes: DataFrame, bucket: str, within: Sequence[str], sums: Mapping
 
 
 def _attach(df: DataFrame, offsets: DataFrame, bucket: str, within: Sequence[str]) -> DataFrame:
-    """Equi-join on the bucket and, NULL-safe, on the group columns."""
+    """Equi-join on the bucket and, NULL-safe, on the group columns.
+
+    Every bucket has an offset. The join is an outer one all the same, because an inner
+    one makes Spark compute the bucket once more to test it for NULL. Called after the
+    window, so that offsets are not shuffled; both sides are grouped by the bucket already.
+    """
     if not within:
-        return df.join(offsets, bucket)
+        return df.join(offsets, bucket, "left")
     renamed = offsets.select(*[F.col(c).alias(f"{c}__right") if c in within else F.col(c) for c in offsets.columns])
     renamed = renamed.withColumnRenamed(bucket, f"{bucket}__right")
     match = F.col(bucket) == F.col(f"{bucket}__right")
     for c in within:
         match = match & F.col(c).eqNullSafe(F.col(f"{c}__right"))
-    return df.join(renamed, match).drop(f"{bucket}__right", *[f"{c}__right" for c in within])
+    return df.join(renamed, match, "left").drop(f"{bucket}__right", *[f"{c}__right" for c in within])
 
 
 def bucketed_rank(
@@ -105,12 +110,13 @@ def bucketed_rank(
     sizes = df.groupBy(*within, bucket).agg(F.count("*").alias("n__rows"))
     offsets = _offsets(sizes, bucket, within, {"n__rows": "n__rank"})
     local = Window.partitionBy(*within, bucket).orderBy(*order)
-    ranked = _attach(df, offsets, bucket, within).withColumn(
-        out, (F.row_number().over(local) + F.col("n__rank__before")).cast("long")
+    placed = df.withColumn("n__local", F.row_number().over(local))
+    ranked = _attach(placed, offsets, bucket, within).withColumn(
+        out, (F.col("n__local") + F.col("n__rank__before")).cast("long")
     )
     if total:
         ranked = ranked.withColumn(total, F.col("n__rank__total").cast("long"))
-    return ranked.drop(bucket, "n__rank__before", "n__rank__total")
+    return ranked.drop(bucket, "n__local", "n__rank__before", "n__rank__total")
 
 
 def running_sums(
@@ -125,12 +131,13 @@ def running_sums(
     sizes = df.groupBy(bucket).agg(*[F.sum(c).alias(c) for c in sums])
     offsets = _offsets(sizes, bucket, (), sums)
     local = Window.partitionBy(bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = _attach(df, offsets, bucket, ())
-    for source, out in sums.items():
-        joined = joined.withColumn(out, F.sum(source).over(local) + F.col(f"{out}__before"))
+    summed = df.withColumns({f"{out}__local": F.sum(source).over(local) for source, out in sums.items()})
+    joined = _attach(summed, offsets, bucket, ())
+    for out in sums.values():
+        joined = joined.withColumn(out, F.col(f"{out}__local") + F.col(f"{out}__before"))
         if totals:
             joined = joined.withColumn(f"{out}_total", F.col(f"{out}__total"))
-        joined = joined.drop(f"{out}__before", f"{out}__total")
+        joined = joined.drop(f"{out}__local", f"{out}__before", f"{out}__total")
     return joined.drop(bucket)
 
 

@@ -18,7 +18,9 @@ def tokenized(df: DataFrame, key: str, column: str, **options) -> DataFrame:
 
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Table (token, n)."""
-    return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    # a plain explode makes Spark test the array for emptiness first, which tokenizes every text again
+    words = df.select(F.explode_outer(tokens).alias("token")).filter(F.col("token").isNotNull())
+    return words.groupBy("token").agg(F.count("*").alias("n"))
 
 
 def first_occurrences(df: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
@@ -27,7 +29,7 @@ def first_occurrences(df: DataFrame, key: str, tokens: str = "tokens") -> DataFr
     Tokens of a row are combined before they leave their task, so frequent tokens cost one
     row per task.
     """
-    places = df.select(key, F.posexplode(tokens).alias("pos", "token"))
+    places = _places(df, key, tokens, "token").filter(F.col("token").isNotNull())
     return (
         places.groupBy("token")
         .agg(F.count("*").alias("n"), F.min(F.struct(F.col(key), F.col("pos"))).alias("first"))
@@ -71,6 +73,14 @@ def _places(df: DataFrame, key: str, column: str, item: str) -> DataFrame:
     return df.select(key, F.posexplode_outer(column).alias("pos", item))
 
 
+def _required(found: DataFrame, item: str, value: str) -> DataFrame:
+    """Fail on an element whose lookup found nothing."""
+    message = F.concat(F.lit(f"not in the vocabulary: {item} "), F.col(item).cast("string"))
+    lost = F.col("pos").isNotNull() & F.col(value).isNull()
+    kind = found.schema[value].dataType
+    return found.withColumn(value, F.when(lost, F.raise_error(message).cast(kind)).otherwise(F.col(value)))
+
+
 def _regroup(places: DataFrame, key: str, item: str, out: str) -> DataFrame:
     """Arrays in position order, one per key.
 
@@ -90,7 +100,6 @@ def encode(
     *,
     tokens: str = "tokens",
     out: str = "ids",
-    vocab_rows: int | None = None,
 ) -> DataFrame:
     """Table (key, ids): padded id sequences of exactly ``length``; unknown tokens become PAD.
 
@@ -98,7 +107,7 @@ def encode(
     up. ``key`` must identify a row.
     """
     kept = df.select(key, F.slice(tokens, 1, max(length - 1, 1)).alias("kept"))
-    found = lookup.lookup_join(_places(kept, key, "kept", "token"), "token", vocab, "token", "n", rows=vocab_rows)
+    found = lookup.lookup_join(_places(kept, key, "kept", "token"), "token", vocab.drop("n"), "token")
     known = found.withColumn("token_id", F.coalesce("token_id", F.lit(sequences.PAD)).cast("int"))
     return _regroup(known, key, "token_id", "known").select(key, sequences.pad_ids("known", length).alias(out))
 
@@ -111,12 +120,14 @@ def encode_strict(
     tokens: str = "tokens",
     out: str = "ids",
 ) -> DataFrame:
-    """Table (key, ids) without marks and padding; an unknown token is an error."""
-    lost = [row["token"] for row in unknown_tokens(df, vocab, tokens).take(5)]
-    if lost:
-        raise KeyError(f"tokens not in the vocabulary: {', '.join(sorted(lost))}")
-    found = lookup.lookup_join(_places(df, key, tokens, "token"), "token", vocab, "token", "n")
-    return _regroup(found.withColumn("token_id", F.col("token_id").cast("int")), key, "token_id", out)
+    """Table (key, ids) without marks and padding.
+
+    An unknown token fails the job when the result is computed; :func:`unknown_tokens`
+    lists them beforehand.
+    """
+    found = lookup.lookup_join(_places(df, key, tokens, "token"), "token", vocab.drop("n"), "token")
+    known = _required(found, "token", "token_id").withColumn("token_id", F.col("token_id").cast("int"))
+    return _regroup(known, key, "token_id", out)
 
 
 def decode(df: DataFrame, vocab: DataFrame, key: str, *, ids: str = "ids", skip: int = 1, out: str = "text") -> DataFrame:
@@ -126,9 +137,7 @@ def decode(df: DataFrame, vocab: DataFrame, key: str, *, ids: str = "ids", skip:
     """
     kept = df.select(key, F.slice(ids, skip + 1, F.greatest(F.size(ids), F.lit(1))).alias("kept"))
     wanted = _places(kept, key, "kept", "token_id").withColumn("token_id", F.col("token_id").cast("long"))
-    found = lookup.lookup_join(wanted, "token_id", vocab, "token_id", "n")
-    missing = F.raise_error(F.concat(F.lit("id not in the vocabulary: "), F.col("token_id").cast("string")))
-    checked = found.withColumn(
-        "token", F.when(F.col("pos").isNotNull() & F.col("token").isNull(), missing.cast("string")).otherwise(F.col("token"))
+    found = lookup.lookup_join(wanted, "token_id", vocab.drop("n"), "token_id")
+    return _regroup(_required(found, "token_id", "token"), key, "token", "words").select(
+        key, text.join_words("words").alias(out)
     )
-    return _regroup(checked, key, "token", "words").select(key, text.join_words("words").alias(out))

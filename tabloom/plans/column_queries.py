@@ -89,14 +89,14 @@ def calendar_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 @CATALOG.query(
     f"""WITH {SENSOR_SQL} SELECT strftime("timestamp", '%Y-%m-%d %H') AS hour_key,
-          round(power_elevator_01 + power_elevator_02 + power_ventilation, 6) AS total FROM sensor"""
+          round(power_elevator_01 + power_elevator_02 + power_ventilation, 8) AS total FROM sensor"""
 )
 def sum_columns(spark: SparkSession, folder: str) -> DataFrame:
     """Sums over columns with gaps: one gap makes the sum missing."""
     wide = sensor_table(spark, folder)
     summed = columns.sum_columns(wide, ["power_elevator_01", "power_elevator_02", "power_ventilation"], "total")
     return summed.select(
-        F.date_format("timestamp", "yyyy-MM-dd HH").alias("hour_key"), F.round("total", 6).alias("total")
+        F.date_format("timestamp", "yyyy-MM-dd HH").alias("hour_key"), F.round("total", 8).alias("total")
     )
 
 

@@ -10,7 +10,7 @@ from tabloom.functions import sequences, text
 from tabloom.operators import pairs, vocab
 from tabloom.plans import corpus
 from tabloom.plans.catalog import Catalog
-from tabloom.plans.standins import TURNS_SQL, sql_tokens, table, turns
+from tabloom.plans.standins import TURNS_SQL, sql_tokens, table, texts, turns
 from tabloom.sources import tables
 
 CATALOG = Catalog()
@@ -19,11 +19,11 @@ _LENGTH = 11
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return vocab.tokenized(table(spark, folder, "documents"), "doc_id", "text")
+    return vocab.tokenized(texts(spark, folder, "documents"), "doc_id", "text")
 
 
 def _french(spark: SparkSession, folder: str) -> DataFrame:
-    french = table(spark, folder, "documents").filter(F.col("lang") == "fr")
+    french = texts(spark, folder, "documents").filter(F.col("lang") == "fr")
     return vocab.tokenized(french, "doc_id", "text")
 
 
@@ -66,7 +66,7 @@ def tokenize(spark: SparkSession, folder: str) -> DataFrame:
 )
 def tokenize_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens with line breaks as separators."""
-    tokens = vocab.tokenized(table(spark, folder, "documents"), "doc_id", "text", newline_as_space=True)
+    tokens = vocab.tokenized(texts(spark, folder, "documents"), "doc_id", "text", newline_as_space=True)
     return tokens.select("doc_id", F.md5(text.join_words("tokens")).alias("digest"))
 
 

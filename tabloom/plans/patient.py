@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom import runtime
 from tabloom.operators import crossval, explain, metrics, models, scale, split
 
 
@@ -21,8 +22,13 @@ class Study:
     label: str
 
     def sides(self, *, test_fraction: float = 0.3, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-        """Train and test rows with equal class shares."""
-        parts = split.stratified_split(self.table, self.key, self.label, test_fraction, seed)
+        """Train and test rows with equal class shares.
+
+        The split rows are stored: everything that follows reads them several times, and
+        ranking them anew for each pass would cost a shuffle each.
+        """
+        columns = self.table.select(*self.key, *self.features, self.label)
+        parts = runtime.materialize(split.stratified_split(columns, self.key, self.label, test_fraction, seed))
         return parts.filter(F.col("split") == "train"), parts.filter(F.col("split") == "test")
 
 

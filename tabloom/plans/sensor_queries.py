@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom import runtime
 from tabloom.functions import calendar, numeric
-from tabloom.operators import classes, columns, metrics, profile
+from tabloom.operators import classes, columns, metrics, models, profile, split
 from tabloom.plans import sensor
 from tabloom.plans.catalog import Catalog
-from tabloom.plans.standins import SENSOR_SQL, table
+from tabloom.plans.standins import SENSOR_SQL, lines, table
 from tabloom.plans.standins import sensor as sensor_table
 
 CATALOG = Catalog()
@@ -18,8 +19,13 @@ CATALOG = Catalog()
 _LAYOUT = 8
 
 
+def _stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The hourly table, aggregated once for all passes of a fit."""
+    return runtime.materialize(sensor_table(spark, folder))
+
+
 def _rounded(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in names})
+    return df.withColumns({c: F.round(c, 8) for c in names})
 
 
 @CATALOG.query(
@@ -45,9 +51,9 @@ def accuracy_by_weekday(spark: SparkSession, folder: str) -> DataFrame:
 
 @CATALOG.query(
     f"""WITH {SENSOR_SQL} SELECT strftime("timestamp", '%Y-%m-%d %H') AS hour_key,
-          round(temperature, 6) AS temperature, round(humidity, 6) AS humidity,
-          round(power_water_cooling_01, 6) AS power_water_cooling_01,
-          round(power_solar_plant, 6) AS power_solar_plant FROM sensor"""
+          round(temperature, 8) AS temperature, round(humidity, 8) AS humidity,
+          round(power_water_cooling_01, 8) AS power_water_cooling_01,
+          round(power_solar_plant, 8) AS power_solar_plant FROM sensor"""
 )
 def hourly_wide(spark: SparkSession, folder: str) -> DataFrame:
     """The wide hourly table."""
@@ -58,9 +64,9 @@ def hourly_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 @CATALOG.query(
     f"""WITH {SENSOR_SQL} SELECT strftime("timestamp", '%Y-%m-%d %H') AS hour_key,
-          CAST(hour("timestamp") AS INT) AS hour, round(temperature, 6) AS temperature,
+          CAST(hour("timestamp") AS INT) AS hour, round(temperature, 8) AS temperature,
           round(power_water_cooling_01 + power_water_cooling_02 + power_ventilation + power_elevator_01
-            + power_elevator_02 + power_ev_charging, 6) AS total_power_consumption
+            + power_elevator_02 + power_ev_charging, 8) AS total_power_consumption
         FROM sensor WHERE temperature IS NOT NULL AND humidity IS NOT NULL AND power_solar_plant IS NOT NULL
           AND power_water_cooling_01 IS NOT NULL AND power_water_cooling_02 IS NOT NULL
           AND power_ventilation IS NOT NULL AND power_elevator_01 IS NOT NULL
@@ -79,8 +85,8 @@ def hour_features(spark: SparkSession, folder: str) -> DataFrame:
           CAST(dayofweek("timestamp") + 1 AS INT) AS weekday, dayname("timestamp") AS weekday_name,
           CAST(isodow("timestamp") AS INT) AS weekday_order,
           CAST(dayofweek("timestamp") IN (0, 6) AS INT) AS is_weekend,
-          round(power_water_cooling_01 + power_water_cooling_02, 6) AS total_water_cooling,
-          round(power_elevator_01 + power_elevator_02, 6) AS total_elevator
+          round(power_water_cooling_01 + power_water_cooling_02, 8) AS total_water_cooling,
+          round(power_elevator_01 + power_elevator_02, 8) AS total_elevator
         FROM sensor WHERE power_water_cooling_01 + power_water_cooling_02 IS NOT NULL
           AND power_ventilation IS NOT NULL AND power_elevator_01 + power_elevator_02 IS NOT NULL
           AND power_ev_charging IS NOT NULL AND power_solar_plant IS NOT NULL"""
@@ -114,7 +120,7 @@ _DEVICE_SQL = f"""WITH {SENSOR_SQL}, device AS (
 @CATALOG.query(
     f"""{_DEVICE_SQL} SELECT strftime("timestamp", '%Y-%m-%d %H') AS hour_key,
           CAST(hour("timestamp") AS INT) AS hour, CAST(month("timestamp") AS INT) AS month, device_type,
-          round(power_value, 6) AS power_value FROM device"""
+          round(power_value, 8) AS power_value FROM device"""
 )
 def melt_devices(spark: SparkSession, folder: str) -> DataFrame:
     """One row per reading and device type, from one scan."""
@@ -157,7 +163,7 @@ def class_names(spark: SparkSession, folder: str) -> DataFrame:
           SELECT device_type, row_number() OVER (ORDER BY count(*) DESC, device_type) - 1 AS label
           FROM device GROUP BY 1)
         SELECT d.device_type, round(sum(CASE WHEN i.label = CAST(floor(d.power_value) AS BIGINT) % 5
-            THEN 1 ELSE 0 END) / count(*) * 100.0, 6) AS accuracy
+            THEN 1 ELSE 0 END) / count(*) * 100.0, 8) AS accuracy
         FROM device d JOIN idx i ON d.device_type = i.device_type GROUP BY 1"""
 )
 def accuracy_by_device(spark: SparkSession, folder: str) -> DataFrame:
@@ -180,14 +186,14 @@ spreads AS (
 ordered AS (SELECT *, row_number() OVER (ORDER BY spread DESC, pos) AS r FROM spreads)"""
 
 
-@CATALOG.query(f"{_TOTALS_SQL} SELECT feature, round(spread, 6) AS spread FROM ordered")
+@CATALOG.query(f"{_TOTALS_SQL} SELECT feature, round(spread, 8) AS spread FROM ordered")
 def column_spreads(spark: SparkSession, folder: str) -> DataFrame:
     """Spread of all power columns in one pass."""
     totals = sensor.with_totals(sensor_table(spark, folder))
     return _rounded(profile.spreads(totals, sensor.POWER_FEATURES), ("spread",))
 
 
-@CATALOG.query(f"{_TOTALS_SQL} SELECT feature, round(spread, 6) AS spread FROM ordered WHERE r <= 2")
+@CATALOG.query(f"{_TOTALS_SQL} SELECT feature, round(spread, 8) AS spread FROM ordered WHERE r <= 2")
 def top_spread_columns(spark: SparkSession, folder: str) -> DataFrame:
     """The two power columns that vary most."""
     totals = sensor.with_totals(sensor_table(spark, folder))
@@ -210,8 +216,8 @@ def _pick(rank: int) -> str:
 
 @CATALOG.query(
     f"""{_TOTALS_SQL} SELECT * FROM (
-          SELECT strftime("timestamp", '%Y-%m-%d %H') AS hour_key, round(temperature, 6) AS temperature,
-            round(humidity, 6) AS humidity, round({_pick(1)}, 6) AS first_power, round({_pick(2)}, 6) AS second_power,
+          SELECT strftime("timestamp", '%Y-%m-%d %H') AS hour_key, round(temperature, 8) AS temperature,
+            round(humidity, 8) AS humidity, round({_pick(1)}, 8) AS first_power, round({_pick(2)}, 8) AS second_power,
             CASE WHEN month("timestamp") IN (4, 6, 9) THEN 0 ELSE 1 END AS label
           FROM totals WHERE "timestamp" IS NOT NULL)
         WHERE temperature IS NOT NULL AND humidity IS NOT NULL
@@ -232,8 +238,8 @@ def month_length_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @CATALOG.query(
-    """SELECT round(avg(CASE WHEN p = h THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
-         round(avg(least(abs(p - h), 24 - abs(p - h))), 6) AS mean_error
+    """SELECT round(avg(CASE WHEN p = h THEN 1.0 ELSE 0.0 END), 8) AS accuracy,
+         round(avg(least(abs(p - h), 24 - abs(p - h))), 8) AS mean_error
        FROM (SELECT hour(ts) AS h, floor(value * 7) % 24 AS p FROM events)"""
 )
 def cyclic_error(spark: SparkSession, folder: str) -> DataFrame:
@@ -245,13 +251,13 @@ def cyclic_error(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @CATALOG.query(
-    """SELECT event_type, round(avg(least(abs(p - h), 24 - abs(p - h))), 6) AS mean_distance
+    """SELECT event_type, round(avg(least(abs(p - h), 24 - abs(p - h))), 8) AS mean_distance
        FROM (SELECT event_type, hour(ts) AS h, floor(value * 7) % 24 AS p FROM events) GROUP BY 1"""
 )
 def cyclic_distance_by_type(spark: SparkSession, folder: str) -> DataFrame:
     """Mean circular distance per event type."""
     gap = numeric.cyclic_distance(F.hour("ts"), F.floor(F.col("value") * 7) % 24, 24)
-    return table(spark, folder, "events").groupBy("event_type").agg(F.round(F.avg(gap), 6).alias("mean_distance"))
+    return table(spark, folder, "events").groupBy("event_type").agg(F.round(F.avg(gap), 8).alias("mean_distance"))
 
 
 @CATALOG.query(
@@ -262,10 +268,10 @@ def cyclic_distance_by_type(spark: SparkSession, folder: str) -> DataFrame:
        per AS (
          SELECT k, (SELECT count(*) FROM ruled WHERE y = k) AS actual, (SELECT count(*) FROM ruled WHERE p = k) AS given,
            (SELECT count(*) FROM ruled WHERE p = k AND y = k) AS hits FROM c)
-       SELECT 'accuracy' AS metric, round(sum(hits) / sum(actual), 6) AS value FROM per
+       SELECT 'accuracy' AS metric, round(sum(hits) / sum(actual), 8) AS value FROM per
        UNION ALL
        SELECT 'weighted_precision',
-         round(sum(CASE WHEN given = 0 THEN 0 ELSE hits / given END * actual) / sum(actual), 6) FROM per"""
+         round(sum(CASE WHEN given = 0 THEN 0 ELSE hits / given END * actual) / sum(actual), 8) FROM per"""
 )
 def weighted_precision(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy and weighted precision of a fixed rule for long months."""
@@ -297,20 +303,20 @@ def rounded_percent(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query()
 def hour_forest_cyclic(spark: SparkSession, folder: str) -> DataFrame:
     """Forest for the hour of day: accuracy and mean circular distance."""
-    return sensor.hour_report(sensor.hour_case(sensor_table(spark, folder), layout=_LAYOUT).predictions)
+    return sensor.hour_report(sensor.hour_case(_stored(spark, folder), layout=_LAYOUT).predictions)
 
 
 @CATALOG.query()
 def weekend_forest_by_day(spark: SparkSession, folder: str) -> DataFrame:
     """Forest for the weekend: accuracy per weekday."""
-    scored = sensor.weekend_case(sensor_table(spark, folder), balance=True, layout=_LAYOUT)
+    scored = sensor.weekend_case(_stored(spark, folder), balance=True, layout=_LAYOUT)
     return sensor.weekend_report(scored.predictions)
 
 
 @CATALOG.query()
 def device_forest_by_type(spark: SparkSession, folder: str) -> DataFrame:
     """Forest for the device type: accuracy per type."""
-    return sensor.device_report(sensor.device_case(sensor_table(spark, folder), layout=_LAYOUT).predictions)
+    return sensor.device_report(sensor.device_case(_stored(spark, folder), layout=_LAYOUT).predictions)
 
 
 @CATALOG.query()
@@ -319,9 +325,6 @@ def top2_logit(spark: SparkSession, folder: str) -> DataFrame:
 
     The hourly table covers one month only, so the line items and their ship months are used.
     """
-    from tabloom.operators import models, split
-    from tabloom.plans.standins import lines
-
     rows = lines(spark, folder).withColumn("label", calendar.long_month_flag("l_shipdate", exact=True))
     measured = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     features = profile.top_spread_columns(rows, measured, 2)

@@ -10,6 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom import runtime
 from tabloom.functions import text
 from tabloom.plans.patient import Study
 from tabloom.sources import tables
@@ -19,6 +20,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tables.read_parquet(spark, os.path.join(folder, f"{name}.parquet"))
 
 
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table with costly columns; a scan of few tasks is spread over the cores."""
+    return runtime.spread(table(spark, folder, name))
+
+
 # Which events feed which sensor column: (event type, measured field).
 _SENSOR_FEEDS = {
     "temperature": ("view", "value"),
@@ -65,7 +71,7 @@ DOCUMENT_FEATURES = ("n_chars", "n_tokens", "distinct_ratio", "mean_token_length
 
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Numeric features of the labelled documents and the imbalanced 0/1 label ``quality``."""
-    docs = table(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    docs = texts(spark, folder, "documents").select("doc_id", "text", "n_chars")
     joined = docs.join(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id")
     tokens = joined.withColumn("tokens", text.tokenize("text"))
     words = F.size("tokens").cast("double")
@@ -113,7 +119,7 @@ def turns(spark: SparkSession, folder: str) -> DataFrame:
     The pair is found by an equi-join on (conversation, turn), which spreads even a
     conversation that holds much of the table.
     """
-    talk = table(spark, folder, "conversations")
+    talk = texts(spark, folder, "conversations")
     asked = talk.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("source"))
     answered = talk.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("target")
@@ -133,7 +139,7 @@ TURNS_SQL = """turns AS (
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with a unique key in one column."""
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return table(spark, folder, "lineitem").withColumn("line_id", key)
+    return texts(spark, folder, "lineitem").withColumn("line_id", key)
 
 
 LINES_SQL = """lines AS (

@@ -11,10 +11,13 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest lookup table that is sent to every executor.
-BROADCAST_ROWS = 200_000
+# Largest lookup table that is sent to every executor, by rows and by estimated bytes.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 128 << 20
 # Largest table that is ordered inside a single task.
 SINGLE_TASK_ROWS = 200_000
 
@@ -64,6 +67,25 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Estimated size of a row of plain columns: 16 bytes per column plus the text lengths."""
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return size
+
+
+def fits_broadcast(rows: int, size: int | None) -> bool:
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has fewer tasks than cores, which only a small input has."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def local_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> DataFrame:
     """Turn a few driver-side rows into a DataFrame whose exact size the optimizer knows."""
     return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
