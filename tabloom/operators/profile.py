@@ -36,7 +36,8 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     facts = df.agg(
         *[make(x).alias(f"{name}_{i}") for i, x in enumerate(present.values()) for name, make in makers.items()]
     ).first()
-    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
+    counts = {c: facts[f"n_{i}"] for i, c in enumerate(columns)}
+    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75), counts=counts)
     rows = []
     for i, c in enumerate(columns):
         row = {"feature": c, **{name: facts[f"{name}_{i}"] for name in makers}}

@@ -117,15 +117,18 @@ def exact_quantiles(
     probabilities: Sequence[float],
     *,
     plotting: float = 1.0,
+    counts: dict[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
     """Interpolated quantiles of each column, missing values left out.
 
     ``plotting`` is the plotting-position constant used on both sides: 1.0 interpolates
-    linearly between order statistics, 0.4 gives the unbiased-quantile variant.
+    linearly between order statistics, 0.4 gives the unbiased-quantile variant. ``counts``
+    saves a pass where the numbers of present values are known.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    present = numbers.agg(*[F.count_if(F.col(c).isNotNull() & ~F.isnan(c)).alias(c) for c in columns]).first()
-    counts = {c: present[i] for i, c in enumerate(columns)}
+    if counts is None:
+        present = numbers.agg(*[F.count_if(F.col(c).isNotNull() & ~F.isnan(c)).alias(c) for c in columns]).first()
+        counts = {c: present[i] for i, c in enumerate(columns)}
     spots: dict[tuple[str, float], tuple[int, int, float]] = {}
     wanted: dict[str, set[int]] = {c: set() for c in columns}
     for c in columns:

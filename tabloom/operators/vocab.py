@@ -5,11 +5,15 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabloom import runtime
 from tabloom.functions import sequences, text
 from tabloom.operators import lookup, rank
 
+# Longest sequence that is put together by one aggregate per position.
+_FIXED_LENGTH = 64
+
 
 def tokenized(df: DataFrame, key: str, column: str, **options) -> DataFrame:
     """Table (key, tokens)."""
@@ -26,15 +30,26 @@ def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 def first_occurrences(df: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     """Table (token, n, first_key, first_pos): count and first place, in one aggregation.
 
-    Tokens of a row are combined before they leave their task, so frequent tokens cost one
-    row per task.
+    Occurrences are combined before they leave their task, so a frequent token costs one
+    row per task. For an integer key the place is packed into one decimal, because Spark
+    sorts all occurrences to find a smallest struct but hashes to find a smallest number.
     """
     places = _places(df, key, tokens, "token").filter(F.col("token").isNotNull())
-    return (
-        places.groupBy("token")
-        .agg(F.count("*").alias("n"), F.min(F.struct(F.col(key), F.col("pos"))).alias("first"))
-        .select("token", "n", F.col(f"first.{key}").alias("first_key"), F.col("first.pos").alias("first_pos"))
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        step = F.lit(1 << 31).cast("decimal(10,0)")
+        place = F.col(key).cast("decimal(19,0)") * step + F.col("pos")
+        found = places.groupBy("token").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+        pos = F.pmod("first", step)
+        return found.select(
+            "token",
+            "n",
+            ((F.col("first") - pos) / step).cast(df.schema[key].dataType).alias("first_key"),
+            pos.cast("int").alias("first_pos"),
+        )
+    found = places.groupBy("token").agg(
+        F.count("*").alias("n"), F.min(F.struct(F.col(key), F.col("pos"))).alias("first")
     )
+    return found.select("token", "n", F.col(f"first.{key}").alias("first_key"), F.col("first.pos").alias("first_pos"))
 
 
 def special_rows(spark: SparkSession) -> DataFrame:
@@ -106,10 +121,16 @@ def encode(
     Ids at positions past ``length`` are cut by definition, so those tokens are not looked
     up. ``key`` must identify a row.
     """
-    kept = df.select(key, F.slice(tokens, 1, max(length - 1, 1)).alias("kept"))
+    kept = df.select(key, F.slice(tokens, 1, length - 1).alias("kept"))
     found = lookup.lookup_join(_places(kept, key, "kept", "token"), "token", vocab.drop("n"), "token")
     known = found.withColumn("token_id", F.coalesce("token_id", F.lit(sequences.PAD)).cast("int"))
-    return _regroup(known, key, "token_id", "known").select(key, sequences.pad_ids("known", length).alias(out))
+    if length <= _FIXED_LENGTH:
+        # one number per position keeps the aggregation on flat rows
+        spots = [F.max(F.when(F.col("pos") == i, F.col("token_id"))) for i in range(length - 1)]
+        grouped = known.groupBy(key).agg(F.array_compact(F.array(*spots).cast("array<int>")).alias("known"))
+    else:
+        grouped = _regroup(known, key, "token_id", "known")
+    return grouped.select(key, sequences.pad_ids("known", length).alias(out))
 
 
 def encode_strict(

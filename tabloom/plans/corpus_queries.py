@@ -199,7 +199,8 @@ _PAIRS_SQL = f"""{TURNS_SQL}, toks AS (
 )
 def training_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Model inputs from question and answer turns."""
-    ready = pairs.training_pairs(turns(spark, folder), "pair_id", _LENGTH)
+    # the pairs come from a join of whole texts and are read once per vocabulary and side
+    ready = pairs.training_pairs(runtime.materialize(turns(spark, folder)), "pair_id", _LENGTH)
     shown = [F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("src_ids", "tgt_in", "tgt_out")]
     masks = [F.array_join(F.col(c).cast("array<int>").cast("array<string>"), "").alias(c) for c in ("src_pad", "tgt_pad")]
     return ready.select("pair_id", *shown, *masks, "split")
@@ -232,7 +233,7 @@ def _write_lines(df: DataFrame, order: str, column: str, path: str) -> None:
 )
 def paired_files(spark: SparkSession, folder: str) -> DataFrame:
     """Two line files written in key order, read back and paired by line position."""
-    both = turns(spark, folder)
+    both = runtime.materialize(turns(spark, folder))
     paths = {side: runtime.scratch_path(spark, side) for side in ("source", "target")}
     for side, path in paths.items():
         _write_lines(both, "pair_id", side, path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabloom import runtime
 from tabloom.functions import calendar, numeric
-from tabloom.operators import explain, metrics
+from tabloom.operators import explain, metrics, split
 from tabloom.plans import patient, standins
 from tabloom.plans.catalog import Catalog
 from tabloom.plans.standins import DOCUMENT_FEATURES, STUDY_SQL, table
@@ -105,6 +105,29 @@ def binary_confusion(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.confusion_matrix(scored, "quality", "prediction", (0, 1))
 
 
+@CATALOG.query(
+    f"""WITH {STUDY_SQL}, sizes AS (SELECT quality, count(*) AS n FROM study GROUP BY 1),
+          starts AS (SELECT quality, sum(n) OVER (ORDER BY quality) - n AS start FROM sizes),
+          folded AS (SELECT s.quality AS y, CAST({_PLAIN_SQL} > 0.5 AS INT) AS p,
+            (t.start - 1 + row_number() OVER (PARTITION BY s.quality
+              ORDER BY CAST(('0x' || substr(md5('42|' || CAST(s.doc_id AS VARCHAR)), 1, 15)) AS UBIGINT), s.doc_id)) % 5 AS fold
+            FROM study s JOIN starts t ON s.quality = t.quality),
+          c AS (SELECT fold, CAST(count(*) FILTER (y = 1 AND p = 1) AS DOUBLE) AS tp,
+            CAST(count(*) FILTER (y = 0 AND p = 1) AS DOUBLE) AS fp, CAST(count(*) FILTER (y = 0 AND p = 0) AS DOUBLE) AS tn,
+            CAST(count(*) FILTER (y = 1 AND p = 0) AS DOUBLE) AS fn FROM folded GROUP BY 1)
+        SELECT 'accuracy' AS metric, round(avg((tp + tn) / (tp + tn + fp + fn)), 6) AS mean FROM c
+        UNION ALL SELECT 'balanced_accuracy', round(avg((tp / (tp + fn) + tn / (tn + fp)) / 2), 6) FROM c
+        UNION ALL SELECT 'recall', round(avg(tp / (tp + fn)), 6) FROM c
+        UNION ALL SELECT 'precision', round(avg(tp / (tp + fp)), 6) FROM c"""
+)
+def fold_means(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of the fixed formula per stratified fold, averaged over the folds."""
+    placed = split.stratified_folds(standins.labelled_documents(spark, folder), ["doc_id"], "quality", 5, 42)
+    counts = metrics.binary_counts(formula(placed), "quality", "prediction", ["fold"])
+    means = metrics.mean_over(metrics.binary_scores(counts, ["fold"]), metrics.BINARY_METRICS)
+    return means.withColumn("mean", F.round("mean", 6))
+
+
 _REPEATS = 5
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom import runtime
-from tabloom.functions import text
+from tabloom.functions import numeric, text
 from tabloom.plans.patient import Study
 from tabloom.sources import tables
 
@@ -70,24 +70,24 @@ DOCUMENT_FEATURES = ("n_chars", "n_tokens", "distinct_ratio", "mean_token_length
 
 
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Numeric features of the labelled documents and the imbalanced 0/1 label ``quality``."""
-    docs = texts(spark, folder, "documents").select("doc_id", "text", "n_chars")
-    joined = docs.join(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id")
-    tokens = joined.withColumn("tokens", text.tokenize("text"))
+    """Numeric features of the labelled documents and the imbalanced 0/1 label ``quality``.
+
+    Features are computed before the join, so it moves six numbers per document, not texts.
+    """
+    docs = texts(spark, folder, "documents").select(
+        "doc_id", "text", "n_chars", text.tokenize("text").alias("tokens")
+    )
     words = F.size("tokens").cast("double")
-    return tokens.select(
+    letters = F.length(F.array_join("tokens", "")).cast("double")
+    features = docs.select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
         words.alias("n_tokens"),
-        F.coalesce(F.try_divide(F.size(F.array_distinct("tokens")).cast("double"), words), F.lit(0.0)).alias(
-            "distinct_ratio"
-        ),
-        F.coalesce(
-            F.try_divide(F.length(F.array_join("tokens", "")).cast("double"), words), F.lit(0.0)
-        ).alias("mean_token_length"),
+        numeric.ratio(F.size(F.array_distinct("tokens")), words, 0.0).alias("distinct_ratio"),
+        numeric.ratio(letters, words, 0.0).alias("mean_token_length"),
         (F.length("text") - F.length(F.translate("text", "\n", "")) + 1).cast("double").alias("n_lines"),
-        "quality",
     )
+    return features.join(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id")
 
 
 def study(spark: SparkSession, folder: str) -> Study:
