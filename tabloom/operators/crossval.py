@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom import runtime
 from tabloom.operators import metrics, models, scale, split
 
 
@@ -49,12 +50,13 @@ def cross_validate(
     seed: int = 42,
     scale_before: bool = False,
 ) -> DataFrame:
-    """Rows (metric, mean) over stratified folds; all folds are scored in one aggregation."""
-    placed = split.stratified_folds(df.select(*key, *features, label), key, label, folds, seed).persist()
-    try:
-        scored = fold_predictions(placed, features, label, folds, fit, scale_before=scale_before)
-        counts = metrics.binary_counts(scored, label, "prediction", ["fold"])
-        per_fold = metrics.binary_scores(counts, ["fold"]).toArrow()  # one row per fold
-    finally:
-        placed.unpersist()
-    return metrics.mean_over(df.sparkSession.createDataFrame(per_fold), metrics.BINARY_METRICS)
+    """Rows (metric, mean) over stratified folds; all folds are scored in one aggregation.
+
+    The rows are stored with their folds first: every fit reads them many times, and a
+    short lineage keeps the jobs of its iterations small.
+    """
+    columns = df.select(*key, *features, label)
+    placed = runtime.materialize(split.stratified_folds(columns, key, label, folds, seed))
+    scored = fold_predictions(placed, features, label, folds, fit, scale_before=scale_before)
+    counts = metrics.binary_counts(scored, label, "prediction", ["fold"])
+    return metrics.mean_over(metrics.binary_scores(counts, ["fold"]), metrics.BINARY_METRICS)

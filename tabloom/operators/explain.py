@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Iterable, Sequence
 
@@ -66,6 +67,9 @@ def with_donors(df: DataFrame, place: str, rows: int, repeats: Sequence[int], fe
         ((F.col("step.factor") * ((F.col(place) + F.col("step.repeat") + 1) % rows)) % rows).alias("donor__place"),
     )
     donors = df.select(F.col(place).alias("donor__place"), *[F.col(f).alias(f"donor_{f}") for f in features])
+    # keep all partitions, however few bytes they hold: scoring multiplies the rows after the join
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    receivers, donors = receivers.repartition(tasks, "donor__place"), donors.repartition(tasks, "donor__place")
     return receivers.join(donors, "donor__place").drop("donor__place")
 
 
@@ -158,9 +162,9 @@ def partial_dependence(
     scan; the mean combines there too, so a task shuffles features x points rows at most.
     """
     grid = grid or dependence_grid(df, features, points=points)
-    spots = F.array(
-        *[F.struct(F.lit(f).alias("feature"), F.lit(float(v)).alias("grid")) for f in features for v in grid[f]]
-    )
+    listed = json.dumps([{"feature": f, "grid": float(v)} for f in features for v in grid[f]])
+    # one text literal, folded into an array once, is far quicker to plan than a literal per value
+    spots = F.from_json(F.lit(listed), "array<struct<feature:string,grid:double>>")
     moved = df.select(*features, F.explode(spots).alias("spot")).select(
         "spot.feature",
         "spot.grid",

@@ -49,7 +49,7 @@ def _fit(estimator, df: DataFrame, features: Sequence[str], label: str, weight:
     estimator = estimator.setFeaturesCol("features__vector").setLabelCol(label)
     if weight:
         estimator = estimator.setWeightCol(weight)
-    # a fit reads its input several times
+    # a fit reads its input several times before it caches its own form of it
     data = assemble(df, features, "features__vector").select(*columns).persist()
     try:
         return Fitted(estimator.fit(data), tuple(features))

@@ -28,7 +28,8 @@ class Study:
         ranking them anew for each pass would cost a shuffle each.
         """
         columns = self.table.select(*self.key, *self.features, self.label)
-        parts = runtime.materialize(split.stratified_split(columns, self.key, self.label, test_fraction, seed))
+        parts = split.stratified_split(columns, self.key, self.label, test_fraction, seed)
+        parts = runtime.materialize(parts)
         return parts.filter(F.col("split") == "train"), parts.filter(F.col("split") == "test")
 
 
@@ -106,4 +107,5 @@ def permutation_table(
 
 
 def dependence_table(study: Study, train: DataFrame, fitted: models.Fitted, *, points: int = 100) -> DataFrame:
-    return explain.partial_dependence(train, study.features, fitted.apply, points=points)
+    rows = runtime.spread(train, *study.key)
+    return explain.partial_dependence(rows, study.features, fitted.apply, points=points)

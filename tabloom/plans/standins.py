@@ -20,9 +20,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tables.read_parquet(spark, os.path.join(folder, f"{name}.parquet"))
 
 
+_KEYS = {
+    "documents": ("doc_id",),
+    "conversations": ("conv_id", "turn"),
+    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+}
+
+
 def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table with costly columns; a scan of few tasks is spread over the cores."""
-    return runtime.spread(table(spark, folder, name))
+    return runtime.spread(table(spark, folder, name), *_KEYS[name])
 
 
 # Which events feed which sensor column: (event type, measured field).

@@ -80,10 +80,15 @@ def fits_broadcast(rows: int, size: int | None) -> bool:
     return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a scan that has fewer tasks than cores, which only a small input has."""
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Use all cores on a scan that has fewer tasks than cores, which only a small input has.
+
+    For files and stored tables; counting the tasks of a plan with shuffles would run them.
+    Rows are placed by their key, which needs no sort and puts a recomputed row back in the
+    same place.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
 
 
 def local_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> DataFrame:
