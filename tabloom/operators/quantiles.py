@@ -64,9 +64,11 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
     targets = [
         _Target(c, r, None, None, 0, counts[c]) for c in wanted for r in sorted(wanted[c]) if 1 <= r <= counts[c]
     ]
+    # all columns are gathered in the same task at the end, so they share its limit
+    limit = max(runtime.SINGLE_TASK_ROWS // max(len(wanted), 1), 1)
     while True:
         open_targets = [t for t in targets if t.value is None]
-        wide = [t for t in open_targets if t.inside > runtime.SINGLE_TASK_ROWS]
+        wide = [t for t in open_targets if t.inside > limit]
         if not wide:
             break
         # targets with the same bracket share one sketch and one set of counts
@@ -97,7 +99,7 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
                 t.settle(cuts)
     rest = [t for t in targets if t.value is None]
     if rest:
-        # every interval is counted to hold at most SINGLE_TASK_ROWS values; equal ones share a pass
+        # every interval is counted to hold few values; equal ones share a pass
         spans: dict[tuple, list[_Target]] = {}
         for t in rest:
             spans.setdefault((t.column, t.low, t.high), []).append(t)

@@ -123,7 +123,7 @@ def rename_and_constant(spark: SparkSession, folder: str) -> DataFrame:
 
 @CATALOG.query(
     """SELECT l_returnflag, round(sum(l_extendedprice) / sum(l_quantity), 6) AS unit_price,
-         sum(CASE WHEN l_returnflag = 'R' OR l_linestatus IN ('F') THEN 1 ELSE 0 END) AS hits
+         CAST(sum(CASE WHEN l_returnflag = 'R' OR l_linestatus IN ('F') THEN 1 ELSE 0 END) AS BIGINT) AS hits
        FROM lineitem GROUP BY 1"""
 )
 def guarded_ratio(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabloom.functions import calendar, numeric
 from tabloom.operators import classes, columns, metrics, models, profile, reshape, split
 
+# Measured and derived columns of the sensor plans, and the device types.
 COOLING = ("power_water_cooling_01", "power_water_cooling_02")
 ELEVATORS = ("power_elevator_01", "power_elevator_02")
 CONSUMERS = (*COOLING, "power_ventilation", *ELEVATORS, "power_ev_charging")
@@ -25,6 +26,13 @@ POWER_FEATURES = (
 )
 DEVICE_FEATURES = ("temperature", "humidity", "hour", "month", "power_value")
 WEATHER = ("temperature", "humidity")
+DEVICES = {
+    "elevator": ELEVATORS,
+    "ev_charging": ("power_ev_charging",),
+    "solar_plant": ("power_solar_plant",),
+    "ventilation": ("power_ventilation",),
+    "water_cooling": COOLING,
+}
 
 
 def with_totals(df: DataFrame) -> DataFrame:
@@ -71,13 +79,7 @@ def device_table(df: DataFrame) -> DataFrame:
     )
     long = reshape.melt_groups(
         derived,
-        {
-            "elevator": numeric.row_sum(ELEVATORS),
-            "ev_charging": F.col("power_ev_charging"),
-            "solar_plant": F.col("power_solar_plant"),
-            "ventilation": F.col("power_ventilation"),
-            "water_cooling": numeric.row_sum(COOLING),
-        },
+        {device: numeric.row_sum(measured) for device, measured in DEVICES.items()},
         ["timestamp", *WEATHER, "hour", "month"],
     )
     return columns.drop_missing(long, [*DEVICE_FEATURES, "device_type"])

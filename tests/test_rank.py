@@ -69,6 +69,13 @@ def test_lookup_join_beyond_the_broadcast_limit(spark, small_limits):
     assert got == {i: names.get(v) for i, v in enumerate(values)}
 
 
+def test_lookup_join_without_frequent_values(spark, small_limits):
+    df = spark.createDataFrame([(i, f"t{i % 60}") for i in range(120)], "id long, w string")
+    table = spark.createDataFrame([(f"t{i}", i) for i in range(50)], "w string, no long")
+    got = {r["id"]: r["no"] for r in lookup.lookup_join(df, "w", table, "w").collect()}
+    assert got == {i: (i % 60 if i % 60 < 50 else None) for i in range(120)}
+
+
 @pytest.mark.parametrize("limit", [None, 3])
 def test_frequent_entries_fit_the_limit(spark, monkeypatch, limit):
     from tabloom import runtime
