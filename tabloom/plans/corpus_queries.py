@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabloom import runtime
 from tabloom.functions import sequences, text
-from tabloom.operators import pairs, vocab
+from tabloom.operators import pairs, rank, vocab
 from tabloom.plans import corpus
 from tabloom.plans.catalog import Catalog
 from tabloom.plans.standins import TURNS_SQL, sql_tokens, table, texts, turns
@@ -162,12 +162,17 @@ def corpus_counts(spark: SparkSession, folder: str) -> DataFrame:
     return corpus.corpus_counts(_documents(spark, folder), "doc_id")
 
 
-@CATALOG.query("SELECT doc_id, md5(text) AS digest FROM documents WHERE doc_id IN (0, 100, 300)")
+@CATALOG.query(
+    """SELECT "row", event_id, value FROM (
+         SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS "row", event_id, value FROM events)
+       WHERE "row" IN (0, 1000, 3000)"""
+)
 def ordinal_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents at three positions."""
-    return corpus.sample_lines(table(spark, folder, "documents"), "doc_id", (0, 100, 300)).select(
-        "doc_id", F.md5("text").alias("digest")
-    )
+    """Events at three places of the order in time."""
+    events = table(spark, folder, "events").select("event_id", "ts", "value")
+    placed = rank.ordered_rank(events, "place", ["ts", "event_id"])
+    numbered = placed.select((F.col("place") - 1).alias("row"), "event_id", "value")
+    return corpus.sample_lines(numbered, "row", (0, 1000, 3000))
 
 
 @CATALOG.query(f"WITH {TURNS_SQL} SELECT pair_id, md5(source) AS source, md5(target) AS target FROM turns")
