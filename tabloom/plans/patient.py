@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom import runtime
 from tabloom.operators import crossval, explain, metrics, models, scale, split
+from tabloom.sources import schemas, tables
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,13 @@ class Study:
         return parts.filter(F.col("split") == "train"), parts.filter(F.col("split") == "test")
 
 
+def read_study(spark: SparkSession, path: str) -> Study:
+    """The patient CSV as a study; rows get their position as key, for the file has none."""
+    table = tables.number_rows(tables.read_csv(spark, path, schemas.PATIENT_SCHEMA))
+    *features, label = schemas.PATIENT_SCHEMA.names
+    return Study(table, ("row",), tuple(features), label)
+
+
 def scaled_sides(study: Study, **options) -> tuple[DataFrame, DataFrame]:
     """Both sides standardised with the statistics of the train side."""
     train, test = study.sides(**options)

@@ -29,39 +29,44 @@ def read_first_field(spark: SparkSession, path: str, *, multi_line: bool = False
     )
 
 
-def read_numbered_lines(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
-    """Like :func:`read_first_field`, with the position of each row in column ``row``.
+def number_rows(scan: DataFrame, out: str = "row") -> DataFrame:
+    """Number the rows of a file scan from 0, by file name, split start and order inside the split.
 
-    Rows are numbered from 0 by file name, split start and order inside the split. The
-    row count of every split is taken in a first scan; nothing is shuffled but those
+    The row count of every split is taken in a first scan; nothing is shuffled but those
     counts. Prefer a key column where the data has one.
     """
-    lines = read_first_field(spark, path, multi_line=multi_line).select(
-        "text",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("seen"),
+    columns = scan.columns
+    rows = scan.select(
+        *columns,
+        F.col("_metadata.file_path").alias("file__path"),
+        F.col("_metadata.file_block_start").alias("file__start"),
+        F.monotonically_increasing_id().alias("file__seen"),
     )
-    # max(text) keeps the column in the counting scan, so both scans parse the same rows
+    # hashing all columns keeps them in the counting scan, so both scans parse the same rows
     splits = runtime.materialize(
-        lines.groupBy("file", "start").agg(
-            F.count("*").alias("n"), F.min("seen").alias("first_seen"), F.max("text").alias("kept")
+        rows.groupBy("file__path", "file__start").agg(
+            F.count("*").alias("n"), F.min("file__seen").alias("first"), F.max(F.xxhash64(*columns)).alias("kept")
         )
     )
-    split_count = splits.count()
-    in_order = Window.partitionBy(F.lit(0)).orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy(F.lit(0)).orderBy("file__path", "file__start")
+    earlier = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     offsets = splits.select(
-        "file", "start", "first_seen", F.coalesce(F.sum("n").over(in_order), F.lit(0)).alias("before")
+        "file__path", "file__start", (F.coalesce(earlier, F.lit(0)) - F.col("first")).alias("file__offset")
     )
-    if split_count <= runtime.BROADCAST_ROWS:
+    if splits.count() <= runtime.BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     # a split missing here means the second scan cut the files elsewhere: never lose its rows silently
-    before = F.coalesce("before", F.raise_error(F.lit("file splits changed between the two scans")).cast("long"))
-    return lines.join(offsets, ["file", "start"], "left").select(
-        (before + F.col("seen") - F.col("first_seen")).alias("row"), "text"
+    changed = F.raise_error(F.lit("file splits changed between the two scans")).cast("long")
+    return rows.join(offsets, ["file__path", "file__start"], "left").select(
+        (F.coalesce("file__offset", changed) + F.col("file__seen")).alias(out), *columns
     )
 
 
+def read_numbered_lines(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
+    """First fields with the position of each row in column ``row``, for files paired by position."""
+    return number_rows(read_first_field(spark, path, multi_line=multi_line))
+
+
 def preview(df: DataFrame, rows: int = 20) -> DataFrame:
     return df.limit(rows)
 
