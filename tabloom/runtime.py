@@ -6,9 +6,9 @@ a counted size with one of the limits below and has a distributed path beyond it
 
 from __future__ import annotations
 
-import os
-import tempfile
+import re
 import uuid
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,24 +41,42 @@ def session(app: str = "tabloom", master: str | None = None, **conf: str) -> Spa
 def shared_folder(spark: SparkSession) -> str:
     """Return the folder all executors can write to, from ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a session whose executors are threads of this process may do without the setting;
+    it uses a folder below its warehouse.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="tabloom-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tabloom-scratch"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """Return a fresh path below the shared folder."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """Return a fresh path below the shared folder; the files are removed when the session's JVM ends."""
+    own = f"{shared_folder(spark)}/tabloom-{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, name: str = "stored", partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and read it from there afterwards.
+
+    Cuts the lineage: a lost executor costs a read of the files, not a new computation.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame) -> DataFrame:
