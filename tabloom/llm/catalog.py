@@ -6,13 +6,14 @@ from tabloom.llm import (
     line_dedup,
     mixing,
     quality_rules,
+    token_counts,
     url_filter,
 )
 from tabloom.plans.catalog import Query
 
 
 def llm_queries() -> dict[str, Query]:
-    modules = (quality_rules, mixing, url_filter, line_dedup)
+    modules = (token_counts, quality_rules, mixing, url_filter, line_dedup)
     merged: dict[str, Query] = {}
     for module in modules:
         merged.update(module.CATALOG)
