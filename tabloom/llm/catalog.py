@@ -6,6 +6,7 @@ from tabloom.llm import (
     line_dedup,
     mixing,
     quality_rules,
+    substring_dedup,
     token_counts,
     url_filter,
 )
@@ -13,7 +14,7 @@ from tabloom.plans.catalog import Query
 
 
 def llm_queries() -> dict[str, Query]:
-    modules = (token_counts, quality_rules, mixing, url_filter, line_dedup)
+    modules = (token_counts, quality_rules, substring_dedup, mixing, url_filter, line_dedup)
     merged: dict[str, Query] = {}
     for module in modules:
         merged.update(module.CATALOG)
