@@ -147,11 +147,9 @@ def suspects(docs: DataFrame, key: str, body: str, bits: int, least_chars: int)
 
 def lines_to_drop(found: DataFrame, least_docs: int) -> DataFrame:
     """``doc`` and ``drop``, the digests of the lines it loses. Counts are combined on the map side."""
-    decided = (
-        found.groupBy("digest")
-        .agg(F.count_distinct("doc").alias("docs"), F.max("doc").alias("keeper"))
-        .filter(F.col("docs") >= least_docs)
-    )
+    counted = found.groupBy("digest").agg(F.count_distinct("doc").alias("docs"), F.max("doc").alias("keeper"))
+    # stored, so that the join below has a plain exchange of suspects that Spark can split
+    decided = runtime.store(counted.filter(F.col("docs") >= least_docs).select("digest", "keeper"), "decided")
     lost = found.join(decided, "digest").filter(F.col("doc") != F.col("keeper"))
     return lost.groupBy("doc").agg(F.collect_set("digest").alias("drop"))
 
