@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tabloom.llm import (
+    decontaminate,
     line_dedup,
     mixing,
     near_dedup,
@@ -15,7 +16,7 @@ from tabloom.plans.catalog import Query
 
 
 def llm_queries() -> dict[str, Query]:
-    modules = (token_counts, quality_rules, substring_dedup, mixing, url_filter, line_dedup, near_dedup)
+    modules = (decontaminate, token_counts, quality_rules, substring_dedup, mixing, url_filter, line_dedup, near_dedup)
     merged: dict[str, Query] = {}
     for module in modules:
         merged.update(module.CATALOG)
