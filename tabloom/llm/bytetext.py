@@ -28,8 +28,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Words:
     """The words of rows ``first`` to ``last`` of a batch.
 
-    ``bounds[d]`` to ``bounds[d + 1]`` are the words of row ``first + d``; word w is
-    ``data[starts[w] : ends[w]]``.
+    ``bounds[d]`` to ``bounds[d + 1]`` are the words of row ``first + d``, ``offsets`` in the same
+    way its bytes; word w is ``data[starts[w] : ends[w]]``.
     """
 
     first: int
@@ -38,6 +38,7 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     bounds: np.ndarray
+    offsets: np.ndarray
 
     def rows(self) -> np.ndarray:
         """Row of each word, counted from ``first``."""
@@ -57,8 +58,11 @@ class Words:
         return out
 
 
-def chunks(column: pa.Array) -> Iterator[Words]:
-    """Cut a text column into pieces of about a megabyte (or one text) and find their words."""
+def chunks(column: pa.Array, between: np.ndarray = _WHITE, becomes: np.ndarray | None = None) -> Iterator[Words]:
+    """Cut a text column into pieces of about a megabyte (or one text) and find their words.
+
+    ``between`` marks the bytes that separate words; ``becomes`` replaces bytes first.
+    """
     texts = column.cast(pa.large_binary())
     if texts.null_count:
         texts = texts.fill_null(b"")
@@ -69,20 +73,22 @@ def chunks(column: pa.Array) -> Iterator[Words]:
     first = 0
     while first < len(texts):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + _CHUNK, "right")) - 1)
-        yield _words(first, last, whole[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+        part = whole[offsets[first] : offsets[last]]
+        part = part if becomes is None else becomes[part]
+        yield _words(first, last, part, offsets[first : last + 1] - offsets[first], between)
         first = last
 
 
-def _words(first: int, last: int, part: np.ndarray, offsets: np.ndarray) -> Words:
+def _words(first: int, last: int, part: np.ndarray, offsets: np.ndarray, between: np.ndarray) -> Words:
     data = np.zeros(len(part) + 8, np.uint8)  # room to read eight bytes anywhere
     data[: len(part)] = part
-    inside = ~_WHITE[part]
+    inside = ~between[part]
     cut = np.zeros(len(part) + 1, bool)
     cut[offsets] = True
     before = np.concatenate(([True], ~inside)) | cut  # no word runs on into this byte
     starts = np.flatnonzero(inside & before[:-1])
     ends = np.flatnonzero(inside & (np.concatenate((~inside[1:], [True])) | cut[1:])) + 1 if len(part) else starts
-    return Words(first, last, data, starts, ends, np.searchsorted(starts, offsets))
+    return Words(first, last, data, starts, ends, np.searchsorted(starts, offsets), offsets)
 
 
 def runs(hashes: np.ndarray, length: int) -> np.ndarray:

@@ -7,6 +7,7 @@ from tabloom.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    quality_classifier,
     quality_rules,
     substring_dedup,
     token_counts,
@@ -16,7 +17,7 @@ from tabloom.plans.catalog import Query
 
 
 def llm_queries() -> dict[str, Query]:
-    modules = (decontaminate, token_counts, quality_rules, substring_dedup, mixing, url_filter, line_dedup, near_dedup)
+    modules = (quality_classifier, decontaminate, token_counts, quality_rules, substring_dedup, mixing, url_filter, line_dedup, near_dedup)
     merged: dict[str, Query] = {}
     for module in modules:
         merged.update(module.CATALOG)
