@@ -34,7 +34,7 @@ CATALOG = Catalog()
 
 DIMENSION = 1 << 18
 TRAIN_ROWS = 20_000
-KEEP_FROM = 0.5
+KEEP_FROM = 0.6
 EPOCHS = 100
 LEAST_Z = 5.0
 _BATCH = 256
@@ -118,7 +118,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, *, epochs: int = EPOCHS, see
     used = telling(rows, grades)
     rows = [r[used[r]] for r in rows]
     order = np.random.default_rng(seed)
-    for _ in range(epochs):
+    for epoch in range(epochs):
+        rate = _RATE * 0.5 * (1 + np.cos(np.pi * epoch / epochs))  # falls to nothing, so the end is settled
         shuffled = order.permutation(len(rows))
         for start in range(0, len(rows), _BATCH):
             batch = shuffled[start : start + _BATCH]
@@ -126,8 +127,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, *, epochs: int = EPOCHS, see
             owner = np.repeat(np.arange(len(batch)), [len(rows[i]) for i in batch])
             by_score, by_threshold = _slopes(np.bincount(owner, weights[slots], len(batch)), thresholds, grades[batch])
             step = np.bincount(slots, by_score[owner], DIMENSION)
-            weights += _RATE * (step - weights * (len(batch) / len(rows)))
-            thresholds = np.sort(thresholds + 0.15 * _RATE * by_threshold)
+            weights += rate * (step - weights * (len(batch) / len(rows)))
+            thresholds = np.sort(thresholds + 0.15 * rate * by_threshold)
     return Model(weights, thresholds)
 
 
