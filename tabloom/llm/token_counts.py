@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom import runtime
 from tabloom.llm import text
 from tabloom.plans.catalog import Catalog
 
@@ -115,7 +116,7 @@ def frequent(docs: DataFrame, body: str, name: str, content: bytes) -> list[str]
         )
 
     told = docs.select(F.col(body).alias("body")).mapInArrow(task, "part string, n long")
-    counted = told.groupBy("part").agg(F.sum("n").alias("n"))
+    counted = runtime.store(told.groupBy("part").agg(F.sum("n").alias("n")), "parts")  # read twice, counted once
     total = counted.filter(F.col("part").isNull()).first()
     least = max(1, (total["n"] if total else 0) / TABLE_ENTRIES)
     return [row["part"] for row in counted.filter(F.col("part").isNotNull() & (F.col("n") >= least)).collect()]
