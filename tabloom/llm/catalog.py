@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tabloom.llm import (
     decontaminate,
+    licenses,
     line_dedup,
     mixing,
     near_dedup,
@@ -17,7 +18,7 @@ from tabloom.plans.catalog import Query
 
 
 def llm_queries() -> dict[str, Query]:
-    modules = (quality_classifier, decontaminate, token_counts, quality_rules, substring_dedup, mixing, url_filter, line_dedup, near_dedup)
+    modules = (licenses, quality_classifier, decontaminate, token_counts, quality_rules, substring_dedup, mixing, url_filter, line_dedup, near_dedup)
     merged: dict[str, Query] = {}
     for module in modules:
         merged.update(module.CATALOG)
