@@ -234,8 +234,8 @@ def matches(
 
 def drop_matches(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", body: str = "text") -> DataFrame:
     """The documents that hold no passage of the benchmark."""
-    hits = matches(docs, benchmark, key=key, body=body).select(F.col("doc_id").alias("hit")).distinct()
-    return docs.join(runtime.store(hits, "hits"), F.col(key).cast("long") == F.col("hit"), "left_anti")
+    hits = matches(docs, benchmark, key=key, body=body).select(F.col("doc_id").alias("decontaminate__hit")).distinct()
+    return docs.join(runtime.store(hits, "hits"), F.col(key).cast("long") == F.col("decontaminate__hit"), "left_anti")
 
 
 @CATALOG.query()

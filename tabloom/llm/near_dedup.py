@@ -293,8 +293,8 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", body: str = "text") -> Dat
     Rows that share the kept id are repeated rows; all of them stay.
     """
     found = classes(docs, key=key, body=body)
-    later = runtime.store(found.filter(~F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("later")), "later")
-    return docs.join(later, F.col(key).eqNullSafe(F.col("later")), "left_anti")
+    later = runtime.store(found.filter(~F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("near_dedup__later")), "later")
+    return docs.join(later, F.col(key).eqNullSafe(F.col("near_dedup__later")), "left_anti")
 
 
 @CATALOG.query()
