@@ -10,16 +10,19 @@ border is doubled.
 
 1. One pass gives every document a fingerprint of its shingles and its bands. Documents with the
    same shingles are one node from here on.
-2. In every band bucket, nodes meet the bucket's leader (its smallest node, the same in most
-   buckets of a group). Pairs are distinct over all bands and are checked exactly on all shingles
-   of both texts. Verified links are joined to classes by connected components.
-3. Buckets that still hold several classes go on: the leader steps down, the next smallest node
-   outside of its class leads, and all others of the bucket that are not of its class meet it.
-   This ends when no bucket has an unmet class, so a link between two texts that share a bucket
-   is not lost, while the pairs of one round stay linear in the rows of the buckets.
-
-No pairs within a group are spelled out, nothing is gathered per group, and the number of a
-group's members does not matter to any task: leaders are minima, combined on the map side.
+2. In every band bucket, nodes meet the bucket's leader: the node that shares most buckets with
+   others, so the text that a group of copies comes from leads in most of their buckets. Pairs
+   of leader and node are distinct over all bands and are checked exactly, on all shingles of
+   both texts. Verified links are joined to classes by connected components.
+3. Nodes that share a bucket share its leader. So for every leader, those of its nodes that are
+   not in its class meet all its other nodes, again exactly. Both sides are cut into blocks of
+   about ``_BLOCK`` nodes; a task holds two blocks and returns one link per pair of classes. If
+   most nodes are in their leader's class, this is a small rest. Together the two steps cover
+   every two nodes that share a bucket.
+
+No pairs within a group are spelled out and no task holds more than two blocks. Leaders and
+counts are combined on the map side; joins on a hot leader or bucket have plain exchanges that
+Spark can split.
 
 Defined cases: texts of fewer words than a shingle have one shingle of all their words; a
 missing text or one without words is in a class of its own; a missing id counts as the
@@ -33,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +49,7 @@ CATALOG = Catalog()
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
+_BLOCK = 512
 _SMALLEST = -(1 << 63)
 _SEEDS = (np.uint64(0x632BE59BD9B4E019), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -169,27 +174,80 @@ def _strips(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(task, "node binary, strips binary")
 
 
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.concatenate((x, y))
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
 def _verified(pairs: DataFrame, strips: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a``, ``b`` whose exact similarity is high enough."""
+    """Links ``a``, ``b``: the pairs of leader and node whose exact similarity is high enough."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for left, right in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(left.as_buffer(), "<u8"), np.frombuffer(right.as_buffer(), "<u8")
-                if min(len(x), len(y)) < similarity * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                both = np.concatenate((x, y))
-                both.sort(kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(shared >= similarity * (len(both) - shared) - 1e-9)
+                shared = _shared(x, y)
+                keep.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = strips.select(F.col("node").alias("a"), F.col("strips").alias("left"))
-    right = strips.select(F.col("node").alias("b"), F.col("strips").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(task, "a binary, b binary")
+    left = strips.select(F.col("node").alias("leader"), F.col("strips").alias("left"))
+    right = strips.select("node", F.col("strips").alias("right"))
+    joined = pairs.join(right, "node").join(left, "leader")
+    ends = [F.col("leader").alias("a"), F.col("node").alias("b")]
+    return joined.select(*ends, "left", "right").mapInArrow(task, "a binary, b binary")
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of shared strips of every pair of a left and a right set."""
+    elements, at = np.unique(np.concatenate(left + right), return_inverse=True)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in left + right])
+    out = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    for start in range(0, len(elements), _BLOCK * 8):
+        a, b = np.searchsorted(at, (start, start + _BLOCK * 8))
+        held = np.zeros((len(left) + len(right), _BLOCK * 8), np.float32)
+        held[owner[a:b], at[a:b] - start] = 1
+        out += held[: len(left)] @ held[len(left) :].T
+    return out
+
+
+def _rest(groups: DataFrame, strips: DataFrame, similarity: float) -> DataFrame:
+    """Links between nodes outside of their leader's class (``apart``) and its other nodes; step 3.
+
+    ``groups`` has ``leader``, ``node``, ``root`` and ``apart``, each node once per leader.
+    """
+    sizes = groups.groupBy("leader").agg(F.count("*").alias("n"), F.sum(F.col("apart").cast("long")).alias("n_apart"))
+    blocks = lambda n: F.ceil(F.col(n) / _BLOCK).cast("int")
+    waiting = sizes.filter((F.col("n_apart") > 0) & (F.col("n") > 1)).select(
+        "leader", blocks("n").alias("of_all"), blocks("n_apart").alias("of_apart")
+    )
+    full = groups.join(runtime.store(waiting, "waiting"), "leader").join(strips, "node")
+    pick = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = full.filter("apart").select("leader", "node", "root", "strips", F.lit(True).alias("side"), pick("of_apart", 1).alias("x"), each("of_all").alias("y"))
+    two = full.select("leader", "node", "root", "strips", F.lit(False).alias("side"), each("of_apart").alias("x"), pick("of_all", 2).alias("y"))
+
+    def block(rows: pa.Table) -> pa.Table:
+        sides = {}
+        for side in (True, False):
+            part = rows.filter(pa.compute.equal(rows.column("side"), side))
+            held = [np.frombuffer(s.as_buffer(), "<u8") for c in part.column("strips").chunks for s in c]
+            sides[side] = part.column("node").to_pylist(), part.column("root").to_pylist(), held
+        found: dict[tuple[bytes, bytes], tuple[bytes, bytes]] = {}
+        (nodes, roots, left), (others, their, right) = sides[True], sides[False]
+        if left and right:
+            shared = _overlaps(left, right)
+            total = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :]
+            for i, j in zip(*np.nonzero(shared >= similarity * (total - shared) - 1e-6)):
+                if roots[i] != their[j]:
+                    found.setdefault((roots[i], their[j]), (nodes[i], others[j]))
+        ends = [pa.array([p[k] for p in found.values()], pa.binary()) for k in (0, 1)]
+        return pa.table(ends, ["a", "b"])
+
+    return one.union(two).groupBy("leader", "x", "y").applyInArrow(block, "a binary, b binary")
 
 
 def classes(
@@ -229,62 +287,47 @@ def classes(
     )
 
 
-def _buckets(signed: DataFrame) -> DataFrame:
-    """``bucket``, ``node`` and ``size`` of all buckets with two nodes or more."""
+def _groups(signed: DataFrame, similarity: float) -> DataFrame:
+    """``leader`` and ``node``, distinct, for every node that shares a bucket; ``near`` if their
+    sizes allow the similarity."""
     spread = signed.filter(F.col("node").isNotNull()).select("node", "size", F.posexplode("keys").alias("band", "value"))
     placed = spread.select("node", "size", F.xxhash64("band", "value").alias("bucket")).distinct()
-    shared = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    return placed.join(shared.filter(F.col("low") != F.col("high")).select("bucket"), "bucket")
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    buckets = runtime.store(placed.join(runtime.store(shared, "shared"), "bucket"), "buckets")
+    central = buckets.groupBy("node").agg(F.sum("n").alias("central"))
+    ranked = runtime.store(buckets.join(central, "node"), "ranked")
+    lead = F.max_by(F.struct("node", "size"), F.struct("central", "node")).alias("lead")
+    leaders = runtime.store(ranked.groupBy("bucket").agg(lead).select("bucket", "lead"), "leaders")
+    met = ranked.join(leaders, "bucket").filter(F.col("node") != F.col("lead.node"))
+    near = F.least("size", "lead.size") >= similarity * F.greatest("size", "lead.size")
+    return met.select(F.col("lead.node").alias("leader"), "node", near.alias("near")).distinct()
 
 
 def _links(narrow: DataFrame, signed: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Verified links ``a``, ``b`` between nodes; see steps 2 and 3 above.
-
-    A round's leaders are the smallest nodes of a bucket outside of its largest class, one per
-    salt; every round has four times as many salts, so the rounds grow with the logarithm of the
-    largest bucket that holds several classes. A leader has met its whole bucket and leaves it.
-    """
-    waiting = runtime.store(_buckets(signed).withColumn("root", F.col("node")), "buckets")
+    """Verified links ``a``, ``b`` between nodes; see steps 2 and 3 above."""
+    groups = runtime.store(_groups(signed, similarity), "groups")
+    nodes = groups.select("node").union(groups.select("leader")).distinct()
     sources = (
-        signed.join(waiting.select("node").distinct(), "node", "left_semi")
+        signed.join(nodes, "node", "left_semi")
         .groupBy("node")
         .agg(F.min(F.struct("doc", "body_hash")).alias("at"))
         .select("node", "at.doc", "at.body_hash")
     )
     texts = narrow.withColumn("body_hash", F.xxhash64("body")).join(sources, ["doc", "body_hash"])
     strips = runtime.store(_strips(texts.select("node", "body"), shingle), "strips")
-    links, salts = None, 1
-    while True:
-        largest = (
-            waiting.groupBy("bucket", "root")
-            .agg(F.count("*").alias("n"))
-            .groupBy("bucket")
-            .agg(F.max_by("root", F.struct("n", "root")).alias("head"))
-        )
-        outside = waiting.join(largest, "bucket").filter(F.col("root") != F.col("head"))
-        leaders = runtime.store(
-            outside.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(salts)).alias("salt"))
-            .agg(F.min_by(F.struct("node", "size", "root"), "node").alias("leader"))
-            .select("bucket", "leader.*"),
-            "leaders",
-        )
-        if leaders.isEmpty():
-            return links if links is not None else waiting.select(F.col("node").alias("a"), F.col("node").alias("b"))
-        led = leaders.select("bucket", *[F.col(c).alias(f"lead_{c}") for c in ("node", "size", "root")])
-        near = F.least("size", "lead_size") >= similarity * F.greatest("size", "lead_size")
-        met = waiting.join(led, "bucket").filter((F.col("root") != F.col("lead_root")) & near)
-        pairs = met.select(
-            F.least("node", "lead_node").alias("a"), F.greatest("node", "lead_node").alias("b")
-        ).distinct()
-        new = _verified(pairs, strips, similarity)
-        links = runtime.store(new if links is None else links.union(new), "links")
-        found = components.connected_components(links, "a", "b")
-        rest = waiting.drop("root").join(leaders.select("bucket", "node"), ["bucket", "node"], "left_anti")
-        rooted = rest.join(found, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component")
-        open_buckets = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        several = open_buckets.filter(F.col("low") != F.col("high")).select("bucket")
-        waiting = runtime.store(rooted.join(several, "bucket", "left_semi"), "buckets")
-        salts *= 4
+    links = runtime.store(_verified(groups.filter("near").drop("near"), strips, similarity), "links")
+    found = runtime.store(components.connected_components(links, "a", "b"), "found")
+    own = found.select("node", F.col("component").alias("root"))
+    led = found.select(F.col("node").alias("leader"), F.col("component").alias("lead_root"))
+    rooted = (
+        groups.drop("near")
+        .join(own, "node", "left")
+        .withColumn("root", F.coalesce("root", "node"))
+        .join(led, "leader", "left")
+        .withColumn("apart", F.col("root") != F.coalesce("lead_root", "leader"))
+        .drop("lead_root")
+    )
+    return runtime.store(links.union(_rest(runtime.store(rooted, "rooted"), strips, similarity)), "links")
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", body: str = "text") -> DataFrame:

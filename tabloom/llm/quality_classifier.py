@@ -70,7 +70,7 @@ def _form(words: bytetext.Words, row_of: np.ndarray, times: np.ndarray) -> Itera
     yield rows, 100 + 20 * most[rows] // total
     yield rows, 200 + np.log2(total).astype(np.int64)
     data = words.data[:-8]
-    at = np.flatnonzero(_MARK[data] | (data == 10))
+    at = np.flatnonzero(_MARK[data] | ((data == 10) & np.repeat(count > 0, np.diff(words.offsets))))
     both, found = np.unique((np.searchsorted(words.offsets, at, "right") - 1) * 256 + data[at], return_counts=True)
     row, mark = both // 256, both % 256
     density = np.round(2 * np.log2(found / np.maximum(count[row], 1))).astype(np.int64)

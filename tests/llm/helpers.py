@@ -31,8 +31,9 @@ def documents(spark, rows, *extra):
 
 
 def prose(seed, n):
-    """``n`` words that depend on the seed only; two seeds share no run of words."""
-    return " ".join(f"w{(seed * 7919 + i * i * 31 + i) % 99991:05d}" for i in range(n))
+    """``n`` words of letters that depend on the seed only; two seeds share no run of words."""
+    numbers = (f"{(seed * 7919 + i * i * 31 + i) % 99991:05d}" for i in range(n))
+    return " ".join(number.translate(str.maketrans("0123456789", "bcdfghjklm")) for number in numbers)
 
 
 def shingles(text, length=5):

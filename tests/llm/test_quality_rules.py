@@ -45,7 +45,7 @@ def test_copies_do_not_make_boilerplate(spark):
 
 
 def test_removing_lines_keeps_the_rest(spark):
-    rows = [(i, f"menu {i} home\n{prose(i, 5)}\n", "h") for i in range(20)] + [(99, None, None)]
+    rows = [(i, f"Menu {i}  home\n{prose(i, 5)}\n", "h") for i in range(20)] + [(99, None, None)]
     docs = documents(spark, rows)
     limits = quality_rules.frequent_lines(docs)
     out = {r["doc_id"]: r["text"] for r in quality_rules.without_frequent_lines(docs, limits).collect()}
