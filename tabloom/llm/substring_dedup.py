@@ -16,7 +16,7 @@ anchor at the same place inside them. About a third of the positions are hashed.
 3. Documents drop the covered words. Texts are shuffled once, by a hash of the document id, and
    used by steps 2 and 3.
 
-There are twice as many buckets and shards as shuffle partitions; a task holds one at a time (the
+There are about as many buckets and shards as shuffle partitions; a task holds one at a time (the
 texts of a shard, or its share of the hashes), so that setting has to grow with the data. A passage that most documents hold
 reaches a bucket once per task; the documents that hold it are spread over all shards.
 
@@ -45,7 +45,7 @@ WINDOW = 20
 # Perfect difference sets by period.
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
 _LEAST_ANCHOR = 8
-_PER_PARTITION = 2
+_PER_PARTITION = 1
 _FLUSH = 2_000_000
 _SMALLEST = -(1 << 63)
 _LOW48 = np.uint64((1 << 48) - 1)
