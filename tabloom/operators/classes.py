@@ -11,7 +11,7 @@ from tabloom.operators import lookup, rank
 
 def class_sizes(df: DataFrame, label: str) -> DataFrame:
     """Stored table (label, n) of the classes, a missing label being a class of its own."""
-    return runtime.materialize(df.groupBy(label).agg(F.count("*").alias("n")))
+    return runtime.store(df.groupBy(label).agg(F.count("*").alias("n")), "sizes")
 
 
 def attach(df: DataFrame, label: str, table: DataFrame) -> DataFrame:

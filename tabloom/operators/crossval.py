@@ -56,7 +56,7 @@ def cross_validate(
     short lineage keeps the jobs of its iterations small.
     """
     columns = df.select(*key, *features, label)
-    placed = runtime.materialize(split.stratified_folds(columns, key, label, folds, seed))
+    placed = runtime.store(split.stratified_folds(columns, key, label, folds, seed), "folds")
     scored = fold_predictions(placed, features, label, folds, fit, scale_before=scale_before)
     counts = metrics.binary_counts(scored, label, "prediction", ["fold"])
     return metrics.mean_over(metrics.binary_scores(counts, ["fold"]), metrics.BINARY_METRICS)

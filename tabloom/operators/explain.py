@@ -93,7 +93,7 @@ def permutation_scores(
     """
     ranked = rank.hash_rank(df.select(*key, *features, label), "place", key, seed)
     placed = ranked.select((F.col("place") - 1).alias("place"), *features, label)
-    placed = runtime.materialize(placed)  # numbered once, read by every repeat
+    placed = runtime.store(placed, "placed")  # numbered once, read by every repeat
     facts = score(placed).agg(
         F.count("*"), F.avg(F.when(F.col(label) == F.col("prediction"), 1.0).otherwise(0.0))
     ).first()
@@ -130,14 +130,14 @@ def permutation_importance(scores: DataFrame) -> DataFrame:
 
 def dependence_grid(df: DataFrame, features: Sequence[str], *, points: int = 100) -> dict[str, list[float]]:
     """Grid per feature: its values if fewer than ``points``, else even steps from the 5th to the 95th percentile."""
-    guesses = df.agg(*[F.approx_count_distinct(f) for f in features]).first()
-    # the estimate is a few percent off; only columns near the limit or below are counted exactly
-    few = [f for f, guess in zip(features, guesses, strict=True) if guess < 2 * points]
+    long = df.select(*[F.col(f).cast("double").alias(f) for f in features]).unpivot([], list(features), "feature", "x")
+    values = long.filter(F.col("x").isNotNull() & ~F.isnan("x")).distinct()
+    counts = values.groupBy("feature").agg(F.count("*").alias("n"))
+    few = [r["feature"] for r in counts.filter(F.col("n") < points).collect()]
     grid: dict[str, list[float]] = {}
-    for f in few:
-        values = [r[0] for r in df.select(F.col(f).cast("double")).filter(F.col(f).isNotNull()).distinct().take(points)]
-        if len(values) < points:
-            grid[f] = sorted(values)
+    for row in values.filter(F.col("feature").isin(few)).collect() if few else []:  # fewer than features * points
+        grid.setdefault(row["feature"], []).append(row["x"])
+    grid = {f: sorted(v) for f, v in grid.items()}
     rest = [f for f in features if f not in grid]
     if rest:
         ends = exact_quantiles(df, rest, (0.05, 0.95), plotting=0.4)

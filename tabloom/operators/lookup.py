@@ -59,8 +59,8 @@ def lookup_join(
         return df.join(F.broadcast(right), same(df), "left").drop("lookup__key")
 
     used = df.groupBy(column).agg(F.count("*").alias("lookup__n"))
-    found = runtime.materialize(
-        used.join(right, same(used), "left").select(F.col(column).alias("lookup__used"), "lookup__n", *values)
+    found = runtime.store(
+        used.join(right, same(used), "left").select(F.col(column).alias("lookup__used"), "lookup__n", *values), "found"
     )
     match = F.col(column).eqNullSafe(F.col("lookup__used"))
     floor = frequent_floor(found, "lookup__n")

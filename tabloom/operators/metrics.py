@@ -1,5 +1,8 @@
 """Scores of predictions, as DataFrames.
 
+A row without a prediction counts as a wrong one everywhere. A score that is missing, and a label or
+a prediction that is no known class where the classes are fixed, is an error.
+
 Everything here first shrinks the predictions to counts (per group, per pair of classes or
 per distinct score) with map-side combining; later steps work on the counts.
 """
@@ -50,10 +53,14 @@ def class_pairs(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequence[object]) -> DataFrame:
-    """One row per label present, one count column ``predicted_<class>`` per class."""
-    cells = [
-        F.count_if(F.col(prediction) == F.lit(c)).alias(f"predicted_{c}") for c in classes
-    ]
+    """One row per label present, one count column ``predicted_<class>`` per class, and ``predicted_other``.
+
+    The last column holds predictions outside of ``classes`` and missing ones, so a row's cells
+    add up to its label.
+    """
+    cells = [F.count_if(F.col(prediction) == F.lit(c)).alias(f"predicted_{c}") for c in classes]
+    listed = F.coalesce(F.col(prediction).isin(list(classes)), F.lit(False))
+    cells.append(F.count_if(~listed).alias("predicted_other"))
     return df.groupBy(F.col(label).alias("label")).agg(*cells)
 
 
@@ -86,9 +93,23 @@ def weighted_precision(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
+def _zero_or_one(value: Column, what: str, *, missing: bool = False) -> Column:
+    """The value as 0 or 1; anything else is an error, a missing value too unless ``missing``."""
+    fine = value.isin(0, 1)
+    if missing:
+        fine = fine | value.isNull()
+    shown = F.coalesce(value.cast("string"), F.lit("missing"))
+    wrong = F.raise_error(F.concat(F.lit(f"{what} is neither 0 nor 1: "), shown)).cast("int")
+    return F.when(fine, value.cast("int")).otherwise(wrong)
+
+
 def binary_counts(df: DataFrame, label: str, prediction: str, keys: Sequence[str] = ()) -> DataFrame:
-    """The four cells of a 0/1 confusion matrix, optionally per group, in one pass."""
-    y, p = F.col(label).cast("int"), F.col(prediction).cast("int")
+    """The four cells of a 0/1 confusion matrix, optionally per group, in one pass.
+
+    A missing prediction fills the cell of the wrong class (``fn`` or ``fp``).
+    """
+    y = _zero_or_one(F.col(label), f"label {label}")
+    p = F.coalesce(_zero_or_one(F.col(prediction), f"prediction {prediction}", missing=True), 1 - y)
     cells = {"tp": (1, 1), "fp": (0, 1), "tn": (0, 0), "fn": (1, 0)}
     counted = [F.count_if((y == a) & (p == b)).alias(name) for name, (a, b) in cells.items()]
     return df.groupBy(*keys).agg(*counted) if keys else df.agg(*counted)
@@ -116,10 +137,12 @@ def binary_scores(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def _cumulative(df: DataFrame, label: str, score: str) -> DataFrame:
     """Score counts with running true and false positives from the highest score down."""
-    marked = rank.value_bucketed(
-        df.select(F.col(label).alias("y"), F.col(score).cast("double").alias("s")), "s", "bucket", descending=True
-    )
-    y = F.col("y").cast("int")
+    number = F.col(score).cast("double")
+    lost = number.isNull() | F.isnan(number)
+    checked = F.when(lost, F.raise_error(F.lit(f"score {score} is missing")).cast("double")).otherwise(number)
+    y = _zero_or_one(F.col(label), f"label {label}").alias("y")
+    marked = rank.value_bucketed(df.select(y, checked.alias("s")), "s", "bucket", descending=True)
+    y = F.col("y")
     # the bucket is a function of the score, so grouping by both gives one row per score
     counts = marked.groupBy("bucket", F.col("s").alias("threshold")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
@@ -130,7 +153,10 @@ def _cumulative(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
-    """ROC curve: one point per distinct score, and (0, 0) at threshold infinity."""
+    """ROC curve: one point per distinct score, and (0, 0) at threshold infinity.
+
+    Every row needs a score; remove or fill missing ones first.
+    """
     points = _cumulative(df, label, score).select(
         "threshold",
         numeric.ratio(F.col("fp"), F.col("fp_total"), 0.0).alias("fpr"),

@@ -20,12 +20,18 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
 
 
-def fixed_layout(df: DataFrame, key: Sequence[str], partitions: int) -> DataFrame:
-    """Place and order rows by their key.
+# Rows per task of a fit that depends on where rows sit.
+ROWS_PER_TASK = 250_000
+
+
+def fixed_layout(df: DataFrame, key: Sequence[str], rows_per_task: int | None = None) -> DataFrame:
+    """Place and order rows by their key, in as many partitions as their number asks for.
 
     Seeded tree training also depends on where rows sit. After this step a fit gives the
-    same trees for every input layout, as long as ``partitions`` stays the same.
+    same trees for the same rows, whatever their layout and the cluster; more rows make more
+    partitions. Give a stored table, for its rows are counted first.
     """
+    partitions = max(1, -(-df.count() // (rows_per_task or ROWS_PER_TASK)))
     return df.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
@@ -66,12 +72,18 @@ def fit_forest(
     depth: int = 5,
     min_leaf: int = 1,
     subset: str = "auto",
+    bootstrap: bool = True,
     seed: int = 42,
     weight: str | None = None,
 ) -> Fitted:
-    """Random forest with bootstrap samples; always seeded."""
+    """Random forest, by default with bootstrap samples; always seeded."""
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf, featureSubsetStrategy=subset, seed=seed
+        numTrees=trees,
+        maxDepth=depth,
+        minInstancesPerNode=min_leaf,
+        featureSubsetStrategy=subset,
+        bootstrap=bootstrap,
+        seed=seed,
     )
     return _fit(forest, df, features, label, weight)
 

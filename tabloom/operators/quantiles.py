@@ -1,8 +1,6 @@
 """Exact quantiles of very large columns.
 
-Sorting a whole column in one task is fine for a counted small table only. Larger tables
-are narrowed first: a sketch brackets the wanted
-order statistic, one pass counts what lies below and inside the bracket, and this repeats
+No column is sorted as a whole. A sketch brackets the wanted order statistic, one pass counts what lies below and inside the bracket, and this repeats
 until the open bracket holds few rows. A value that fills a large part of the column ends
 up as a border of the bracket and is settled by its count alone, so it is never collected.
 """
@@ -16,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom import runtime
+# Values that one task gathers in the end, over all columns and brackets.
+GATHERED_ROWS = 50_000
 
 _SKETCH = 5_000  # accuracy of percentile_approx: rank error is rows / _SKETCH
 _SLACK = 2 / _SKETCH  # distance of the bracket from the wanted rank, as a share of the rows
@@ -64,8 +63,8 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], counts: dict[st
     targets = [
         _Target(c, r, None, None, 0, counts[c]) for c in wanted for r in sorted(wanted[c]) if 1 <= r <= counts[c]
     ]
-    # all columns are gathered in the same task at the end, so they share its limit
-    limit = max(runtime.SINGLE_TASK_ROWS // max(len(wanted), 1), 1)
+    # all brackets are gathered in the same task at the end, so they share its limit
+    limit = max(GATHERED_ROWS // max(len(targets), 1), 1)
     while True:
         open_targets = [t for t in targets if t.value is None]
         wide = [t for t in open_targets if t.inside > limit]

@@ -21,7 +21,7 @@ _ORDERED_TYPES = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType
 
 
 def bucket_bits(spark: SparkSession) -> int:
-    """Bits of the bucket number: eight buckets per shuffle partition."""
+    """Bits of the bucket number: eight buckets per shuffle partition, up to a million buckets."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return min(20, max(4, (partitions * 8 - 1).bit_length()))
 
@@ -39,7 +39,10 @@ def as_number(df: DataFrame, column: str) -> Column:
     if isinstance(kind, T.DateType):
         return F.unix_date(column).cast("double")
     if isinstance(kind, T.TimestampNTZType):
-        return F.col(column).cast("timestamp").cast("double")
+        # seconds on the zoneless clock: a session zone with daylight saving would step back
+        return F.unix_date(F.col(column).cast("date")) * F.lit(86_400.0) + (
+            F.hour(column) * 3600 + F.minute(column) * 60 + F.date_part(F.lit("SECOND"), column).cast("double")
+        )
     return F.col(column).cast("double")
 
 
@@ -47,7 +50,8 @@ def value_bucketed(df: DataFrame, column: str, out: str, *, descending: bool = F
     """Add ``out``, a bucket number that follows the order of a numeric column.
 
     Borders are approximate quantiles of the column, so buckets hold similar row counts;
-    they only balance the work and do not affect the result.
+    they only balance the work and do not affect the result. There are 4096 buckets at most,
+    since the borders travel with the plan.
     """
     buckets = 1 << min(12, bucket_bits(df.sparkSession))
     number = as_number(df, column)
@@ -164,24 +168,18 @@ def hash_rank(
 
 
 def _stored_in_order(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
-    """Range-sort and store: from then on partitions are fixed, ordered buckets."""
+    """Range-sort and store with the partition and the place in it: the partitions are ordered buckets."""
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return runtime.materialize(df.orderBy(*order)).withColumns(
-        {"part__id": F.spark_partition_id(), "part__place": place}
-    )
+    placed = df.orderBy(*order).withColumns({"part__id": F.spark_partition_id(), "part__place": place})
+    return runtime.store(placed, "ordered")
 
 
-def ordered_rank(df: DataFrame, out: str, order: Sequence[str | Column], *, rows: int | None = None) -> DataFrame:
+def ordered_rank(df: DataFrame, out: str, order: Sequence[str | Column]) -> DataFrame:
     """Rank a table in the order of any columns that together identify a row.
 
-    A table counted to be small is ordered in one task. A larger one is range-sorted and
-    stored; the stored partitions are the buckets, so a row's rank is its place in the
-    partition plus the row counts of the partitions before it. ``df`` is read twice.
+    The table is range-sorted and stored; its partitions are the buckets, so a row's rank is
+    its place in the partition plus the row counts of the partitions before it.
     """
-    rows = df.count() if rows is None else rows
-    if rows <= runtime.SINGLE_TASK_ROWS:
-        single = Window.partitionBy(F.lit(0)).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(single).cast("long"))
     stored = _stored_in_order(df, order)
     sizes = stored.groupBy("part__id").agg(F.count("*").alias("n__rows"))
     offsets = _offsets(sizes, "part__id", (), {"n__rows": "n__rank"})
@@ -192,13 +190,7 @@ def ordered_rank(df: DataFrame, out: str, order: Sequence[str | Column], *, rows
     )
 
 
-def ordered_sum(
-    df: DataFrame, column: str, out: str, order: Sequence[str | Column], *, rows: int | None = None
-) -> DataFrame:
+def ordered_sum(df: DataFrame, column: str, out: str, order: Sequence[str | Column]) -> DataFrame:
     """Running sum of ``column`` in the order of columns that identify a row; like :func:`ordered_rank`."""
-    rows = df.count() if rows is None else rows
-    if rows <= runtime.SINGLE_TASK_ROWS:
-        single = Window.partitionBy(F.lit(0)).orderBy(*order)
-        return df.withColumn(out, F.sum(column).over(single.rowsBetween(Window.unboundedPreceding, 0)))
     stored = _stored_in_order(df, order)
     return running_sums(stored, {column: out}, bucket="part__id", order=["part__place"]).drop("part__place")

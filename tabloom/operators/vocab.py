@@ -11,9 +11,6 @@ from tabloom import runtime
 from tabloom.functions import sequences, text
 from tabloom.operators import lookup, rank
 
-# Longest sequence that is put together by one aggregate per position.
-_FIXED_LENGTH = 64
-
 
 def tokenized(df: DataFrame, key: str, column: str, **options) -> DataFrame:
     """Table (key, tokens)."""
@@ -64,11 +61,10 @@ def build_vocab(df: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     The special tokens take 0, 1 and 2. The table is stored, since encoding reads it
     several times.
     """
-    first = runtime.materialize(first_occurrences(df, key, tokens))
-    ranked = rank.ordered_rank(first, "rank__1", ["first_key", "first_pos"])
+    ranked = rank.ordered_rank(first_occurrences(df, key, tokens), "rank__1", ["first_key", "first_pos"])
     shift = len(sequences.SPECIAL_TOKENS) - 1
     words = ranked.select("token", "n", (F.col("rank__1") + shift).alias("token_id"))
-    return special_rows(df.sparkSession).unionByName(words)
+    return runtime.store(special_rows(df.sparkSession).unionByName(words), "vocab")
 
 
 def vocab_size(vocab: DataFrame) -> DataFrame:
@@ -100,11 +96,16 @@ def _regroup(places: DataFrame, key: str, item: str, out: str) -> DataFrame:
     """Arrays in position order, one per key.
 
     Elements of a row sit in one task after the broadcast join and are combined there, so
-    about one array per row is shuffled.
+    about one array per row is shuffled. Two rows with one key are an error.
     """
     pair = F.when(F.col("pos").isNotNull(), F.struct("pos", item))
-    ordered = F.array_sort(F.collect_list(pair))
-    return places.groupBy(key).agg(F.transform(ordered, lambda x: x[item]).alias(out))
+    gathered = places.groupBy(key).agg(
+        F.array_sort(F.collect_list(pair)).alias("items"), F.count("*").alias("n"), F.max("pos").alias("last")
+    )
+    message = F.concat(F.lit("rows share the key "), F.col(key).cast("string"))
+    shared = F.col("n") != F.coalesce(F.col("last") + 1, F.lit(1))
+    checked = F.when(shared, F.raise_error(message).cast(gathered.schema["items"].dataType)).otherwise(F.col("items"))
+    return gathered.select(key, F.transform(checked, lambda x: x[item]).alias(out))
 
 
 def encode(
@@ -124,13 +125,7 @@ def encode(
     kept = df.select(key, F.slice(tokens, 1, length - 1).alias("kept"))
     found = lookup.lookup_join(_places(kept, key, "kept", "token"), "token", vocab.drop("n"), "token")
     known = found.withColumn("token_id", F.coalesce("token_id", F.lit(sequences.PAD)).cast("int"))
-    if length <= _FIXED_LENGTH:
-        # one number per position keeps the aggregation on flat rows
-        spots = [F.max(F.when(F.col("pos") == i, F.col("token_id"))) for i in range(length - 1)]
-        grouped = known.groupBy(key).agg(F.array_compact(F.array(*spots).cast("array<int>")).alias("known"))
-    else:
-        grouped = _regroup(known, key, "token_id", "known")
-    return grouped.select(key, sequences.pad_ids("known", length).alias(out))
+    return _regroup(known, key, "token_id", "known").select(key, sequences.pad_ids("known", length).alias(out))
 
 
 def encode_strict(

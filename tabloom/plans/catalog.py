@@ -28,9 +28,16 @@ class Catalog(dict[str, Query]):
 
 
 def all_queries() -> dict[str, Query]:
-    from tabloom.plans import column_queries, corpus_queries, patient_queries, sensor_queries, split_queries
+    from tabloom.plans import (
+        column_queries,
+        corpus_queries,
+        model_queries,
+        patient_queries,
+        sensor_queries,
+        split_queries,
+    )
 
     merged: dict[str, Query] = {}
-    for module in (sensor_queries, column_queries, split_queries, patient_queries, corpus_queries):
+    for module in (sensor_queries, column_queries, split_queries, patient_queries, corpus_queries, model_queries):
         merged.update(module.CATALOG)
     return merged

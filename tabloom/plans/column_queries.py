@@ -112,11 +112,11 @@ def drop_missing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @CATALOG.query(
-    """SELECT l_orderkey, l_quantity AS measured, 'quantity' AS kind FROM lineitem WHERE l_quantity > 30"""
+    """SELECT l_orderkey, l_quantity AS measured, 'quantity' AS kind FROM lineitem"""
 )
 def rename_and_constant(spark: SparkSession, folder: str) -> DataFrame:
     """Copy a column, add a constant, drop the original."""
-    items = table(spark, folder, "lineitem").filter(F.col("l_quantity") > 30).select("l_orderkey", "l_quantity")
+    items = table(spark, folder, "lineitem").select("l_orderkey", "l_quantity")
     marked = columns.constant(columns.copy_column(items, "l_quantity", "measured"), "kind", "quantity")
     return columns.drop_columns(marked, ["l_quantity"])
 

@@ -10,7 +10,7 @@ from tabloom.functions import sequences, text
 from tabloom.operators import pairs, rank, vocab
 from tabloom.plans import corpus
 from tabloom.plans.catalog import Catalog
-from tabloom.plans.standins import TURNS_SQL, sql_tokens, table, texts, turns
+from tabloom.plans.standins import TURNS_SQL, sql_tokens, table, turns
 from tabloom.sources import tables
 
 CATALOG = Catalog()
@@ -19,11 +19,11 @@ _LENGTH = 11
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return vocab.tokenized(texts(spark, folder, "documents"), "doc_id", "text")
+    return vocab.tokenized(table(spark, folder, "documents"), "doc_id", "text")
 
 
 def _french(spark: SparkSession, folder: str) -> DataFrame:
-    french = texts(spark, folder, "documents").filter(F.col("lang") == "fr")
+    french = table(spark, folder, "documents").filter(F.col("lang") == "fr")
     return vocab.tokenized(french, "doc_id", "text")
 
 
@@ -37,8 +37,8 @@ def _places_sql(source: str, key: str, words: str = "w") -> str:
 
 def _vocab_sql(name: str, source: str, key: str, words: str = "w") -> str:
     return f"""{name} AS (
-      SELECT token, n, row_number() OVER (ORDER BY first_key, first_pos) + 2 AS token_id FROM (
-        SELECT token, count(*) AS n, min({key}) AS first_key, arg_min(pos, {key} * 10000000 + pos) AS first_pos
+      SELECT token, n, row_number() OVER (ORDER BY first_place) + 2 AS token_id FROM (
+        SELECT token, count(*) AS n, min(({key}, pos)) AS first_place
         FROM ({_places_sql(source, key, words)}) GROUP BY 1)
       UNION ALL VALUES ('<PAD>', 0, 0), ('<SOS>', 0, 1), ('<EOS>', 0, 2))"""
 
@@ -66,7 +66,7 @@ def tokenize(spark: SparkSession, folder: str) -> DataFrame:
 )
 def tokenize_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens with line breaks as separators."""
-    tokens = vocab.tokenized(texts(spark, folder, "documents"), "doc_id", "text", newline_as_space=True)
+    tokens = vocab.tokenized(table(spark, folder, "documents"), "doc_id", "text", newline_as_space=True)
     return tokens.select("doc_id", F.md5(text.join_words("tokens")).alias("digest"))
 
 
@@ -79,7 +79,7 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query(
     f"""WITH {_DOCS_SQL}, p AS ({_places_sql('docs', 'doc_id')})
         SELECT token, count(*) AS n, min(doc_id) AS first_key,
-          CAST(arg_min(pos, doc_id * 10000000 + pos) - 1 AS INT) AS first_pos FROM p GROUP BY 1"""
+          CAST(min({{'d': doc_id, 'p': pos}}).p - 1 AS INT) AS first_pos FROM p GROUP BY 1"""
 )
 def first_occurrences(spark: SparkSession, folder: str) -> DataFrame:
     """First place of every token."""
@@ -93,17 +93,17 @@ def build_vocab(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @CATALOG.query(
-    f"WITH {_FRENCH_SQL}, {_vocab_sql('voc', 'fr', 'doc_id')} SELECT token_id, token FROM voc WHERE token_id < 10"
+    f"WITH {_DOCS_SQL}, {_vocab_sql('voc', 'docs', 'doc_id')} SELECT token_id, token FROM voc WHERE token_id < 10"
 )
 def vocab_head(spark: SparkSession, folder: str) -> DataFrame:
-    """First ten entries of the French vocabulary."""
-    return corpus.vocab_head(vocab.build_vocab(_french(spark, folder), "doc_id"))
+    """First ten entries of the vocabulary."""
+    return corpus.vocab_head(vocab.build_vocab(_documents(spark, folder), "doc_id"))
 
 
-@CATALOG.query(f"WITH {_FRENCH_SQL}, {_vocab_sql('voc', 'fr', 'doc_id')} SELECT count(*) AS entries FROM voc")
+@CATALOG.query(f"WITH {_DOCS_SQL}, {_vocab_sql('voc', 'docs', 'doc_id')} SELECT count(*) AS entries FROM voc")
 def vocab_size(spark: SparkSession, folder: str) -> DataFrame:
-    """Entries of the French vocabulary, special tokens included."""
-    return vocab.vocab_size(vocab.build_vocab(_french(spark, folder), "doc_id"))
+    """Entries of the vocabulary, special tokens included."""
+    return vocab.vocab_size(vocab.build_vocab(_documents(spark, folder), "doc_id"))
 
 
 @CATALOG.query(
@@ -205,7 +205,7 @@ _PAIRS_SQL = f"""{TURNS_SQL}, toks AS (
 def training_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Model inputs from question and answer turns."""
     # the pairs come from a join of whole texts and are read once per vocabulary and side
-    ready = pairs.training_pairs(runtime.materialize(turns(spark, folder)), "pair_id", _LENGTH)
+    ready = pairs.training_pairs(runtime.store(turns(spark, folder), "turns"), "pair_id", _LENGTH)
     shown = [F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("src_ids", "tgt_in", "tgt_out")]
     masks = [F.array_join(F.col(c).cast("array<int>").cast("array<string>"), "").alias(c) for c in ("src_pad", "tgt_pad")]
     return ready.select("pair_id", *shown, *masks, "split")
@@ -238,7 +238,7 @@ def _write_lines(df: DataFrame, order: str, column: str, path: str) -> None:
 )
 def paired_files(spark: SparkSession, folder: str) -> DataFrame:
     """Two line files written in key order, read back and paired by line position."""
-    both = runtime.materialize(turns(spark, folder))
+    both = runtime.store(turns(spark, folder), "turns")
     paths = {side: runtime.scratch_path(spark, side) for side in ("source", "target")}
     for side, path in paths.items():
         _write_lines(both, "pair_id", side, path)

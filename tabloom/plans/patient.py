@@ -30,7 +30,7 @@ class Study:
         """
         columns = self.table.select(*self.key, *self.features, self.label)
         parts = split.stratified_split(columns, self.key, self.label, test_fraction, seed)
-        parts = runtime.materialize(parts)
+        parts = runtime.store(parts, "sides")
         return parts.filter(F.col("split") == "train"), parts.filter(F.col("split") == "test")
 
 
@@ -60,13 +60,11 @@ def fit_forest(
     *,
     balance: bool = False,
     seed: int = 42,
-    layout: int | None = None,
 ) -> models.Fitted:
     """100 trees of depth 5 with leaves of at least 3 rows."""
     if balance:
         train = models.balanced(train, study.label)
-    if layout:
-        train = models.fixed_layout(train, study.key, layout)
+    train = models.fixed_layout(train, study.key)
     return models.fit_forest(
         train,
         study.features,
@@ -80,10 +78,9 @@ def fit_forest(
     )
 
 
-def fit_balanced_tree(train: DataFrame, study: Study, *, seed: int = 42, layout: int | None = None) -> models.Fitted:
+def fit_balanced_tree(train: DataFrame, study: Study, *, seed: int = 42) -> models.Fitted:
     train = models.balanced(train, study.label)
-    if layout:
-        train = models.fixed_layout(train, study.key, layout)
+    train = models.fixed_layout(train, study.key)
     return models.fit_tree(train, study.features, study.label, depth=5, min_leaf=3, seed=seed, weight="weight")
 
 
@@ -115,5 +112,4 @@ def permutation_table(
 
 
 def dependence_table(study: Study, train: DataFrame, fitted: models.Fitted, *, points: int = 100) -> DataFrame:
-    rows = runtime.spread(train, *study.key)
-    return explain.partial_dependence(rows, study.features, fitted.apply, points=points)
+    return explain.partial_dependence(train, study.features, fitted.apply, points=points)

@@ -16,13 +16,10 @@ from tabloom.plans.standins import DOCUMENT_FEATURES, STUDY_SQL, table
 
 CATALOG = Catalog()
 
-_LAYOUT = 8
-
-
 def _study(spark: SparkSession, folder: str) -> patient.Study:
     """The study with its features stored, so that texts are tokenized once."""
     study = standins.study(spark, folder)
-    return replace(study, table=runtime.materialize(study.table))
+    return replace(study, table=runtime.store(study.table, "study"))
 
 
 # A fixed logistic formula, for explanation tables that SQL can check.
@@ -96,7 +93,8 @@ def roc_points(spark: SparkSession, folder: str) -> DataFrame:
 
 @CATALOG.query(
     f"""WITH {STUDY_SQL}, scored AS (SELECT quality, {_PLAIN_SQL} AS p1 FROM study)
-        SELECT quality AS label, count(*) FILTER (p1 <= 0.5) AS predicted_0, count(*) FILTER (p1 > 0.5) AS predicted_1
+        SELECT quality AS label, count(*) FILTER (p1 <= 0.5) AS predicted_0, count(*) FILTER (p1 > 0.5) AS predicted_1,
+          0::BIGINT AS predicted_other
         FROM scored GROUP BY 1"""
 )
 def binary_confusion(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,7 +120,7 @@ def binary_confusion(spark: SparkSession, folder: str) -> DataFrame:
 )
 def fold_means(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of the fixed formula per stratified fold, averaged over the folds."""
-    placed = split.stratified_folds(standins.labelled_documents(spark, folder), ["doc_id"], "quality", 5, 42)
+    placed = split.stratified_folds(_study(spark, folder).table, ["doc_id"], "quality", 5, 42)
     counts = metrics.binary_counts(formula(placed), "quality", "prediction", ["fold"])
     means = metrics.mean_over(metrics.binary_scores(counts, ["fold"]), metrics.BINARY_METRICS)
     return means.withColumn("mean", F.round("mean", 6))
@@ -154,7 +152,7 @@ def _permuted_sql() -> str:
 def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy lost by the fixed formula when a feature takes donor values."""
     scores = explain.permutation_scores(
-        standins.labelled_documents(spark, folder),
+        _study(spark, folder).table,
         ["doc_id"],
         DOCUMENT_FEATURES,
         "quality",
@@ -199,7 +197,7 @@ def _dependence_sql() -> str:
 def partial_dependence(spark: SparkSession, folder: str) -> DataFrame:
     """Mean probability of the fixed formula along each feature."""
     documents = standins.labelled_documents(spark, folder)
-    stored = runtime.materialize(documents.select(*DOCUMENT_FEATURES))
+    stored = runtime.store(documents.select(*DOCUMENT_FEATURES), "features")
     table = explain.partial_dependence(stored, DOCUMENT_FEATURES, formula)
     return table.select("feature", F.round("grid", 6).alias("grid"), F.round("mean_probability", 6).alias("mean_probability"))
 
@@ -217,7 +215,7 @@ def forest_report(spark: SparkSession, folder: str) -> DataFrame:
     """Report of the plain forest on the test side."""
     study = _study(spark, folder)
     train, test = study.sides()
-    return patient.report(study, patient.fit_forest(train, study, layout=_LAYOUT).apply(test))
+    return patient.report(study, patient.fit_forest(train, study).apply(test))
 
 
 @CATALOG.query()
@@ -225,7 +223,7 @@ def balanced_forest(spark: SparkSession, folder: str) -> DataFrame:
     """Report of the balanced forest on the test side."""
     study = _study(spark, folder)
     train, test = study.sides()
-    return patient.report(study, patient.fit_forest(train, study, balance=True, layout=_LAYOUT).apply(test))
+    return patient.report(study, patient.fit_forest(train, study, balance=True).apply(test))
 
 
 @CATALOG.query()
@@ -233,7 +231,7 @@ def balanced_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy, recall and precision of the balanced tree on the test side."""
     study = _study(spark, folder)
     train, test = study.sides()
-    scored = patient.fit_balanced_tree(train, study, layout=_LAYOUT).apply(test)
+    scored = patient.fit_balanced_tree(train, study).apply(test)
     scores = metrics.binary_scores(metrics.binary_counts(scored, study.label, "prediction"))
     return scores.unpivot([], ["accuracy", "recall", "precision"], "metric", "value")
 
@@ -263,7 +261,7 @@ def mdi_table(spark: SparkSession, folder: str) -> DataFrame:
     """Impurity importances of a forest on scaled features."""
     study = _study(spark, folder)
     train, _ = patient.scaled_sides(study)
-    return explain.impurity_importance(train, patient.fit_forest(train, study, layout=_LAYOUT))
+    return explain.impurity_importance(train, patient.fit_forest(train, study))
 
 
 @CATALOG.query()
@@ -271,7 +269,7 @@ def permutation_importance_forest(spark: SparkSession, folder: str) -> DataFrame
     """Accuracy a forest loses on its train rows when a feature takes donor values, 30 repeats."""
     study = _study(spark, folder)
     train, _ = patient.scaled_sides(study)
-    return patient.permutation_table(study, train, patient.fit_forest(train, study, layout=_LAYOUT))
+    return patient.permutation_table(study, train, patient.fit_forest(train, study))
 
 
 @CATALOG.query()

@@ -115,28 +115,25 @@ def _sides(df: DataFrame, key: Sequence[str], seed: int) -> tuple[DataFrame, Dat
 
 
 def _forest_case(
-    df: DataFrame, key: Sequence[str], features: Sequence[str], label: str, seed: int, balance: bool, layout: int | None
+    df: DataFrame, key: Sequence[str], features: Sequence[str], label: str, seed: int, balance: bool
 ) -> Scored:
     train, test = _sides(df, key, seed)
     if balance:
         train = models.balanced(train, label)
-    if layout:
-        train = models.fixed_layout(train, key, layout)
+    train = models.fixed_layout(train, key)
     fitted = models.fit_forest(train, features, label, trees=30, seed=seed, weight="weight" if balance else None)
     return Scored(fitted, fitted.apply(test))
 
 
-def hour_case(df: DataFrame, *, seed: int = 123, layout: int | None = None) -> Scored:
-    return _forest_case(hour_table(df), ["timestamp"], HOUR_FEATURES, "hour", seed, False, layout)
+def hour_case(df: DataFrame, *, seed: int = 123) -> Scored:
+    return _forest_case(hour_table(df), ["timestamp"], HOUR_FEATURES, "hour", seed, False)
 
 
-def weekend_case(df: DataFrame, *, seed: int = 123, balance: bool = False, layout: int | None = None) -> Scored:
-    return _forest_case(weekend_table(df), ["timestamp"], POWER_FEATURES, "is_weekend", seed, balance, layout)
+def weekend_case(df: DataFrame, *, seed: int = 123, balance: bool = False) -> Scored:
+    return _forest_case(weekend_table(df), ["timestamp"], POWER_FEATURES, "is_weekend", seed, balance)
 
 
-def device_case(
-    df: DataFrame, *, seed: int = 123, by_reading: bool = True, layout: int | None = None
-) -> Scored:
+def device_case(df: DataFrame, *, seed: int = 123, by_reading: bool = True) -> Scored:
     """Device type from one power value; predictions carry the names again.
 
     All rows of one reading stay on one side of the split; ``by_reading=False`` splits row
@@ -146,7 +143,7 @@ def device_case(
     index = classes.category_index(table, "device_type")
     labelled = classes.attach(table, "device_type", index)
     key = ["timestamp"] if by_reading else ["timestamp", "device_type"]
-    scored = _forest_case(labelled, key, DEVICE_FEATURES, "label", seed, False, layout)
+    scored = _forest_case(labelled, key, DEVICE_FEATURES, "label", seed, False)
     named = classes.index_names(scored.predictions, "prediction", index, "label", "device_type", "predicted_type")
     return Scored(scored.model, named)
 

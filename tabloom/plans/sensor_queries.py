@@ -10,18 +10,14 @@ from tabloom.functions import calendar, numeric
 from tabloom.operators import classes, columns, metrics, models, profile, split
 from tabloom.plans import sensor
 from tabloom.plans.catalog import Catalog
-from tabloom.plans.standins import SENSOR_SQL, lines, table
+from tabloom.plans.standins import SENSOR_SQL, daily_sensor, lines, table
 from tabloom.plans.standins import sensor as sensor_table
 
 CATALOG = Catalog()
 
-# trees depend on row placement: a fixed number of partitions keeps the results the same
-_LAYOUT = 8
-
-
 def _stored(spark: SparkSession, folder: str) -> DataFrame:
     """The hourly table, aggregated once for all passes of a fit."""
-    return runtime.materialize(sensor_table(spark, folder))
+    return runtime.store(sensor_table(spark, folder), "hourly")
 
 
 def _rounded(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
@@ -201,16 +197,7 @@ def top_spread_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pick(rank: int) -> str:
-    cases = " ".join(
-        f"WHEN '{c}' THEN {c}"
-        for c in (
-            "total_water_cooling",
-            "power_ventilation",
-            "total_elevator",
-            "power_ev_charging",
-            "power_solar_plant",
-        )
-    )
+    cases = " ".join(f"WHEN '{c}' THEN {c}" for c in sensor.POWER_FEATURES)
     return f"CASE (SELECT feature FROM ordered WHERE r = {rank}) {cases} END"
 
 
@@ -303,20 +290,20 @@ def rounded_percent(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query()
 def hour_forest_cyclic(spark: SparkSession, folder: str) -> DataFrame:
     """Forest for the hour of day: accuracy and mean circular distance."""
-    return sensor.hour_report(sensor.hour_case(_stored(spark, folder), layout=_LAYOUT).predictions)
+    return sensor.hour_report(sensor.hour_case(_stored(spark, folder)).predictions)
 
 
 @CATALOG.query()
 def weekend_forest_by_day(spark: SparkSession, folder: str) -> DataFrame:
     """Forest for the weekend: accuracy per weekday."""
-    scored = sensor.weekend_case(_stored(spark, folder), balance=True, layout=_LAYOUT)
+    scored = sensor.weekend_case(_stored(spark, folder), balance=True)
     return sensor.weekend_report(scored.predictions)
 
 
 @CATALOG.query()
 def device_forest_by_type(spark: SparkSession, folder: str) -> DataFrame:
     """Forest for the device type: accuracy per type."""
-    return sensor.device_report(sensor.device_case(_stored(spark, folder), layout=_LAYOUT).predictions)
+    return sensor.device_report(sensor.device_case(_stored(spark, folder)).predictions)
 
 
 @CATALOG.query()
@@ -337,7 +324,8 @@ def top2_logit(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query(
     """SELECT l_linenumber AS label,
          count(*) FILTER (p = 1) AS predicted_1, count(*) FILTER (p = 2) AS predicted_2,
-         count(*) FILTER (p = 3) AS predicted_3, count(*) FILTER (p = 4) AS predicted_4
+         count(*) FILTER (p = 3) AS predicted_3, count(*) FILTER (p = 4) AS predicted_4,
+         0::BIGINT AS predicted_other
        FROM (SELECT l_linenumber, CAST(l_quantity AS BIGINT) % 4 + 1 AS p FROM lineitem) GROUP BY 1"""
 )
 def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
@@ -346,3 +334,79 @@ def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
         "l_linenumber", (F.col("l_quantity").cast("long") % 4 + 1).alias("prediction")
     )
     return metrics.confusion_matrix(ruled, "l_linenumber", "prediction", (1, 2, 3, 4))
+
+
+_GAPPED_SQL = """gapped AS (
+  SELECT CAST(dayofweek(ts) IN (0, 6) AS INT) AS y,
+    CASE WHEN value >= 5 THEN CAST(value > 20 AS INT) END AS p FROM events)"""
+
+
+def _gapped(spark: SparkSession, folder: str) -> DataFrame:
+    """Weekend label and a fixed rule that says nothing on small values."""
+    rule = F.when(F.col("value") >= 5, F.when(F.col("value") > 20, 1.0).otherwise(0.0))
+    return table(spark, folder, "events").select(calendar.weekend_flag("ts").alias("y"), rule.alias("p"))
+
+
+@CATALOG.query(
+    f"""WITH {_GAPPED_SQL} SELECT y AS label, count(*) FILTER (p = 0) AS predicted_0, count(*) FILTER (p = 1) AS predicted_1,
+          count(*) FILTER (p IS NULL) AS predicted_other FROM gapped GROUP BY 1"""
+)
+def confusion_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Confusion table of a rule that leaves rows without a prediction."""
+    return metrics.confusion_matrix(_gapped(spark, folder), "y", "p", (0, 1))
+
+
+@CATALOG.query(
+    f"""WITH {_GAPPED_SQL}, c AS (SELECT count(*) AS n, count(*) FILTER (p = y) AS hits, sum(y) AS pos,
+            count(*) FILTER (p = 1 AND y = 1) AS tp, count(*) FILTER (p = 0 AND y = 0) AS tn,
+            count(*) FILTER (y = 0 AND coalesce(p, 1) = 1) AS fp FROM gapped)
+        SELECT round(hits / n, 6) AS accuracy, round((tp / pos + tn / (n - pos)) / 2, 6) AS balanced_accuracy,
+          round(tp / pos, 6) AS recall, round(tp / (tp + fp), 6) AS "precision", round(hits / n, 6) AS plain_accuracy FROM c"""
+)
+def scores_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """All scores of a rule that leaves rows without a prediction: they count as wrong."""
+    ruled = _gapped(spark, folder)
+    scores = metrics.binary_scores(metrics.binary_counts(ruled, "y", "p"))
+    plain = metrics.accuracy(ruled, "y", "p").first()["accuracy"]
+    rounded = [F.round(c, 6).alias(c) for c in metrics.BINARY_METRICS]
+    return scores.select(*rounded, F.round(F.lit(plain), 6).alias("plain_accuracy"))
+
+
+@CATALOG.query(
+    """SELECT round(avg(CASE WHEN CAST(dayofweek(ts) IN (0, 6) AS INT) = CAST(value > 20 AS INT) THEN 1.0 ELSE 0.0 END), 8) AS accuracy
+       FROM events WHERE value IS NOT NULL AND ts IS NOT NULL"""
+)
+def weekend_accuracy(spark: SparkSession, folder: str) -> DataFrame:
+    """Overall accuracy of a fixed weekend rule."""
+    ruled = columns.drop_missing(table(spark, folder, "events").select("ts", "value")).select(
+        calendar.weekend_flag("ts").alias("is_weekend"), F.when(F.col("value") > 20, 1.0).otherwise(0.0).alias("prediction")
+    )
+    return _rounded(metrics.accuracy(ruled, "is_weekend", "prediction"), ("accuracy",))
+
+
+@CATALOG.query(
+    f"""{_DEVICE_SQL}, idx AS (
+          SELECT device_type, row_number() OVER (ORDER BY count(*) DESC, device_type) - 1 AS label
+          FROM device GROUP BY 1)
+        SELECT round(sum(CASE WHEN i.label = CAST(floor(d.power_value) AS BIGINT) % 5
+            THEN 1 ELSE 0 END) / count(*), 8) AS accuracy
+        FROM device d JOIN idx i ON d.device_type = i.device_type"""
+)
+def device_accuracy(spark: SparkSession, folder: str) -> DataFrame:
+    """Overall accuracy of a fixed rule for the device type."""
+    devices = sensor.device_table(sensor_table(spark, folder))
+    labelled = classes.attach(devices, "device_type", classes.category_index(devices, "device_type"))
+    ruled = labelled.withColumn("prediction", F.floor("power_value") % 5)
+    return _rounded(metrics.accuracy(ruled, "label", "prediction"), ("accuracy",))
+
+
+@CATALOG.query()
+def weekend_forest_plain(spark: SparkSession, folder: str) -> DataFrame:
+    """Forest for the weekend without weights: accuracy per weekday."""
+    return sensor.weekend_report(sensor.weekend_case(_stored(spark, folder)).predictions)
+
+
+@CATALOG.query()
+def month_logit(spark: SparkSession, folder: str) -> DataFrame:
+    """Logistic regression for the listed long months, on daily means of the line items."""
+    return sensor.month_report(sensor.month_case(runtime.store(daily_sensor(spark, folder), "daily")).predictions)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom import runtime
 from tabloom.operators import classes, rank, scale, split
 from tabloom.plans.catalog import Catalog
 from tabloom.plans.standins import DOCUMENT_FEATURES, LINES_SQL, STUDY_SQL, labelled_documents, lines, table
@@ -145,6 +146,6 @@ def _robust_sql(names: tuple[str, ...]) -> str:
 @CATALOG.query(_robust_sql(DOCUMENT_FEATURES))
 def robust_scale(spark: SparkSession, folder: str) -> DataFrame:
     """Document features scaled by median and quartile distance."""
-    documents = labelled_documents(spark, folder)
+    documents = runtime.store(labelled_documents(spark, folder), "features")
     scaled = scale.fit_robust(documents, DOCUMENT_FEATURES).apply(documents)
     return scaled.select("doc_id", *[F.round(c, 6).alias(c) for c in DOCUMENT_FEATURES])

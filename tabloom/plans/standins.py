@@ -20,18 +20,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tables.read_parquet(spark, os.path.join(folder, f"{name}.parquet"))
 
 
-_KEYS = {
-    "documents": ("doc_id",),
-    "conversations": ("conv_id", "turn"),
-    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
-}
-
-
-def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table with costly columns; a scan of few tasks is spread over the cores."""
-    return runtime.spread(table(spark, folder, name), *_KEYS[name])
-
-
 # Which events feed which sensor column: (event type, measured field).
 _SENSOR_FEEDS = {
     "temperature": ("view", "value"),
@@ -73,6 +61,17 @@ SENSOR_SQL = """sensor AS (
   GROUP BY 1)"""
 
 
+def daily_sensor(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily means of the line items in the shape of the sensor table; it covers all months."""
+    fields = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    means = [
+        F.avg(F.when(F.pmod("l_suppkey", F.lit(3)) == i % 3, F.col(fields[i % 4]))).alias(name)
+        for i, name in enumerate(_SENSOR_FEEDS)
+    ]
+    day = F.col("l_shipdate").cast("timestamp_ntz").alias("timestamp")
+    return table(spark, folder, "lineitem").groupBy(day).agg(*means)
+
+
 DOCUMENT_FEATURES = ("n_chars", "n_tokens", "distinct_ratio", "mean_token_length", "n_lines")
 
 
@@ -81,7 +80,8 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     Features are computed before the join, so it moves six numbers per document, not texts.
     """
-    docs = texts(spark, folder, "documents").select(
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    docs = table(spark, folder, "documents").join(labels.select("doc_id"), "doc_id", "left_semi").select(
         "doc_id", "text", "n_chars", text.tokenize("text").alias("tokens")
     )
     words = F.size("tokens").cast("double")
@@ -94,7 +94,7 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
         numeric.ratio(letters, words, 0.0).alias("mean_token_length"),
         (F.length("text") - F.length(F.translate("text", "\n", "")) + 1).cast("double").alias("n_lines"),
     )
-    return features.join(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id")
+    return features.join(labels, "doc_id")
 
 
 def study(spark: SparkSession, folder: str) -> Study:
@@ -126,18 +126,18 @@ def turns(spark: SparkSession, folder: str) -> DataFrame:
     The pair is found by an equi-join on (conversation, turn), which spreads even a
     conversation that holds much of the table.
     """
-    talk = texts(spark, folder, "conversations")
+    talk = table(spark, folder, "conversations")
     asked = talk.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("source"))
     answered = talk.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("target")
     )
     return asked.join(answered, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("pair_id"), "source", "target"
+        F.concat_ws("-", "conv_id", "turn").alias("pair_id"), "source", "target"
     )
 
 
 TURNS_SQL = """turns AS (
-  SELECT q.conv_id * 1000000 + q.turn AS pair_id, q.text AS source, a.text AS target
+  SELECT concat_ws('-', q.conv_id, q.turn) AS pair_id, q.text AS source, a.text AS target
   FROM conversations q JOIN conversations a
     ON a.conv_id = q.conv_id AND a.turn = q.turn + 1
   WHERE q.role = 'user' AND a.role = 'assistant')"""
@@ -146,7 +146,7 @@ TURNS_SQL = """turns AS (
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with a unique key in one column."""
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return texts(spark, folder, "lineitem").withColumn("line_id", key)
+    return table(spark, folder, "lineitem").withColumn("line_id", key)
 
 
 LINES_SQL = """lines AS (

@@ -1,7 +1,7 @@
 """Session defaults, size limits and the shared scratch folder.
 
-Every place in the library that broadcasts, or that orders rows in one task, compares
-a counted size with one of the limits below and has a distributed path beyond it.
+Every place in the library that broadcasts compares a counted size with the limits below and
+has a distributed path beyond them.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from pyspark.sql import types as T
 # Largest lookup table that is sent to every executor, by rows and by estimated bytes.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 << 20
-# Largest table that is ordered inside a single task.
-SINGLE_TASK_ROWS = 200_000
 
 
 def session(app: str = "tabloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -79,18 +77,16 @@ def store(df: DataFrame, name: str = "stored", partition_by: Sequence[str] = ())
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it from there afterwards."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def row_bytes(df: DataFrame) -> Column:
-    """Estimated size of a row of plain columns: 16 bytes per column plus the text lengths."""
+    """Estimated size of a row: 16 bytes per column, and the length of texts, bytes and nested values."""
     size = F.lit(16 * len(df.columns)).cast("long")
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+        value = F.col(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            continue
+        size = size + F.coalesce(F.octet_length(value), F.lit(0))
     return size
 
 
@@ -98,17 +94,6 @@ def fits_broadcast(rows: int, size: int | None) -> bool:
     return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
 
 
-def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Use all cores on a scan that has fewer tasks than cores, which only a small input has.
-
-    For files and stored tables; counting the tasks of a plan with shuffles would run them.
-    Rows are placed by their key, which needs no sort and puts a recomputed row back in the
-    same place.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
-
-
 def local_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> DataFrame:
     """Turn a few driver-side rows into a DataFrame whose exact size the optimizer knows."""
     return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))

@@ -43,17 +43,17 @@ def number_rows(scan: DataFrame, out: str = "row") -> DataFrame:
         F.monotonically_increasing_id().alias("file__seen"),
     )
     # hashing all columns keeps them in the counting scan, so both scans parse the same rows
-    splits = runtime.materialize(
+    splits = runtime.store(
         rows.groupBy("file__path", "file__start").agg(
             F.count("*").alias("n"), F.min("file__seen").alias("first"), F.max(F.xxhash64(*columns)).alias("kept")
-        )
+        ), "splits"
     )
     in_order = Window.partitionBy(F.lit(0)).orderBy("file__path", "file__start")
     earlier = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     offsets = splits.select(
         "file__path", "file__start", (F.coalesce(earlier, F.lit(0)) - F.col("first")).alias("file__offset")
     )
-    if splits.count() <= runtime.BROADCAST_ROWS:
+    if runtime.fits_broadcast(*splits.agg(F.count("*"), F.sum(runtime.row_bytes(splits))).first()):
         offsets = F.broadcast(offsets)
     # a split missing here means the second scan cut the files elsewhere: never lose its rows silently
     changed = F.raise_error(F.lit("file splits changed between the two scans")).cast("long")

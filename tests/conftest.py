@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tabloom import runtime  # noqa: E402
+from tabloom.operators import quantiles  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -30,4 +31,4 @@ def spark(tmp_path_factory):
 def small_limits(monkeypatch):
     """Force the paths for large tables."""
     monkeypatch.setattr(runtime, "BROADCAST_ROWS", 20)
-    monkeypatch.setattr(runtime, "SINGLE_TASK_ROWS", 20)
+    monkeypatch.setattr(quantiles, "GATHERED_ROWS", 20)

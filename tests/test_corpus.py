@@ -118,3 +118,10 @@ def test_numbered_lines(spark, tmp_path):
 def test_counts_and_samples(tokens):
     assert tuple(corpus.corpus_counts(tokens, "id").first()) == (4, 9)
     assert {r["id"] for r in corpus.sample_lines(tokens, "id", (1, 7, 99)).collect()} == {1, 7}
+
+
+@pytest.mark.parametrize("length", [10, 66])
+def test_rows_that_share_a_key_are_errors(spark, length):
+    tokens = vocab.tokenized(spark.createDataFrame([(1, "a b"), (1, "c d e")], "k long, s string"), "k", "s")
+    with pytest.raises(Exception, match="rows share the key"):
+        vocab.encode(tokens, vocab.build_vocab(tokens, "k"), "k", length).collect()

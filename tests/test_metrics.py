@@ -62,9 +62,30 @@ def test_report(spark, scored):
 
 
 def test_confusion_has_all_classes(spark):
-    df = spark.createDataFrame([(0, 0.0), (1, 0.0)], "y int, p double")
+    df = spark.createDataFrame([(0, 0.0), (1, 0.0), (1, 7.0), (1, None)], "y int, p double")
     table = metrics.confusion_matrix(df, "y", "p", (0, 1)).orderBy("label").collect()
-    assert [tuple(r) for r in table] == [(0, 1, 0), (1, 1, 0)]
+    assert [tuple(r) for r in table] == [(0, 1, 0, 0), (1, 1, 0, 2)]
+
+
+def test_missing_predictions_are_wrong_everywhere(spark):
+    df = spark.createDataFrame([(0, 0.0), (1, None), (0, None)], "y int, p double")
+    counts = metrics.binary_counts(df, "y", "p")
+    assert tuple(counts.first()) == (0, 1, 1, 1)
+    assert metrics.binary_scores(counts).first()["accuracy"] == metrics.accuracy(df, "y", "p").first()[0]
+
+
+@pytest.mark.parametrize("row", [(1, 7.0, 0.5), (None, 1.0, 0.5), (2, 1.0, 0.5)])
+def test_values_off_the_classes_are_errors(spark, row):
+    df = spark.createDataFrame([(0, 0.0, 0.1), row], "y int, p double, s double")
+    with pytest.raises(Exception, match="neither 0 nor 1"):
+        metrics.binary_counts(df, "y", "p").collect()
+
+
+@pytest.mark.parametrize("score", [None, float("nan")])
+def test_missing_scores_are_errors(spark, score):
+    df = spark.createDataFrame([(0, 0.1), (1, 0.9), (0, score)], "y int, s double")
+    with pytest.raises(Exception, match="is missing"):
+        metrics.auc(df, "y", "s").collect()
 
 
 def test_mean_and_spread(spark):

@@ -37,11 +37,23 @@ def test_prediction_follows_the_probability(labelled):
 def test_trees_do_not_depend_on_the_input_layout(labelled):
     found = []
     for df in (labelled, labelled.repartition(7), labelled.orderBy(F.desc("x")).repartition(3, "z")):
-        fitted = models.fit_forest(models.fixed_layout(df, ["id"], 4), ["x", "z"], "y", trees=10, subset="sqrt")
+        fitted = models.fit_forest(models.fixed_layout(df, ["id"], 60), ["x", "z"], "y", trees=10, subset="sqrt")
         found.append(fitted.model.featureImportances.toArray().tolist())
     assert found[0] == found[1] == found[2]
 
 
+def test_layout_follows_the_rows(spark, labelled):
+    counts = [models.fixed_layout(labelled, ["id"], n).rdd.getNumPartitions() for n in (10**9, 60, 30)]
+    rows = labelled.count()
+    assert counts == [1, -(-rows // 60), -(-rows // 30)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        assert models.fixed_layout(labelled, ["id"], 30).rdd.getNumPartitions() == counts[2]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_importance_tables(labelled):
     tree = models.fit_tree(models.balanced(labelled, "y"), ["x", "z"], "y", weight="weight")
     table = explain.impurity_importance(labelled, tree).collect()

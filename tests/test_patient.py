@@ -30,7 +30,7 @@ def test_patient_study(spark, tmp_path):
     scores = {r["metric"]: r["value"] for r in patient.report(study, logit.apply(test)).collect()}
     assert scores["auc"] > 0.8 and scores["recall"] > 0.6
 
-    forest = patient.fit_forest(train, study, balance=True, layout=4)
+    forest = patient.fit_forest(train, study, balance=True)
     table = patient.permutation_table(study, train, forest, repeats=3).collect()
     assert table[0]["feature"] == "Glucose" and len(table) == 8
 

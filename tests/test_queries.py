@@ -35,7 +35,9 @@ def comparable(columns, rows):
 
 
 CHECKED = sorted(name for name, query in all_queries().items() if query.sql and name not in AMBIGUOUS)
-FITTED = ["top2_logit", "balanced_logit", "mdi_table"]
+# the hourly table has complete rows at this size only
+FITTED_FOLDER = "/root/testdata/sf0.01"
+FITTED = sorted(name for name, query in all_queries().items() if not query.sql)
 
 
 @pytest.mark.parametrize("name", CHECKED)
@@ -43,7 +45,7 @@ def test_query_equals_sql(spark, duck, name):
     query = all_queries()[name]
     df = query.run(spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    for operator in ("NestedLoop", "Cartesian", "EvalPython", "MapInPandas"):
+    for operator in ("NestedLoop", "Cartesian", "EvalPython", "MapInPandas", "REPARTITION_BY_NUM"):
         assert operator not in plan
     relation = duck.sql(query.sql)
     assert comparable(df.columns, df.collect()) == comparable(relation.columns, relation.fetchall())
@@ -51,7 +53,7 @@ def test_query_equals_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", FITTED)
 def test_model_query_runs(spark, name):
-    assert all_queries()[name].run(spark, FOLDER).count() > 0
+    assert all_queries()[name].run(spark, FITTED_FOLDER).count() > 0
 
 
 def test_entry_reports_all_days(spark):

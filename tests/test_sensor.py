@@ -26,24 +26,24 @@ def readings(spark):
 
 
 def test_hour_case(readings):
-    report = sensor.hour_report(sensor.hour_case(readings, layout=4).predictions).first()
+    report = sensor.hour_report(sensor.hour_case(readings).predictions).first()
     assert 0 < report["accuracy"] <= 1 and 0 <= report["mean_error"] < 6
 
 
 def test_weekend_case(readings):
-    report = sensor.weekend_report(sensor.weekend_case(readings, balance=True, layout=4).predictions).collect()
+    report = sensor.weekend_report(sensor.weekend_case(readings, balance=True).predictions).collect()
     assert [r["weekday"] for r in report] == ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
     assert min(r["accuracy"] for r in report) > 80
 
 
 def test_device_case(readings):
-    scored = sensor.device_case(readings, layout=4)
+    scored = sensor.device_case(readings)
     report = sensor.device_report(scored.predictions).collect()
     assert {r["device_type"] for r in report} == {"elevator", "ev_charging", "solar_plant", "ventilation", "water_cooling"}
     assert [r["accuracy"] for r in report] == sorted((r["accuracy"] for r in report), reverse=True)
     wrong = scored.predictions.filter((F.col("label") == F.col("prediction")) != (F.col("device_type") == F.col("predicted_type")))
     assert wrong.count() == 0
-    rows = sensor.device_case(readings, by_reading=False, layout=4).predictions
+    rows = sensor.device_case(readings, by_reading=False).predictions
     assert rows.count() > 0
 
 
