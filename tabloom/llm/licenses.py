@@ -135,13 +135,13 @@ def best_matches(
     )
     cosine = F.round(F.col("dot") / (F.col("length") * F.col("t_length")), 4)
     scored = dots.join(lengths, unit).withColumn("score", cosine).filter(F.col("score") >= least)
-    best = F.max_by(F.struct("license", "score"), F.struct("score", *_reversed("license")))
-    return scored.groupBy("doc", "kind").agg(best.alias("best")).select("doc", "kind", "best.*")
+    found = scored.groupBy("doc", "kind").agg(_best().alias("best"))
+    return found.select("doc", "kind", "best.license", (-F.col("best.under")).alias("score"))
 
 
-def _reversed(name: str) -> list[Column]:
-    """Sort keys under which the largest is the name that sorts first."""
-    return [F.transform(F.split(F.col(name), ""), lambda c: -F.ascii(c)), -F.length(name)]
+def _best() -> Column:
+    """The highest score, and among equal ones the licence that sorts first."""
+    return F.min(F.struct((-F.col("score")).alias("under"), "license"))
 
 
 def directory(path: Column) -> Column:
@@ -188,7 +188,7 @@ def scan(
         keyed.select("scan__doc", F.col("scan__dir").alias("from_dir"))
         .join(file_best, "scan__doc")
         .groupBy("from_dir")
-        .agg(F.max_by("license", F.struct("score", *_reversed("license"))).alias("license"))
+        .agg(_best()["license"].alias("license"))
     )
     from_above = runtime.store(inherited(keyed.select(F.col("scan__dir").alias("dir")), files), "inherited").select(
         F.col("dir").alias("scan__dir"), F.col("license").alias("above"), "from_dir"
@@ -206,7 +206,78 @@ def scan(
     )
 
 
-@CATALOG.query()
+def _terms_sql(body: str) -> str:
+    return (
+        f"list_filter([regexp_replace(t, '^[.-]+|[.-]+$', '', 'g') FOR t IN "
+        f"string_split_regex(lower({body}), '{_TERM}')], lambda t: t <> '')"
+    )
+
+
+def _templates_sql() -> str:
+    return ", ".join(f"('{k}', {i}, '{v}')" for k, vs in TEMPLATES.items() for i, v in enumerate(vs))
+
+
+@CATALOG.query(
+    f"""
+    WITH docs AS (
+      SELECT doc_id, coalesce(text, '') AS body,
+        concat_ws('/', source, lang, printf('%06d', doc_id // 100), doc_id::VARCHAR) AS path FROM documents
+    ),
+    placed AS (SELECT *, regexp_replace(path, '/?[^/]*$', '') AS dir FROM docs),
+    templates AS (SELECT * FROM (VALUES {_templates_sql()}) t(license, variant, body)),
+    t_terms AS (
+      SELECT license, variant, term, count(*) AS tf
+      FROM (SELECT license, variant, unnest({_terms_sql('body')}) AS term FROM templates) GROUP BY ALL
+    ),
+    held AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({_terms_sql('body')})) AS term FROM docs) GROUP BY 1),
+    idf AS (
+      SELECT term, ln((1.0 + (SELECT count(*) FROM docs))::DOUBLE / (1 + coalesce(df, 0))) + 1 AS idf
+      FROM (SELECT DISTINCT term FROM t_terms) LEFT JOIN held USING (term)
+    ),
+    cued AS (SELECT doc_id, body, string_split(body, chr(10)) AS lines FROM docs WHERE regexp_matches(body, '{CUE}')),
+    starts AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS at_line FROM cued),
+    units AS (
+      SELECT doc_id, 'header' AS kind, at_line || ':' || take AS part,
+        array_to_string(lines[at_line : at_line + take - 1], ' ') AS body
+      FROM starts, range(1, {HEADER_LINES + 1}) r(take)
+      WHERE regexp_matches(lines[at_line], '{CUE}') AND at_line + take - 1 <= len(lines)
+      UNION ALL SELECT doc_id, 'file', 'whole', body FROM cued
+    ),
+    counted AS (
+      SELECT doc_id, kind, part, term, count(*) AS tf
+      FROM (SELECT doc_id, kind, part, unnest({_terms_sql('body')}) AS term FROM units) GROUP BY ALL
+    ),
+    weighed AS (
+      SELECT c.*, idf, tf * coalesce(idf, ln((1.0 + (SELECT count(*) FROM docs))::DOUBLE) + 1) AS weight
+      FROM counted c LEFT JOIN idf USING (term)
+    ),
+    lengths AS (SELECT doc_id, kind, part, sqrt(sum(weight * weight)) AS length FROM weighed GROUP BY ALL),
+    vectors AS (SELECT license, variant, term, tf * idf AS t_weight FROM t_terms JOIN idf USING (term)),
+    norms AS (SELECT license, variant, sqrt(sum(t_weight * t_weight)) AS t_length FROM vectors GROUP BY ALL),
+    scored AS (
+      SELECT doc_id, kind, license, round(sum(weight * t_weight) / (any_value(length) * any_value(t_length)), 4) AS score
+      FROM weighed JOIN vectors USING (term) JOIN norms USING (license, variant) JOIN lengths USING (doc_id, kind, part)
+      GROUP BY doc_id, kind, part, license, variant
+    ),
+    best AS (
+      SELECT doc_id, kind, license, score FROM scored WHERE score >= {LEAST_COSINE}
+      QUALIFY row_number() OVER (PARTITION BY doc_id, kind ORDER BY score DESC, license) = 1
+    ),
+    files AS (
+      SELECT dir AS from_dir, license FROM placed JOIN best USING (doc_id) WHERE kind = 'file'
+      QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) = 1
+    ),
+    above AS (
+      SELECT dir, license, from_dir FROM (SELECT DISTINCT dir FROM placed) JOIN files
+        ON from_dir = '' OR dir = from_dir OR starts_with(dir, from_dir || '/')
+      QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(from_dir) DESC) = 1
+    )
+    SELECT p.doc_id, p.path, coalesce(b.license, a.license) AS license, b.score,
+      CASE WHEN b.license IS NOT NULL THEN 'header' WHEN a.license IS NOT NULL THEN 'inherited' END AS origin,
+      CASE WHEN b.license IS NULL THEN a.from_dir END AS from_dir
+    FROM placed p LEFT JOIN best b ON b.doc_id = p.doc_id AND b.kind = 'header' LEFT JOIN above a ON a.dir = p.dir
+    """
+)
 def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
     docs = text.table(spark, folder, "documents")
     place = F.concat_ws("/", "source", "lang", F.format_string("%06d", F.floor(F.col("doc_id") / 100)), "doc_id")
