@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 
 def _digest(columns: Sequence[str], seed: int) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
+    """Digest of the seed and the key; with several columns, each value comes with its length.
+
+    A missing value is not the empty text, and ``("a|b", "c")`` is not ``("a", "b|c")``.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns]
+    if len(parts) > 1:
+        parts = [F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
 def hash32(columns: Sequence[str], seed: int) -> Column:

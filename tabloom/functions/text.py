@@ -19,15 +19,6 @@ def lower_case(text: str | Column) -> Column:
     return F.lower(text)
 
 
-def delete_characters(text: str | Column, characters: str = DELETED_CHARACTERS) -> Column:
-    return F.translate(text, characters, "")
-
-
-def split_words(text: str | Column) -> Column:
-    """Split on white space without empty pieces."""
-    return _split_on_spaces(F.translate(text, WHITE_SPACE, " " * len(WHITE_SPACE)))
-
-
 def _split_on_spaces(text: Column) -> Column:
     # a one-character separator needs no regular expression at run time
     return F.array_remove(F.split(text, " "), "")

@@ -30,10 +30,6 @@ def sum_columns(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
     return df.withColumn(out, numeric.row_sum(columns))
 
 
-def select_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*columns)
-
-
 def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.drop(*columns)
 

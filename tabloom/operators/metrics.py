@@ -42,11 +42,6 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.agg(F.avg(_hit(label, prediction).cast("double")).alias("accuracy"))
 
 
-def mean_cyclic_error(df: DataFrame, label: str, prediction: str, period: int) -> DataFrame:
-    """Mean circular distance between label and prediction, as one row."""
-    return df.agg(F.avg(numeric.cyclic_distance(label, prediction, period)).alias("mean_error"))
-
-
 def class_pairs(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Count ``n`` of each (label, prediction) pair that occurs."""
     return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count("*").alias("n"))

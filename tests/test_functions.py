@@ -2,7 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from tabloom.functions import calendar, numeric, sequences, text
+from tabloom.functions import calendar, hashing, numeric, sequences, text
 
 
 def one(spark, *columns):
@@ -46,7 +46,7 @@ def test_tokenize(spark):
 def test_white_space_is_what_python_splits_on(spark):
     every = [chr(i) for i in range(0x3100) if not 0xD800 <= i < 0xE000]
     df = spark.createDataFrame([(f"x{c}y", c) for c in every], ["t", "c"])
-    split = {r["c"] for r in df.select("c", text.split_words("t").alias("w")).filter(F.size("w") == 2).collect()}
+    split = {r["c"] for r in df.select("c", text.tokenize("t", characters="").alias("w")).filter(F.size("w") == 2).collect()}
     assert split == {c for c in every if c.isspace()}
 
 
@@ -75,3 +75,10 @@ def test_calendar(spark):
     flags = months.select(calendar.long_month_flag("ts"), calendar.long_month_flag("ts", exact=True)).collect()
     assert [r[0] for r in flags] == [1, 1, 1, 0, 1, 0, 1, 1, 0, 1, 1, 1, 1]
     assert [r[1] for r in flags] == [1, 0, 1, 0, 1, 0, 1, 1, 0, 1, 0, 1, None]
+
+
+def test_key_digests_tell_parts_and_missing_values_apart(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("", "x"), (None, "x"), ("1:a", "b"), ("a", "1:b")]
+    df = spark.createDataFrame(rows, "p string, q string")
+    assert df.select(hashing.hash60(["p", "q"], 1).alias("h")).distinct().count() == len(rows)
+    assert df.select(hashing.hash60(["p"], 1).alias("h")).distinct().count() == 5
