@@ -211,6 +211,7 @@ def matches(
     rate: float = RATE,
 ) -> DataFrame:
     """``doc_id``, ``item_id`` and ``edits``, the fewest of the item's patterns, per matching pair."""
+    text.bound_batches(docs.sparkSession)
     narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(body).alias("body"))
     context = docs.sparkSession.sparkContext
     found = None

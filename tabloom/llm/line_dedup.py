@@ -39,7 +39,7 @@ LEAST_CHARS = 20
 LEAST_DOCS = 3
 FILTER_BITS = 1 << 27
 _SEGMENT_BITS = 1 << 17
-_FLUSH = 4_000_000
+_FLUSH = 500_000
 _WHITE = text.WHITE.encode()
 _SMALLEST = -(1 << 63)
 
@@ -164,6 +164,7 @@ def dedup_lines(
     filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """The documents without the dropped lines, ``n_lines`` (before) and ``n_dropped``."""
+    text.bound_batches(docs.sparkSession)
     plain = docs.drop("n_lines", "n_dropped")
     found = runtime.store(suspects(plain, key, body, filter_bits, least_chars), "suspects")
     drops = lines_to_drop(found, least_docs)

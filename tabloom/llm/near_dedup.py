@@ -264,6 +264,7 @@ def classes(
 
     A class is a connected component of the links between documents.
     """
+    text.bound_batches(docs.sparkSession)
     narrow = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(_SMALLEST)).alias("doc"), text.whole(F.col(body)).alias("body")
     )

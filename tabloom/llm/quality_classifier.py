@@ -200,6 +200,7 @@ def classify(
     keep_from: float = KEEP_FROM,
 ) -> DataFrame:
     """``key``, ``expected_grade``, ``p_top`` and ``kept``, one row per row of ``docs``."""
+    text.bound_batches(docs.sparkSession)
     keyed = docs.select(F.col(key).cast("long").alias("key"), F.col(body).alias(body))
     labels = graded.select(F.col(key).cast("long").alias("key"), F.col(grade).cast("int").alias("grade")).dropna()
     rows = training_rows(keyed, labels, body=body, bound=bound).collect()  # bounded by ``bound``

@@ -316,6 +316,7 @@ def _rewrite(window: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 def dedup_passages(docs: DataFrame, *, key: str = "doc_id", body: str = "text", window: int = WINDOW) -> DataFrame:
     """``key``, ``n_words``, ``n_removed`` and ``kept``, the words that stay joined by one blank."""
+    text.bound_batches(docs.sparkSession)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = _prime_from(partitions * _PER_PARTITION)
     narrow = docs.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Most bytes of texts that travel to a Python worker at once.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let batches for Python workers end by bytes as well as by rows, so long texts do not add up.
+
+    Sets the session's limit, unless it is lower already.
+    """
+    digits = re.fullmatch(r"(\d+)b?", spark.conf.get(_BATCH_SETTING))
+    if not digits or not 0 < int(digits[1]) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often ``body`` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

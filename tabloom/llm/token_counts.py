@@ -144,6 +144,7 @@ def count_tokens(
 
     The tokenizer's file is read here and travels with the job.
     """
+    text.bound_batches(docs.sparkSession)
     with open(tokenizer_path, "rb") as file:
         name, content = tokenizer_path, file.read()
     pieces = load_pieces(name, content)
