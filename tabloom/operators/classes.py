@@ -2,56 +2,78 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tabloom import runtime
 from tabloom.operators import lookup, rank
 
+# Most classes a label may have where class tables are kept on the driver; more are an error.
+MAX_CLASSES = 10_000
+
+
+def class_sizes(df: DataFrame, label: str) -> list[tuple[object, int]]:
+    """Classes in their order with their row counts, a missing label being a class of its own (first)."""
+    counted = df.groupBy(label).agg(F.count("*").alias("n"))
+    rows = counted.orderBy(label).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return [(r[label], r["n"]) for r in rows]
+
+
+def class_table(df: DataFrame, label: str, values: dict[str, tuple[pa.DataType, Sequence]]) -> DataFrame:
+    """Table of the label (first of ``values``, given without a type) and further columns."""
+    names = list(values)
+    kinds = [to_arrow_type(df.schema[label].dataType) if n == label else values[n][0] for n in names]
+    rows = [dict(zip(names, row, strict=True)) for row in zip(*(v[1] for v in values.values()), strict=True)]
+    return runtime.local_table(df.sparkSession, rows, pa.schema(list(zip(names, kinds, strict=True))))
+
 
-def class_sizes(df: DataFrame, label: str) -> DataFrame:
-    """Stored table (label, n) of the classes, a missing label being a class of its own."""
-    return runtime.store(df.groupBy(label).agg(F.count("*").alias("n")), "sizes")
+def with_class_values(df: DataFrame, label: str, table: DataFrame) -> DataFrame:
+    """Add the columns of a class table with at most ``MAX_CLASSES`` rows to every row."""
+    right = F.broadcast(table.withColumnRenamed(label, "class__label"))
+    return df.join(right, df[label].eqNullSafe(F.col("class__label")), "left").drop("class__label")
 
 
 def attach(df: DataFrame, label: str, table: DataFrame) -> DataFrame:
-    """Add the columns of a class table to every row."""
+    """Add the columns of a class table of any size to every row."""
     return lookup.lookup_join(df, label, table.drop("n"), label, null_safe=True)
 
 
-def class_weights(df: DataFrame, label: str) -> DataFrame:
+def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Table (label, n, weight) with weight = rows / (classes * n): all classes weigh the same."""
     sizes = class_sizes(df, label)
-    rows, classes = sizes.agg(F.sum("n"), F.count("*")).first()
-    return sizes.withColumn("weight", F.lit(float(rows or 0)) / (F.lit(float(classes)) * F.col("n")))
+    rows = float(sum(n for _, n in sizes))
+    weights = [rows / (len(sizes) * float(n)) for _, n in sizes]
+    columns = {label: (None, [c for c, _ in sizes]), "n": (pa.int64(), [n for _, n in sizes]), out: (pa.float64(), weights)}
+    return class_table(df, label, columns)
 
 
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    table = class_weights(df, label).withColumnRenamed("weight", out)
-    return attach(df, label, table)
+    return with_class_values(df, label, class_weights(df, label, out).drop("n"))
 
 
-def class_quotas(sizes: DataFrame, label: str, drawn: int, out: str) -> DataFrame:
-    """Share ``drawn`` rows over the classes in proportion, by largest remainder."""
-    rows = sizes.agg(F.sum("n")).first()[0] or 0
-    # the product of two row counts does not fit a long
-    product = f"cast(n as decimal(19,0)) * cast({drawn} as decimal(19,0))"
-    whole = f"cast({max(rows, 1)} as decimal(19,0))"
-    shares = sizes.withColumns(
-        {
-            out: F.expr(f"({product}) div {whole}"),
-            "quota__rest": F.expr(f"({product}) % {whole}"),
-        }
-    )
-    left = drawn - (shares.agg(F.sum(out)).first()[0] or 0)
-    ordered = rank.ordered_rank(shares, "quota__rank", [F.desc("quota__rest"), F.asc(label)])
-    extra = F.when(F.col("quota__rank") <= F.lit(left), 1).otherwise(0)
-    return ordered.withColumn(out, (F.col(out) + extra).cast("long")).drop("quota__rest", "quota__rank")
+def class_quotas(sizes: Sequence[tuple[object, int]], drawn: int) -> list[int]:
+    """Share ``drawn`` rows over the classes in proportion, by largest remainder; earlier classes first."""
+    rows = max(sum(n for _, n in sizes), 1)
+    quotas = [n * drawn // rows for _, n in sizes]
+    by_rest = sorted(range(len(sizes)), key=lambda i: -(sizes[i][1] * drawn % rows))
+    for i in by_rest[: drawn - sum(quotas)]:
+        quotas[i] += 1
+    return quotas
 
 
-def class_starts(sizes: DataFrame, label: str, out: str) -> DataFrame:
-    """Row count of all earlier classes, in label order."""
-    return rank.ordered_sum(sizes, "n", out, [label]).withColumn(out, F.col(out) - F.col("n"))
+def class_starts(sizes: Sequence[tuple[object, int]]) -> list[int]:
+    """Row count of all earlier classes."""
+    starts, total = [], 0
+    for _, n in sizes:
+        starts.append(total)
+        total += n
+    return starts
 
 
 def category_index(df: DataFrame, column: str, out: str = "label") -> DataFrame:
@@ -59,7 +81,7 @@ def category_index(df: DataFrame, column: str, out: str = "label") -> DataFrame:
 
     Most frequent first, ties in alphabetical order; missing values get no number.
     """
-    counts = class_sizes(df.filter(F.col(column).isNotNull()), column)
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     return rank.ordered_rank(counts, out, [F.desc("n"), F.asc(column)]).withColumn(out, F.col(out) - 1)
 
 
