@@ -35,12 +35,12 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a passage of the benchmark."""
-    return decontaminate.drop_matches(docs, text.table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_matches(docs, text.table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the sources' target weights; ``copy`` numbers the repeats."""
-    return mixing.mix(docs, text.word_count(F.col("text")))
+    return mixing.mix(docs, text.word_count(F.col("text")), body="text")
 
 
 STAGES = [

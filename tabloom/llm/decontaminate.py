@@ -13,8 +13,9 @@ its patterns are sent out in blocks of at most ``BLOCK`` characters, one scan pe
 
 Defined cases: missing or empty texts and items match nothing; items of fewer than ``LEAST``
 characters are too short to be evidence and are not searched; repeated rows and repeated items
-give one row per pair of ids; rows without an id cannot be named and match nothing; an empty table on either side gives an empty result. Only ids and
-the smallest number of edits are returned.
+give one row per pair of ids; rows without an id cannot be named in a result, so ``matches`` leaves
+them out, and ``drop_matches`` judges them only if told to; an empty table on either side gives an
+empty result. Only ids and the smallest number of edits are returned.
 """
 
 from __future__ import annotations
@@ -168,14 +169,14 @@ def blocks(benchmark: DataFrame, item: str, body: str, *, q: int, rate: float) -
         yield current
 
 
-def _texts(ids: pa.Array, bodies: pa.Array) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """Ids and characters of texts, about ``_CHUNK`` characters at a time."""
+def _texts(ids: pa.Array, hashes: pa.Array, bodies: pa.Array) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
+    """Identities (id and hash) and characters of texts, about ``_CHUNK`` characters at a time."""
     keys, letters, held = [], [], 0
-    for key, body in zip(ids.to_pylist(), bodies):
+    for *key, body in zip(ids.to_pylist(), hashes.to_pylist(), bodies):
         normalised = normal(body.as_py() or "")
-        if len(normalised) < LEAST // 2 or key is None:
+        if len(normalised) < LEAST // 2:
             continue
-        keys.append(key)
+        keys.append(tuple(key))
         letters.append(codes(normalised))
         held += len(normalised) + 1
         if held >= _CHUNK:
@@ -185,7 +186,7 @@ def _texts(ids: pa.Array, bodies: pa.Array) -> Iterator[tuple[list[int], list[np
         yield keys, letters
 
 
-def _search(block: Block, keys: list[int], letters: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+def _search(block: Block, keys: list[tuple], letters: list[np.ndarray]) -> Iterator[tuple[tuple, int, int]]:
     gap = np.array([_GAP], np.uint32)
     joined = np.concatenate([part for each in letters for part in (each, gap)])
     ends = np.cumsum([len(each) + 1 for each in letters])
@@ -211,10 +212,19 @@ def matches(
     rate: float = RATE,
 ) -> DataFrame:
     """``doc_id``, ``item_id`` and ``edits``, the fewest of the item's patterns, per matching pair."""
+    named = docs.filter(F.col(key).cast("long").isNotNull())
+    found = _row_matches(named, benchmark, key, body, item, item_body, q, rate)
+    return found.groupBy("doc_id", "item_id").agg(F.min("edits").alias("edits"))
+
+
+def _row_matches(
+    docs: DataFrame, benchmark: DataFrame, key: str, body: str, item: str, item_body: str, q: int, rate: float
+) -> DataFrame:
+    """``doc_id``, ``body_hash``, ``item_id`` and ``edits`` of every match, also of rows without an id."""
     text.bound_batches(docs.sparkSession)
-    narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(body).alias("body"))
+    narrow = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(body).alias("body_hash"), F.col(body).alias("body"))
     context = docs.sparkSession.sparkContext
-    found = None
+    schema, found = "doc_id long, body_hash long, item_id long, edits long", None
     for block in blocks(benchmark, item, item_body, q=q, rate=rate):
         sent = context.broadcast((block.items, block.patterns))
 
@@ -222,21 +232,27 @@ def matches(
             own = Block(*sent.value, q, rate)
             own.prepare()
             for batch in batches:
-                rows = [hit for part in _texts(*batch.columns) for hit in _search(own, *part)]
-                columns = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else ([], [], []))]
-                yield pa.record_batch(columns, ["doc_id", "item_id", "edits"])
+                rows = [(*who, i, n) for part in _texts(*batch.columns) for who, i, n in _search(own, *part)]
+                columns = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else ([], [], [], []))]
+                yield pa.record_batch(columns, ["doc_id", "body_hash", "item_id", "edits"])
 
-        new = narrow.mapInArrow(task, "doc_id long, item_id long, edits long")
+        new = narrow.mapInArrow(task, schema)
         found = new if found is None else found.union(new)
-    if found is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, edits long")
-    return found.groupBy("doc_id", "item_id").agg(F.min("edits").alias("edits"))
+    return docs.sparkSession.createDataFrame([], schema) if found is None else found
 
 
-def drop_matches(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", body: str = "text") -> DataFrame:
-    """The documents that hold no passage of the benchmark."""
-    hits = matches(docs, benchmark, key=key, body=body).select(F.col("doc_id").alias("decontaminate__hit")).distinct()
-    return docs.join(runtime.store(hits, "hits"), F.col(key).cast("long") == F.col("decontaminate__hit"), "left_anti")
+def drop_matches(
+    docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", body: str = "text", unnamed: bool = False
+) -> DataFrame:
+    """The documents that hold no passage of the benchmark, each row judged by its own text.
+
+    Rows without an id stay as they are unless ``unnamed`` asks to judge them as well.
+    """
+    judged = docs if unnamed else docs.filter(F.col(key).cast("long").isNotNull())
+    found = _row_matches(judged, benchmark, key, body, "item_id", "text", Q, RATE)
+    hits = found.select(F.col("doc_id").alias("decontaminate__hit"), F.col("body_hash").alias("decontaminate__body")).distinct()
+    same = F.col(key).cast("long").eqNullSafe(F.col("decontaminate__hit")) & (F.xxhash64(body) == F.col("decontaminate__body"))
+    return docs.join(runtime.store(hits, "hits"), same, "left_anti")
 
 
 @CATALOG.query()

@@ -3,12 +3,13 @@
 Sizes are summed per source (combined on the map side, so a source that holds most rows costs
 no more than another). Targets share the total by weight; a target stops at ``most`` times its
 source's size and the excess goes to the others. The repetition rate of a source is
-target / size: every document is emitted floor(rate) times, and once more if a seeded hash of
-its key falls below the fraction.
+target / size: every document is emitted floor(rate) times, and once more if a seeded hash falls
+below the fraction. The hash is of the key, as in the SQL of ``op7_mixing``; ``mix`` adds the text if
+``body`` names it, so different texts under one key or without a key are decided one by one.
 
 Defined cases: a missing text has size 0; a missing source is a source of its own, ordered
-last; a source of size 0 has target 0 and none of its documents is emitted; rows that share a
-key get the same decision; an empty table gives an empty result. Other columns pass
+last; a source of size 0 has target 0 and none of its documents is emitted; equal rows get the
+same decision; an empty table gives an empty result. Other columns pass
 through; ``copy`` replaces a column of that name.
 """
 
@@ -76,11 +77,11 @@ def _level(sources: DataFrame, most: int) -> float:
         over = F.col("mix__weight") * F.lit(level) > F.lit(most) * F.col("source_size")
 
 
-def with_copies(sized: DataFrame, rates: DataFrame, source: str, key: str, *, seed: int = SEED) -> DataFrame:
-    """Add ``source_size``, ``target`` and ``copies``, the number of times a document is emitted."""
+def with_copies(sized: DataFrame, rates: DataFrame, source: str, *keys: str, seed: int = SEED) -> DataFrame:
+    """Add ``source_size``, ``target`` and ``copies``, the number of times a document is emitted; ``keys`` tell documents apart."""
     joined = sized.join(rates, F.col(source).eqNullSafe(F.col("mix__source")), "left").drop("mix__source")
     whole = F.floor("rate")
-    extra = text.unit_hash(seed, F.col(key)) < F.col("rate") - whole
+    extra = text.unit_hash(seed, *map(F.col, keys)) < F.col("rate") - whole
     return joined.withColumn("copies", whole.cast("long") + extra.cast("long")).drop("rate")
 
 
@@ -91,11 +92,15 @@ def emit(counted: DataFrame) -> DataFrame:
     return counted.withColumn("copy", F.explode(copies)).drop("copies")
 
 
-def mix(docs: DataFrame, size: Column, *, source: str = "source", key: str = "doc_id", seed: int = SEED) -> DataFrame:
-    """The mixture itself: the columns of ``docs`` and ``copy``."""
+def mix(
+    docs: DataFrame, size: Column, *, source: str = "source", key: str = "doc_id", body: str | None = None, seed: int = SEED
+) -> DataFrame:
+    """The mixture itself: the columns of ``docs`` and ``copy``; ``body`` tells rows with one key apart."""
     plain = docs.drop("copy")
-    packed = plain.select(F.struct(*plain.columns).alias("row"), F.col(source).alias("of"), F.col(key).alias("key"), size.alias("size"))
-    counted = with_copies(packed, source_rates(packed, "of", "size"), "of", "key", seed=seed)
+    own = {"key": F.col(key)} | ({} if body is None else {"body_hash": F.xxhash64(body)})
+    parts = [F.col(source).alias("of"), size.alias("size"), *(c.alias(name) for name, c in own.items())]
+    packed = plain.select(F.struct(*plain.columns).alias("row"), *parts)
+    counted = with_copies(packed, source_rates(packed, "of", "size"), "of", *own, seed=seed)
     return emit(counted).select("row.*", "copy")
 
 

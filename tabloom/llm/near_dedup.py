@@ -26,8 +26,9 @@ Spark can split.
 
 Defined cases: texts of fewer words than a shingle have one shingle of all their words; a
 missing text or one without words is in a class of its own; a missing id counts as the
-smallest; rows with one id are one document with the text that has the largest fingerprint; an
-empty table gives an empty result. Other columns are not used.
+smallest; a document is an id and a text, so different texts under one id (or without an id) are
+documents of their own and equal rows are one; an empty table gives an empty result. Other
+columns are not used.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom import runtime
@@ -264,27 +265,36 @@ def classes(
 
     A class is a connected component of the links between documents.
     """
-    text.bound_batches(docs.sparkSession)
-    narrow = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(_SMALLEST)).alias("doc"), text.whole(F.col(body)).alias("body")
+    kind = docs.schema[key].dataType
+    named = lambda doc: F.when(F.col(doc) != _SMALLEST, F.col(doc)).cast(kind)
+    return _classes(docs, key, body, shingle, similarity, bands, rows).select(
+        named("doc").alias(key), named("first.doc").alias("class_id"), "n_class"
     )
+
+
+def _identity(key: str, body: str) -> list[Column]:
+    """``doc`` and ``body_hash``: a document is an id, the smallest if missing, and a text."""
+    return [
+        F.coalesce(F.col(key).cast("long"), F.lit(_SMALLEST)).alias("doc"),
+        F.xxhash64(text.whole(F.col(body))).alias("body_hash"),
+    ]
+
+
+def _classes(docs: DataFrame, key: str, body: str, shingle: int, similarity: float, bands: int, rows: int) -> DataFrame:
+    """``doc`` and ``body_hash`` of every document, ``first`` (the same two of the first of its class) and ``n_class``."""
+    text.bound_batches(docs.sparkSession)
+    narrow = docs.select(_identity(key, body)[0], text.whole(F.col(body)).alias("body"))
     signed = runtime.store(_signed(narrow, shingle, bands, rows), "signed")
-    one_each = signed.groupBy("doc").agg(F.max("node").alias("node"))
-    heads = one_each.filter(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("doc").alias("doc"), F.count("*").alias("n")
-    )
+    one_each = signed.select("doc", "body_hash", "node").distinct()
+    own = F.struct("doc", "body_hash")
+    heads = one_each.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min(own).alias("head"), F.count("*").alias("n"))
     links = _links(narrow, signed, shingle, similarity)
     found = components.connected_components(links, "a", "b").withColumnRenamed("component", "root")
     rooted = heads.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = rooted.groupBy("root").agg(F.min("doc").alias("class_id"), F.sum("n").alias("n_class"))
-    named = runtime.store(rooted.select("node", "root").join(sizes, "root").select("node", "class_id", "n_class"), "named")
-    kind = docs.schema[key].dataType
-    alone = F.col("class_id").isNull()
-    of = F.when(alone, F.col("doc")).otherwise(F.col("class_id"))
+    sizes = rooted.groupBy("root").agg(F.min("head").alias("first"), F.sum("n").alias("n_class"))
+    named = runtime.store(rooted.select("node", "root").join(sizes, "root").select("node", "first", "n_class"), "named")
     return one_each.join(named, "node", "left").select(
-        F.when(F.col("doc") != _SMALLEST, F.col("doc")).cast(kind).alias(key),
-        F.when(of != _SMALLEST, of).cast(kind).alias("class_id"),
-        F.coalesce("n_class", F.lit(1)).cast("long").alias("n_class"),
+        "doc", "body_hash", F.coalesce("first", own).alias("first"), F.coalesce("n_class", F.lit(1)).cast("long").alias("n_class")
     )
 
 
@@ -332,13 +342,16 @@ def _links(narrow: DataFrame, signed: DataFrame, shingle: int, similarity: float
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", body: str = "text") -> DataFrame:
-    """The documents without those that are not the first (smallest id) of their class.
+    """The documents without those that are not the first (smallest id, then hash of the text) of their class.
 
-    Rows that share the kept id are repeated rows; all of them stay.
+    Equal rows are one document; all rows of the kept one stay.
     """
-    found = classes(docs, key=key, body=body)
-    later = runtime.store(found.filter(~F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("near_dedup__later")), "later")
-    return docs.join(later, F.col(key).eqNullSafe(F.col("near_dedup__later")), "left_anti")
+    found = _classes(docs, key, body, SHINGLE, SIMILARITY, BANDS, ROWS)
+    doc, body_hash = _identity(key, body)
+    others = found.filter((F.col("doc") != F.col("first.doc")) | (F.col("body_hash") != F.col("first.body_hash")))
+    later = others.select(F.col("doc").alias("near_dedup__doc"), F.col("body_hash").alias("near_dedup__body"))
+    same = (doc == F.col("near_dedup__doc")) & (body_hash == F.col("near_dedup__body"))
+    return docs.join(runtime.store(later, "later"), same, "left_anti")
 
 
 @CATALOG.query()

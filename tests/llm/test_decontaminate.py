@@ -75,3 +75,10 @@ def test_missing_ids_repeated_rows_clashes_and_empty_tables(spark):
     assert found(spark, [], [(3, item)]) == {} and found(spark, docs, []) == {}
     left = decontaminate.drop_matches(documents(spark, [*docs, (2, prose(4, 30))], "hit"), bench(spark, [(3, item)]))
     assert sorted(str(r["doc_id"]) for r in left.collect()) == ["2", "None"]
+
+
+def test_rows_are_dropped_by_their_own_text(spark):
+    item, clean, other = prose(1, 20), prose(4, 30), prose(5, 30)
+    docs = documents(spark, [(1, item), (1, clean), (None, item), (None, other)])
+    left = decontaminate.drop_matches(docs, bench(spark, [(3, item)]), unnamed=True).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in left) == [("1", clean), ("None", other)]

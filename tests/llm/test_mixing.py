@@ -51,3 +51,10 @@ def test_empty_missing_and_repeated_rows(spark):
     twice = documents(spark, [(1, prose(1, 9), "a"), (1, prose(1, 9), "a"), (None, prose(2, 9), None)])
     copies = mixing.mix(twice, text.word_count(F.col("text"))).groupBy("doc_id", "copy").count().collect()
     assert {r["count"] for r in copies if r["doc_id"] == 1} == {2}
+
+
+def test_texts_without_an_id_are_decided_one_by_one(spark):
+    rows = [(None if i % 2 else 5, prose(i, 20), "ab"[i % 3 == 0]) for i in range(900)]
+    taken = mixing.mix(documents(spark, rows), text.word_count(F.col("text")), body="text").groupBy("source").count().collect()
+    for source, (_, target, _) in rates(spark, rows).items():
+        assert abs({r["source"]: 20 * r["count"] for r in taken}[source] - target) < 0.15 * target

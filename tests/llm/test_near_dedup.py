@@ -71,3 +71,17 @@ def test_repeated_rows_missing_ids_clashes_and_empty_tables(spark):
     assert near_dedup.classes(documents(spark, [])).count() == 0
     kept = near_dedup.keep_one(documents(spark, docs, "later"))
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["9", "None"]
+
+
+def test_texts_under_one_id_or_without_an_id_are_documents_of_their_own(spark):
+    rng = random.Random(4)
+    texts = [prose(i, 120) for i in range(5)]
+    docs = [(None, texts[0]), (None, changed(rng, texts[0], 1)), (None, texts[1]), (3, texts[2]), (7, texts[3])]
+    docs += [(7, changed(rng, texts[2], 1)), (7, texts[4])]
+    kept = [r["text"] for r in near_dedup.keep_one(documents(spark, docs)).collect()]
+    assert sum(k in (docs[0][1], docs[1][1]) for k in kept) == 1
+    assert sorted(k for k in kept if k not in (docs[0][1], docs[1][1])) == sorted(texts[1:])
+    rows = near_dedup.classes(documents(spark, docs)).collect()
+    assert sorted((str(r["doc_id"]), str(r["class_id"]), r["n_class"]) for r in rows) == [
+        ("3", "3", 2), ("7", "3", 2), ("7", "7", 1), ("7", "7", 1), ("None", "None", 1), ("None", "None", 2), ("None", "None", 2),
+    ]
