@@ -13,17 +13,18 @@ anchor at the same place inside them. About a third of the positions are hashed.
    settles those that repeat among its own documents, so it sends each hash once.
 2. Only around repeated anchors, windows are hashed in full (80 bits), and the earliest start of
    every window is found the same way. All others are removed.
-3. Documents drop the covered words. Texts are shuffled once, by a hash of the document id, and
-   used by steps 2 and 3.
+3. Documents drop the covered words. Texts are shuffled once, by a hash of id and text (the tag),
+   and used by steps 2 and 3; removals name the id and the tag.
 
 There are about as many buckets and shards as shuffle partitions; a task holds one at a time (the
 texts of a shard, or its share of the hashes), so that setting has to grow with the data. A passage that most documents hold
 reaches a bucket once per task; the documents that hold it are spread over all shards.
 
 Defined cases: a missing text has no words; a missing id counts as the smallest; rows with the
-same id compare by position only, so equal rows keep or lose the same words; words in texts
-shorter than a window stay; an empty table gives an empty result. Only the columns named in
-``dedup_passages`` are returned.
+same id compare by position only, each row losing the words of its own text, so equal rows keep or
+lose the same words; words in texts shorter than a window stay; an empty table gives an empty
+result. Only the columns named in ``dedup_passages`` are returned. If many different texts under
+one id hold a passage at the same place, none of them is earlier, and its bucket gets all of them.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ _PER_PARTITION = 1
 _FLUSH = 2_000_000
 _SMALLEST = -(1 << 63)
 _LOW48 = np.uint64((1 << 48) - 1)
-_PACKED = "place int, docs binary, lows binary, highs binary, starts binary"
+_PACKED = "place int, docs binary, lows binary, highs binary, starts binary, tags binary"
 
 
 def period_for(window: int) -> int:
@@ -92,7 +93,7 @@ def _parts(place: np.ndarray, docs: np.ndarray, **columns: np.ndarray) -> pa.Rec
     cuts = [*first, len(place)]
     rows = list(zip(cuts[:-1], cuts[1:]))
     out: dict[str, list[bytes]] = {"docs": [_pack_ids(docs[a:b]) for a, b in rows]}
-    for name in ("lows", "highs", "starts"):
+    for name in ("lows", "highs", "starts", "tags"):
         if name not in columns:
             out[name] = [b""] * len(rows)
             continue
@@ -106,14 +107,15 @@ def _parts(place: np.ndarray, docs: np.ndarray, **columns: np.ndarray) -> pa.Rec
     return pa.record_batch(arrays, ["place", *out])
 
 
-def _unpack_parts(parts: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``docs``, ``lows``, ``highs`` and ``starts`` of all rows; absent ones are empty."""
+def _unpack_parts(parts: pa.Table) -> tuple[np.ndarray, ...]:
+    """``docs``, ``lows``, ``highs``, ``starts`` and ``tags`` of all rows; absent ones are empty."""
     found = []
     for name, read, kind in (
         ("docs", _unpack_ids, np.int64),
         ("lows", _six_bytes, np.uint64),
         ("highs", _unpack, np.uint64),
         ("starts", _unpack, np.uint64),
+        ("tags", _unpack, np.uint64),
     ):
         each = [read(p) for p in parts.column(name).to_pylist() if p]
         found.append(np.concatenate(each) if each else np.zeros(0, kind))
@@ -126,12 +128,12 @@ def _six_bytes(packed: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def _shard(docs: np.ndarray, shards: int) -> np.ndarray:
-    return ((docs ^ (docs >> 17)) % shards).astype(np.int32)
+def _shard(tags: np.ndarray, shards: int) -> np.ndarray:
+    return (tags.view(np.int64) % shards).astype(np.int32)
 
 
-def _shard_column(doc: str, shards: int):
-    return F.pmod(F.col(doc).bitwiseXOR(F.shiftright(doc, 17)), F.lit(shards)).cast("int")
+def _shard_column(tag: str, shards: int):
+    return F.pmod(F.col(tag), F.lit(shards)).cast("int")
 
 
 def _prime_from(n: int) -> int:
@@ -154,28 +156,28 @@ def _anchors(words: bytetext.Words, hashes: np.ndarray, window: int) -> tuple[np
 
 
 def _send_anchors(texts: DataFrame, window: int, shards: int) -> DataFrame:
-    """Packed (document, anchor hash): once per task and hash to the hash's place; and, below the
-    places, to the shard of the document if the hash is known to repeat."""
+    """Packed (shard, anchor hash), the shard in the place of the document: once per task and hash to
+    the hash's place; and, below the places, to the shard if the hash is known to repeat."""
 
-    def flush(docs: np.ndarray, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((docs, hashes))
-        docs, hashes = docs[order], hashes[order]
+    def flush(homes: np.ndarray, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((homes, hashes))
+        homes, hashes = homes[order], hashes[order]
         fresh = np.concatenate(([True], hashes[1:] != hashes[:-1]))
         size = np.diff(np.concatenate((np.flatnonzero(fresh), [len(hashes)])))
         known = np.repeat(size > 1, size)
         place = (hashes[fresh] % np.uint64(shards)).astype(np.int32)
-        yield _parts(place, docs[fresh], lows=hashes[fresh])
-        novel = known & (fresh | np.concatenate(([True], docs[1:] != docs[:-1])))
+        yield _parts(place, homes[fresh], lows=hashes[fresh])
+        novel = known & (fresh | np.concatenate(([True], homes[1:] != homes[:-1])))
         if novel.any():
-            yield _parts(-1 - _shard(docs[novel], shards), docs[novel], lows=hashes[novel])
+            yield _parts(-1 - homes[novel].astype(np.int32), homes[novel], lows=hashes[novel])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, count = [], 0
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            homes = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for words in bytetext.chunks(batch.column(1)):
                 at, hashes = _anchors(words, words.hashes(), window)
-                pending.append((ids[words.first : words.last][words.rows()[at]], hashes))
+                pending.append((homes[words.first : words.last][words.rows()[at]], hashes))
                 count += len(at)
                 if count >= _FLUSH:
                     yield from flush(*map(np.concatenate, zip(*pending)))
@@ -183,21 +185,21 @@ def _send_anchors(texts: DataFrame, window: int, shards: int) -> DataFrame:
         if count:
             yield from flush(*map(np.concatenate, zip(*pending)))
 
-    return texts.select("doc", "body").mapInArrow(task, _PACKED)
+    return texts.select("place", "body").mapInArrow(task, _PACKED)
 
 
 def _repeated_anchors(sent: DataFrame, shards: int) -> DataFrame:
-    """Per shard: the packed (document, hash) pairs of anchors that occur twice."""
+    """Per shard: the packed hashes of its anchors that occur twice."""
 
     def place(parts: pa.Table) -> pa.Table:
-        docs, hashes, _, _ = _unpack_parts(parts)
-        if not len(docs) or parts.column("place")[0].as_py() < 0:
+        homes, hashes, *_ = _unpack_parts(parts)
+        if not len(homes) or parts.column("place")[0].as_py() < 0:
             return pa.table(parts.set_column(0, "place", _lifted(parts.column("place"))))
         order = np.argsort(hashes, kind="stable")
-        docs, hashes = docs[order], hashes[order]
+        homes, hashes = homes[order], hashes[order]
         same = hashes[1:] == hashes[:-1]
         twice = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        return pa.Table.from_batches([_parts(_shard(docs[twice], shards), docs[twice], lows=hashes[twice])])
+        return pa.Table.from_batches([_parts(homes[twice].astype(np.int32), homes[twice], lows=hashes[twice])])
 
     return sent.groupBy("place").applyInArrow(place, _PACKED)
 
@@ -207,25 +209,23 @@ def _lifted(places: pa.ChunkedArray) -> pa.Array:
 
 
 def _send_windows(texts: DataFrame, repeated: DataFrame, window: int, shards: int) -> DataFrame:
-    """Packed (document, start, hash) of windows that hold a repeated anchor; the earliest of each
+    """Packed (document, tag, start, hash) of windows that hold a repeated anchor; the earliest of each
     hash in the shard goes to the hash's place, the others to their document's shard."""
     reach = period_for(window) - 1
     odd = np.uint64(0xD6E8FEB86659FD93)
 
     def shard(left: pa.Table, right: pa.Table) -> pa.Table:
-        wanted_docs, wanted, _, _ = _unpack_parts(right)
-        wanted = np.unique(_joint(wanted_docs, wanted))
+        wanted = np.unique(_unpack_parts(right)[1])
         found = []
         for batch in left.combine_chunks().to_batches() if len(wanted) else []:
-            ids = batch.column("doc").to_numpy(zero_copy_only=False)
+            ids, marks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "tag"))
             for words in bytetext.chunks(batch.column("body")):
                 hashes = words.hashes()
                 at, anchors = _anchors(words, hashes, window)
                 row = words.rows()
-                own = ids[words.first : words.last]
-                key = _joint(own[row[at]], anchors)
-                spot = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
-                at = at[wanted[spot] == key]
+                own, mark = ids[words.first : words.last], marks[words.first : words.last].view(np.uint64)
+                spot = np.minimum(np.searchsorted(wanted, anchors), len(wanted) - 1)
+                at = at[wanted[spot] == anchors]
                 begin = np.maximum(at - reach, words.bounds[row[at]])
                 stop = np.minimum(at, words.bounds[row[at] + 1] - window) + 1
                 steps = np.zeros(len(hashes) + 1, np.int64)
@@ -240,30 +240,27 @@ def _send_windows(texts: DataFrame, repeated: DataFrame, window: int, shards: in
                     low = low * bytetext._ODD + word
                     high = (high ^ word) * odd
                 low, high = bytetext.mix(low) & _LOW48, bytetext.mix(high) >> np.uint64(32)
-                found.append((own[row[starts]], (starts - words.bounds[row[starts]]).astype(np.uint64), low, high))
+                begin = (starts - words.bounds[row[starts]]).astype(np.uint64)
+                found.append((own[row[starts]], mark[row[starts]], begin, low, high))
         if not found:
             return pa.Table.from_batches([], _schema())
-        docs, starts, low, high = map(np.concatenate, zip(*found))
-        order = np.lexsort((starts, docs, high, low))
-        docs, starts, low, high = docs[order], starts[order], low[order], high[order]
+        docs, tags, starts, low, high = map(np.concatenate, zip(*found))
+        order = np.lexsort((tags, starts, docs, high, low))
+        docs, tags, starts, low, high = docs[order], tags[order], starts[order], low[order], high[order]
         fresh = np.concatenate(([True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
         again = ~fresh & _later(docs, starts, fresh)
-        place = (low[fresh] % np.uint64(shards)).astype(np.int32)
-        out = [_parts(place, docs[fresh], lows=low[fresh], highs=high[fresh], starts=starts[fresh])]
+        sent = ~again & (fresh | np.concatenate(([True], tags[1:] != tags[:-1])))  # with the first, other texts that tie
+        place = (low[sent] % np.uint64(shards)).astype(np.int32)
+        out = [_parts(place, docs[sent], lows=low[sent], highs=high[sent], starts=starts[sent], tags=tags[sent])]
         if again.any():
-            out.append(_parts(-1 - _shard(docs[again], shards), docs[again], starts=starts[again]))
+            out.append(_parts(-1 - _shard(tags[again], shards), docs[again], starts=starts[again], tags=tags[again]))
         return pa.Table.from_batches(out)
 
     return texts.groupBy("place").cogroup(repeated.groupBy("place")).applyInArrow(shard, _PACKED)
 
 
 def _schema() -> pa.Schema:
-    return pa.schema([("place", pa.int32()), *((n, pa.binary()) for n in ("docs", "lows", "highs", "starts"))])
-
-
-def _joint(docs: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """One number per (document, hash)."""
-    return bytetext.mix(bytetext.mix(docs.view(np.uint64)) + hashes)
+    return pa.schema([("place", pa.int32()), *((n, pa.binary()) for n in ("docs", "lows", "highs", "starts", "tags"))])
 
 
 def _later(docs: np.ndarray, starts: np.ndarray, fresh: np.ndarray) -> np.ndarray:
@@ -273,36 +270,36 @@ def _later(docs: np.ndarray, starts: np.ndarray, fresh: np.ndarray) -> np.ndarra
 
 
 def _removed_windows(sent: DataFrame, shards: int) -> DataFrame:
-    """Per shard: packed (document, start) of windows that start earlier elsewhere."""
+    """Per shard: packed (document, tag, start) of windows that start earlier elsewhere."""
 
     def place(parts: pa.Table) -> pa.Table:
         if parts.column("place")[0].as_py() < 0:
             return pa.table(parts.set_column(0, "place", _lifted(parts.column("place"))))
-        docs, low, high, starts = _unpack_parts(parts)
+        docs, low, high, starts, tags = _unpack_parts(parts)
         order = np.lexsort((starts, docs, high, low))
-        docs, starts, low, high = docs[order], starts[order], low[order], high[order]
+        docs, tags, starts, low, high = docs[order], tags[order], starts[order], low[order], high[order]
         fresh = np.concatenate(([True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])))
         again = ~fresh & _later(docs, starts, fresh)
-        return pa.Table.from_batches([_parts(_shard(docs[again], shards), docs[again], starts=starts[again])])
+        return pa.Table.from_batches([_parts(_shard(tags[again], shards), docs[again], starts=starts[again], tags=tags[again])])
 
     return sent.groupBy("place").applyInArrow(place, _PACKED)
 
 
 def _rewrite(window: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def shard(left: pa.Table, right: pa.Table) -> pa.Table:
-        docs, _, _, starts = _unpack_parts(right)
-        order = np.argsort(docs, kind="stable")
-        docs, starts = docs[order], starts[order].astype(np.int64)
-        ids = left.column("doc").to_numpy()
-        first, last = np.searchsorted(docs, ids, "left"), np.searchsorted(docs, ids, "right")
+        docs, _, _, starts, tags = _unpack_parts(right)
+        order = np.argsort(tags, kind="stable")
+        docs, tags, starts = docs[order], tags[order], starts[order].astype(np.int64)
+        ids, marks = left.column("doc").to_numpy(), left.column("tag").to_numpy().view(np.uint64)
+        first, last = np.searchsorted(tags, marks, "left"), np.searchsorted(tags, marks, "right")
         counts, gone, kept = [], [], []
         bodies = left.column("body").cast(pa.binary())
-        for body, a, b in zip(bodies, first, last):
+        for body, doc, a, b in zip(bodies, ids, first, last):
             words = (body.as_py() or b"").split()
             counts.append(len(words))
             if a < b:
                 steps = np.zeros(len(words) + window + 1, np.int64)
-                inside = starts[a:b][starts[a:b] + window <= len(words)]
+                inside = starts[a:b][(docs[a:b] == doc) & (starts[a:b] + window <= len(words))]
                 np.add.at(steps, inside, 1)
                 np.add.at(steps, inside + window, -1)
                 words = list(compress(words, (np.cumsum(steps)[: len(words)] == 0).tolist()))
@@ -324,7 +321,8 @@ def dedup_passages(docs: DataFrame, *, key: str = "doc_id", body: str = "text",
         F.coalesce(F.col(key).cast("long"), F.lit(_SMALLEST)).alias("doc"),
         text.whole(F.col(body)).alias("body"),
     )
-    texts = narrow.withColumn("place", _shard_column("doc", shards))
+    tagged = narrow.withColumn("tag", F.xxhash64("doc", "body"))
+    texts = tagged.withColumn("place", _shard_column("tag", shards))
     repeated = _repeated_anchors(_send_anchors(texts, window, shards), shards)
     removed = _removed_windows(_send_windows(texts, repeated, window, shards), shards)
     kind = narrow.schema["key"].dataType.simpleString()

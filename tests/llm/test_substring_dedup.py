@@ -46,3 +46,11 @@ def test_repeated_rows_missing_ids_and_clashing_names(spark):
     docs = [(7, prose(1, 50)), (7, prose(1, 50)), (None, prose(2, 30)), (3, prose(2, 30) + " " + prose(1, 19))]
     check(spark, docs, 20, "key", "doc", "body", "place", "kept")
     check(spark, [])
+
+
+def test_texts_under_one_id_lose_their_own_words_only(spark):
+    passage = prose(1, 25)
+    docs = [(None, passage + " " + prose(2, 30)), (None, prose(3, 25) + " " + passage + " " + prose(4, 9))]
+    docs += [(None, prose(5, 60)), (8, prose(6, 50)), (8, prose(7, 20) + " " + prose(6, 30)), (8, prose(8, 70))]
+    docs += [(9, passage + " " + prose(9 + i, 5)) for i in range(12)]
+    check(spark, docs)
