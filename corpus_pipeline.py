@@ -14,8 +14,14 @@ from tabloom.llm import decontaminate, line_dedup, mixing, near_dedup, quality_r
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality rules reject."""
-    return quality_rules.judge(docs).filter("kept").select(*docs.columns)
+    """Without the documents that the quality rules reject, and without the frequent lines of their source.
+
+    ``n_chars`` is the length of the new text.
+    """
+    limits = runtime.store(quality_rules.frequent_lines(docs), "lines")
+    good = quality_rules.judge(docs, limits=limits).filter("kept").select(*docs.columns)
+    done = quality_rules.without_frequent_lines(good, limits)
+    return done.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

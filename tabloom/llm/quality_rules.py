@@ -161,11 +161,16 @@ def judge(
     repeat_percent: int = REPEAT_PERCENT,
     least_docs: int = LEAST_DOCS,
     most_share: float = MOST_SHARE,
+    limits: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the counts of :func:`shape`, ``base_failed`` and ``kept``."""
-    limits = runtime.store(
-        frequent_lines(docs, host=host, body=body, least_docs=least_docs, most_share=most_share), "lines"
-    )
+    """Add the counts of :func:`shape`, ``base_failed`` and ``kept``.
+
+    ``limits`` are the frequent lines if they are known already.
+    """
+    if limits is None:
+        limits = runtime.store(
+            frequent_lines(docs, host=host, body=body, least_docs=least_docs, most_share=most_share), "lines"
+        )
     rejected = runtime.store(depleted(docs, limits, host=host, body=body, least_words=least_words), "depleted")
     counts = shape(F.col(body))
     plain = docs.drop(*_ADDED)
@@ -208,11 +213,14 @@ def without_frequent_lines(docs: DataFrame, limits: DataFrame, *, host: str = "s
       FROM documents
     ),
     full_lines AS (
-      SELECT *, lower(line) AS lowered FROM lines WHERE regexp_matches(line, '[^ 	-]')
+      SELECT *, lower(line) AS lowered FROM lines WHERE regexp_matches(line, '[^ 	-
+]')
     ),
     normal AS (
-      SELECT *, regexp_replace(trim(regexp_replace(lowered, '[ 	-]+', ' ', 'g'), ' '), '[0-9]+', '0', 'g') AS key,
-        len(regexp_extract_all(line, '[^ 	-]+'))::BIGINT AS line_words
+      SELECT *, regexp_replace(trim(regexp_replace(lowered, '[ 	-
+]+', ' ', 'g'), ' '), '[0-9]+', '0', 'g') AS key,
+        len(regexp_extract_all(line, '[^ 	-
+]+'))::BIGINT AS line_words
       FROM full_lines
     ),
     hosts AS (SELECT source, count(DISTINCT coalesce(text, '')) AS host_docs FROM documents GROUP BY source),
@@ -229,7 +237,8 @@ def without_frequent_lines(docs: DataFrame, limits: DataFrame, *, host: str = "s
     ),
     split AS (
       SELECT doc_id, source, coalesce(text, '') AS body,
-        regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words
+        regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words
       FROM documents
     ),
     placed AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS row_id FROM split),
@@ -247,7 +256,8 @@ def without_frequent_lines(docs: DataFrame, limits: DataFrame, *, host: str = "s
         length(array_to_string(words, ''))::BIGINT AS word_chars,
         length(regexp_replace(p.body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
         (SELECT count(line) - count(DISTINCT line) FROM (
-          SELECT unnest(string_split(p.body, chr(10))) AS line) WHERE regexp_matches(line, '[^ 	-]'))::BIGINT AS n_dup_lines,
+          SELECT unnest(string_split(p.body, chr(10))) AS line) WHERE regexp_matches(line, '[^ 	-
+]'))::BIGINT AS n_dup_lines,
         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
       FROM placed p LEFT JOIN covered USING (row_id)
     ),

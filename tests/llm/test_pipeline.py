@@ -58,3 +58,11 @@ def test_empty_documents(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_the_quality_stage_removes_frequent_lines(spark):
+    rows = [(i, f"Menu {i} home\n{prose(i, 80)}", "h") for i in range(20)] + [(99, f"Menu 1 home\n{prose(99, 80)}", "other")]
+    good = dict(corpus_pipeline.STAGES)["quality_rules"](spark, documents(spark, rows), "").collect()
+    want = {i: prose(i, 80) for i in range(20)} | {99: rows[-1][1]}
+    assert {r["doc_id"]: r["text"] for r in good} == want
+    assert all(r["n_chars"] == len(r["text"]) for r in good)
