@@ -45,5 +45,5 @@ def test_native_plans_hold_no_python(spark, name):
         assert operator not in plan
 
 
-def test_ten_operators_are_registered():
-    assert {int(name[2:].split("_")[0]) for name in llm_queries()} == set(range(1, 11))
+def test_all_operators_are_registered():
+    assert {int(name[2:].split("_")[0]) for name in llm_queries()} == set(range(1, 14))
