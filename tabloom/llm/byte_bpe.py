@@ -18,7 +18,7 @@ sent to the executors; both have a fixed size. A task holds one Arrow batch or o
 Defined cases: a missing or empty text has no ids and decodes to no bytes; equal rows are encoded
 each; special strings are text; bytes that are no UTF-8 count as U+FFFD, as the library sees them;
 an empty table gives an empty result; :func:`encode` returns the key and its own columns only,
-:func:`decode` adds ``decoded`` in place of a column of that name. An id that is no rank is an error.
+:func:`decode` adds ``packed`` and ``decoded`` in place of columns of these names. An id that is no rank is an error.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ from tabloom.plans.catalog import Catalog
 CATALOG = Catalog()
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-_CACHE_ENTRIES = 500_000
+_CACHE_ENTRIES = 200_000
 _CACHED_BYTES = 64  # longer pre-tokens are not remembered
 _CHUNK = 1 << 20
 _BLOCK = 128
@@ -311,11 +311,14 @@ def _written(ids: np.ndarray, starts: np.ndarray, offsets: np.ndarray, vocabular
 
 
 def decode(encoded: DataFrame, ranks_path: str, *, ids: str = "ids", starts: str = "starts") -> DataFrame:
-    """Add ``decoded``, the bytes of the ids (none for a missing list); other columns pass through."""
+    """Add ``packed``, the ids as little-endian unsigned 32-bit integers, and ``decoded``, their bytes.
+
+    Both are empty for a missing list; other columns pass through.
+    """
     spark = encoded.sparkSession
     with open(ranks_path, "rb") as file:
         sent = spark.sparkContext.broadcast(file.read())
-    plain = encoded.drop("decoded")
+    plain = encoded.drop("packed", "decoded")
     at = [plain.columns.index(c) for c in (ids, starts)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,33 +326,20 @@ def decode(encoded: DataFrame, ranks_path: str, *, ids: str = "ids", starts: str
         for batch in batches:
             lists = [batch.column(i) for i in at]
             offsets = np.concatenate(([0], np.cumsum(pc.list_value_length(lists[0]).fill_null(0).to_numpy(zero_copy_only=False)))).astype(np.int64)
-            tokens, places = (column.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for column in lists)
-            out, first = [], 0
+            tokens, places = (column.flatten().to_numpy(zero_copy_only=False) for column in lists)
+            out, packed, first = [], [], 0
             while first < len(batch):
                 last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + _TOKENS, "right")) - 1)
                 span = slice(offsets[first], offsets[last])
                 ends, written = _written(tokens[span], places[span], offsets[first : last + 1] - offsets[first], vocabulary)
                 out += [written[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+                packed += [tokens[a:b].astype("<u4").tobytes() for a, b in zip(offsets[first:last], offsets[first + 1 :])]
                 first = last
-            yield pa.record_batch([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
-
-    return plain.mapInArrow(task, T.StructType([*plain.schema.fields, T.StructField("decoded", T.BinaryType())]))
-
-
-def packed_ids(encoded: DataFrame, *, ids: str = "ids", out: str = "packed") -> DataFrame:
-    """Add ``out``, the ids as little-endian unsigned 32-bit integers (none for a missing list)."""
-    plain = encoded.drop(out)
-    at = plain.columns.index(ids)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(at)
-            ends = np.cumsum(pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)).tolist()
-            values = column.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-            packed = [values[a:b].tobytes() for a, b in zip([0, *ends], ends)]
-            yield pa.record_batch([*batch.columns, pa.array(packed, pa.binary())], [*batch.schema.names, out])
+            added = [pa.array(column, pa.binary()) for column in (packed, out)]
+            yield pa.record_batch([*batch.columns, *added], [*batch.schema.names, "packed", "decoded"])
 
-    return plain.mapInArrow(task, T.StructType([*plain.schema.fields, T.StructField(out, T.BinaryType())]))
+    added = [T.StructField(name, T.BinaryType()) for name in ("packed", "decoded")]
+    return plain.mapInArrow(task, T.StructType([*plain.schema.fields, *added]))
 
 
 @CATALOG.query()
@@ -358,8 +348,7 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
     ranks = public_tokenizers.path(RANKS)
     encoded = encode(text.table(spark, folder, "documents").select("doc_id", "text"), ranks)
-    both = packed_ids(decode(encoded, ranks))
-    return both.select(
+    return decode(encoded, ranks).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2("packed", 256).alias("ids_sha256"),
