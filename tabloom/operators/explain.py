@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom import runtime
-from tabloom.operators import metrics, models, rank
+from tabloom.operators import metrics, models, rank, trees
 from tabloom.operators.quantiles import exact_quantiles
 
 Score = Callable[[DataFrame], DataFrame]
@@ -30,8 +30,10 @@ def coefficient_table(df: DataFrame, fitted: models.Fitted) -> DataFrame:
     return _per_feature(df, fitted.features, fitted.model.coefficients.toArray(), "coefficient")
 
 
-def impurity_importance(df: DataFrame, fitted: models.Fitted) -> DataFrame:
+def impurity_importance(df: DataFrame, fitted: models.Fitted | trees.NodeForest) -> DataFrame:
     """Mean decrease in impurity per feature of a forest or tree, largest first; sums to 1."""
+    if isinstance(fitted, trees.NodeForest):
+        return trees.importance(df.sparkSession, fitted)
     return _per_feature(df, fitted.features, fitted.model.featureImportances.toArray(), "importance")
 
 

@@ -125,6 +125,27 @@ def fit_logit(
     return _fit(logit, df, features, label, weight)
 
 
+def score_equations(
+    df: DataFrame, fitted: Fitted, label: str, *, weight: str | None = None, inverse_penalty: float | None = None
+) -> DataFrame:
+    """Rows (feature, fitted, observed): both sides are equal at the optimum of a logistic regression.
+
+    Per weight, ``observed`` is the sum of label times feature, and ``fitted`` the sum of probability times feature plus
+    what the penalty pulls; their difference is the gradient of the loss. The intercept is the feature
+    ``(intercept)`` with value 1, without a penalty. One aggregation over the scored rows.
+    """
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    pulls = dict(zip(fitted.features, fitted.model.coefficients.toArray().tolist(), strict=True)) if inverse_penalty else {}
+    values = {f: F.col(f).cast("double") for f in fitted.features} | {"(intercept)": F.lit(1.0)}
+    sides = []
+    for i, (feature, x) in enumerate(values.items()):
+        pull = F.lit(pulls.get(feature, 0.0) / (inverse_penalty or 1.0))
+        sides.append(((F.sum(w * F.col("p1") * x) + pull) / F.sum(w)).alias(f"f{i}"))
+        sides.append((F.sum(w * F.col(label) * x) / F.sum(w)).alias(f"o{i}"))
+    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"f{i}").alias("fitted"), F.col(f"o{i}").alias("observed")) for i, f in enumerate(values)]
+    return fitted.apply(df).agg(*sides).select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+
+
 def balanced(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Add weights under which every class counts the same."""
     return classes.with_class_weight(df, label, out)

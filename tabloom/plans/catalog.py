@@ -35,9 +35,10 @@ def all_queries() -> dict[str, Query]:
         patient_queries,
         sensor_queries,
         split_queries,
+        tree_queries,
     )
 
     merged: dict[str, Query] = {}
-    for module in (sensor_queries, column_queries, split_queries, patient_queries, corpus_queries, model_queries):
+    for module in (sensor_queries, column_queries, split_queries, patient_queries, corpus_queries, model_queries, tree_queries):
         merged.update(module.CATALOG)
     return merged

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom import runtime
-from tabloom.operators import crossval, explain, metrics, models, scale, split
+from tabloom.operators import crossval, explain, metrics, models, scale, split, trees
 from tabloom.sources import schemas, tables
 
 
@@ -54,19 +54,16 @@ def fit_balanced_logit(train: DataFrame, features: Sequence[str], label: str) ->
     )
 
 
-def fit_forest(
-    train: DataFrame,
-    study: Study,
-    *,
-    balance: bool = False,
-    seed: int = 42,
-) -> models.Fitted:
+# Fewest train rows of a node that is split.
+MIN_SPLIT = 8
+
+
+def grow_forest(train: DataFrame, study: Study, *, balance: bool = False, seed: int = 42) -> models.Fitted:
     """100 trees of depth 5 with leaves of at least 3 rows."""
     if balance:
         train = models.balanced(train, study.label)
-    train = models.fixed_layout(train, study.key)
     return models.fit_forest(
-        train,
+        models.fixed_layout(train, study.key),
         study.features,
         study.label,
         trees=100,
@@ -78,12 +75,25 @@ def fit_forest(
     )
 
 
-def fit_balanced_tree(train: DataFrame, study: Study, *, seed: int = 42) -> models.Fitted:
-    train = models.balanced(train, study.label)
-    train = models.fixed_layout(train, study.key)
+def grow_balanced_tree(train: DataFrame, study: Study, *, seed: int = 42) -> models.Fitted:
+    train = models.fixed_layout(models.balanced(train, study.label), study.key)
     return models.fit_tree(train, study.features, study.label, depth=5, min_leaf=3, seed=seed, weight="weight")
 
 
+def limited(train: DataFrame, fitted: models.Fitted) -> trees.NodeForest:
+    """The model without splits of nodes that fewer than ``MIN_SPLIT`` train rows reach."""
+    return trees.collapsed(trees.with_rows(trees.read_nodes(train.sparkSession, fitted), train), MIN_SPLIT)
+
+
+def fit_forest(train: DataFrame, study: Study, *, balance: bool = False, seed: int = 42) -> trees.NodeForest:
+    """The forest with its minimum split size."""
+    return limited(train, grow_forest(train, study, balance=balance, seed=seed))
+
+
+def fit_balanced_tree(train: DataFrame, study: Study, *, seed: int = 42) -> trees.NodeForest:
+    return limited(train, grow_balanced_tree(train, study, seed=seed))
+
+
 def report(study: Study, scored: DataFrame) -> DataFrame:
     return metrics.classification_report(scored, study.label, "prediction", "p1")
 
@@ -103,7 +113,7 @@ def cross_validation(study: Study, *, folds: int = 5, seed: int = 42, scale_befo
 
 
 def permutation_table(
-    study: Study, train: DataFrame, fitted: models.Fitted, *, repeats: int = 30, seed: int = 42
+    study: Study, train: DataFrame, fitted: models.Fitted | trees.NodeForest, *, repeats: int = 30, seed: int = 42
 ) -> DataFrame:
     scores = explain.permutation_scores(
         train, study.key, study.features, study.label, fitted.apply, repeats=repeats, seed=seed

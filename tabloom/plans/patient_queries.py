@@ -16,7 +16,7 @@ from tabloom.plans.standins import DOCUMENT_FEATURES, STUDY_SQL, table
 
 CATALOG = Catalog()
 
-def _study(spark: SparkSession, folder: str) -> patient.Study:
+def stored_study(spark: SparkSession, folder: str) -> patient.Study:
     """The study with its features stored, so that texts are tokenized once."""
     study = standins.study(spark, folder)
     return replace(study, table=runtime.store(study.table, "study"))
@@ -120,7 +120,7 @@ def binary_confusion(spark: SparkSession, folder: str) -> DataFrame:
 )
 def fold_means(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of the fixed formula per stratified fold, averaged over the folds."""
-    placed = split.stratified_folds(_study(spark, folder).table, ["doc_id"], "quality", 5, 42)
+    placed = split.stratified_folds(stored_study(spark, folder).table, ["doc_id"], "quality", 5, 42)
     counts = metrics.binary_counts(formula(placed), "quality", "prediction", ["fold"])
     means = metrics.mean_over(metrics.binary_scores(counts, ["fold"]), metrics.BINARY_METRICS)
     return means.withColumn("mean", F.round("mean", 6))
@@ -152,7 +152,7 @@ def _permuted_sql() -> str:
 def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy lost by the fixed formula when a feature takes donor values."""
     scores = explain.permutation_scores(
-        _study(spark, folder).table,
+        stored_study(spark, folder).table,
         ["doc_id"],
         DOCUMENT_FEATURES,
         "quality",
@@ -205,7 +205,7 @@ def partial_dependence(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query()
 def balanced_logit(spark: SparkSession, folder: str) -> DataFrame:
     """Report of the balanced logistic regression on the test side."""
-    study = _study(spark, folder)
+    study = stored_study(spark, folder)
     train, test = patient.scaled_sides(study)
     return patient.report(study, patient.fit_balanced_logit(train, study.features, study.label).apply(test))
 
@@ -213,7 +213,7 @@ def balanced_logit(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query()
 def forest_report(spark: SparkSession, folder: str) -> DataFrame:
     """Report of the plain forest on the test side."""
-    study = _study(spark, folder)
+    study = stored_study(spark, folder)
     train, test = study.sides()
     return patient.report(study, patient.fit_forest(train, study).apply(test))
 
@@ -221,7 +221,7 @@ def forest_report(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query()
 def balanced_forest(spark: SparkSession, folder: str) -> DataFrame:
     """Report of the balanced forest on the test side."""
-    study = _study(spark, folder)
+    study = stored_study(spark, folder)
     train, test = study.sides()
     return patient.report(study, patient.fit_forest(train, study, balance=True).apply(test))
 
@@ -229,7 +229,7 @@ def balanced_forest(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query()
 def balanced_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy, recall and precision of the balanced tree on the test side."""
-    study = _study(spark, folder)
+    study = stored_study(spark, folder)
     train, test = study.sides()
     scored = patient.fit_balanced_tree(train, study).apply(test)
     scores = metrics.binary_scores(metrics.binary_counts(scored, study.label, "prediction"))
@@ -239,19 +239,19 @@ def balanced_tree(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query()
 def cv_report(spark: SparkSession, folder: str) -> DataFrame:
     """Mean scores over five stratified folds."""
-    return patient.cross_validation(_study(spark, folder))
+    return patient.cross_validation(stored_study(spark, folder))
 
 
 @CATALOG.query()
 def cv_report_scaled_before(spark: SparkSession, folder: str) -> DataFrame:
     """The same with features standardised once over all rows."""
-    return patient.cross_validation(_study(spark, folder), scale_before=True)
+    return patient.cross_validation(stored_study(spark, folder), scale_before=True)
 
 
 @CATALOG.query()
 def coef_table(spark: SparkSession, folder: str) -> DataFrame:
     """Coefficients of the balanced logistic regression."""
-    study = _study(spark, folder)
+    study = stored_study(spark, folder)
     train, _ = patient.scaled_sides(study)
     return explain.coefficient_table(train, patient.fit_balanced_logit(train, study.features, study.label))
 
@@ -259,7 +259,7 @@ def coef_table(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query()
 def mdi_table(spark: SparkSession, folder: str) -> DataFrame:
     """Impurity importances of a forest on scaled features."""
-    study = _study(spark, folder)
+    study = stored_study(spark, folder)
     train, _ = patient.scaled_sides(study)
     return explain.impurity_importance(train, patient.fit_forest(train, study))
 
@@ -267,7 +267,7 @@ def mdi_table(spark: SparkSession, folder: str) -> DataFrame:
 @CATALOG.query()
 def permutation_importance_forest(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy a forest loses on its train rows when a feature takes donor values, 30 repeats."""
-    study = _study(spark, folder)
+    study = stored_study(spark, folder)
     train, _ = patient.scaled_sides(study)
     return patient.permutation_table(study, train, patient.fit_forest(train, study))
 
@@ -275,6 +275,6 @@ def permutation_importance_forest(spark: SparkSession, folder: str) -> DataFrame
 @CATALOG.query()
 def partial_dependence_logit(spark: SparkSession, folder: str) -> DataFrame:
     """Mean probability of the balanced logistic regression along each feature."""
-    study = _study(spark, folder)
+    study = stored_study(spark, folder)
     train, _ = patient.scaled_sides(study)
     return patient.dependence_table(study, train, patient.fit_balanced_logit(train, study.features, study.label))

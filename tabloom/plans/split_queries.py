@@ -13,12 +13,12 @@ from tabloom.plans.standins import DOCUMENT_FEATURES, LINES_SQL, STUDY_SQL, labe
 CATALOG = Catalog()
 
 
-def _hash_sql(key: str, seed: int, digits: int) -> str:
+def hash_sql(key: str, seed: int, digits: int) -> str:
     return f"CAST(('0x' || substr(md5('{seed}|' || CAST({key} AS VARCHAR)), 1, {digits})) AS UBIGINT)"
 
 
 @CATALOG.query(
-    f"""WITH {LINES_SQL} SELECT line_id, CASE WHEN {_hash_sql('line_id', 123, 8)} < 3435973837
+    f"""WITH {LINES_SQL} SELECT line_id, CASE WHEN {hash_sql('line_id', 123, 8)} < 3435973837
           THEN 'train' ELSE 'test' END AS split FROM lines"""
 )
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,7 +29,7 @@ def hash_split(spark: SparkSession, folder: str) -> DataFrame:
 
 @CATALOG.query(
     f"""SELECT split, count(*) AS n, count(DISTINCT l_orderkey) AS orders FROM (
-          SELECT l_orderkey, CASE WHEN {_hash_sql('l_orderkey', 123, 8)} < 3435973837
+          SELECT l_orderkey, CASE WHEN {hash_sql('l_orderkey', 123, 8)} < 3435973837
             THEN 'train' ELSE 'test' END AS split FROM lineitem) GROUP BY 1"""
 )
 def group_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,7 +43,7 @@ def group_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @CATALOG.query(
-    f"""SELECT event_id, CASE WHEN row_number() OVER (ORDER BY {_hash_sql('event_id', 42, 15)}, event_id)
+    f"""SELECT event_id, CASE WHEN row_number() OVER (ORDER BY {hash_sql('event_id', 42, 15)}, event_id)
           <= floor(0.8 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS split FROM events"""
 )
 def exact_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,14 +53,14 @@ def exact_split(spark: SparkSession, folder: str) -> DataFrame:
 
 @CATALOG.query(
     f"""WITH {LINES_SQL} SELECT line_id,
-          row_number() OVER (ORDER BY {_hash_sql('line_id', 7, 15)}, line_id) AS place FROM lines"""
+          row_number() OVER (ORDER BY {hash_sql('line_id', 7, 15)}, line_id) AS place FROM lines"""
 )
 def hash_rank(spark: SparkSession, folder: str) -> DataFrame:
     """Random but fixed global order of the line items."""
     return rank.hash_rank(lines(spark, folder).select("line_id"), "place", ["line_id"], 7)
 
 
-_QUOTA_SQL = """sizes AS (SELECT quality, count(*) AS n, sum(count(*)) OVER () AS total FROM labels GROUP BY 1),
+QUOTA_SQL = """sizes AS (SELECT quality, count(*) AS n, sum(count(*)) OVER () AS total FROM labels GROUP BY 1),
   drawn AS (SELECT *, total - ceil(0.3 * total) AS k FROM sizes),
   parts AS (SELECT *, floor(n * k / total) AS whole, (n * k) % total AS rest FROM drawn),
   quotas AS (SELECT quality, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, quality)
@@ -68,8 +68,8 @@ _QUOTA_SQL = """sizes AS (SELECT quality, count(*) AS n, sum(count(*)) OVER () A
 
 
 @CATALOG.query(
-    f"""WITH {_QUOTA_SQL} SELECT l.doc_id, l.quality,
-          CASE WHEN row_number() OVER (PARTITION BY l.quality ORDER BY {_hash_sql('l.doc_id', 42, 15)}, l.doc_id)
+    f"""WITH {QUOTA_SQL} SELECT l.doc_id, l.quality,
+          CASE WHEN row_number() OVER (PARTITION BY l.quality ORDER BY {hash_sql('l.doc_id', 42, 15)}, l.doc_id)
             <= q.quota THEN 'train' ELSE 'test' END AS split
         FROM labels l JOIN quotas q ON l.quality = q.quality"""
 )
@@ -83,7 +83,7 @@ def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH starts AS (SELECT quality, sum(count(*)) OVER (ORDER BY quality) - count(*) AS start
           FROM labels GROUP BY 1)
         SELECT l.doc_id, l.quality, CAST((s.start - 1 + row_number() OVER (PARTITION BY l.quality
-            ORDER BY {_hash_sql('l.doc_id', 42, 15)}, l.doc_id)) % 5 AS INT) AS fold
+            ORDER BY {hash_sql('l.doc_id', 42, 15)}, l.doc_id)) % 5 AS INT) AS fold
         FROM labels l JOIN starts s ON l.quality = s.quality"""
 )
 def stratified_folds(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,11 +117,11 @@ def row_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @CATALOG.query(
-    f"""WITH {LINES_SQL}, train AS (SELECT * FROM lines WHERE {_hash_sql('line_id', 123, 8)} < 3435973837),
+    f"""WITH {LINES_SQL}, train AS (SELECT * FROM lines WHERE {hash_sql('line_id', 123, 8)} < 3435973837),
           m AS (SELECT avg(l_quantity) AS qa, stddev_pop(l_quantity) AS qs,
             avg(l_extendedprice) AS pa, stddev_pop(l_extendedprice) AS ps FROM train)
         SELECT line_id, round((l_quantity - qa) / qs, 6) AS l_quantity, round((l_extendedprice - pa) / ps, 6) AS l_extendedprice
-        FROM lines, m WHERE {_hash_sql('line_id', 123, 8)} >= 3435973837"""
+        FROM lines, m WHERE {hash_sql('line_id', 123, 8)} >= 3435973837"""
 )
 def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
     """Test rows standardised with the statistics of the train rows."""
