@@ -130,8 +130,11 @@ def binary_scores(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _cumulative(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Score counts with running true and false positives from the highest score down."""
+def _cumulative(df: DataFrame, label: str, score: str, *, corners: bool = False) -> DataFrame:
+    """Score counts with running true and false positives from the highest score down.
+
+    With ``corners`` also ``is_corner``: the first and the last score, and those after which the counts change.
+    """
     number = F.col(score).cast("double")
     lost = number.isNull() | F.isnan(number)
     checked = F.when(lost, F.raise_error(F.lit(f"score {score} is missing")).cast("double")).otherwise(number)
@@ -142,17 +145,26 @@ def _cumulative(df: DataFrame, label: str, score: str) -> DataFrame:
     counts = marked.groupBy("bucket", F.col("s").alias("threshold")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
-    return rank.running_sums(
-        counts, {"pos": "tp", "neg": "fp"}, bucket="bucket", order=[F.desc("threshold")], totals=True
-    )
-
-
-def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
+    order = [F.desc("threshold")]
+    if corners:
+        # a NULL next value belongs to the last score; the first one has counted nothing before itself
+        counts = rank.next_values(counts, ["pos", "neg"], bucket="bucket", order=order, first=-F.col("threshold"))
+    summed = rank.running_sums(counts, {"pos": "tp", "neg": "fp"}, bucket="bucket", order=order, totals=True)
+    if not corners:
+        return summed
+    same = (F.col("pos") == F.col("pos__next")) & (F.col("neg") == F.col("neg__next"))
+    is_first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    return summed.withColumn("is_corner", is_first | ~F.coalesce(same, F.lit(False))).drop("pos__next", "neg__next")
+
+
+def roc_points(df: DataFrame, label: str, score: str, *, corners: bool = False) -> DataFrame:
     """ROC curve: one point per distinct score, and (0, 0) at threshold infinity.
 
-    Every row needs a score; remove or fill missing ones first.
+    Every row needs a score; remove or fill missing ones first. With ``corners``, points inside a straight piece of
+    equal steps are left out: those whose score has as many positives and negatives as the next one.
     """
-    points = _cumulative(df, label, score).select(
+    found = _cumulative(df, label, score, corners=corners)
+    points = (found.filter("is_corner") if corners else found).select(
         "threshold",
         numeric.ratio(F.col("fp"), F.col("fp_total"), 0.0).alias("fpr"),
         numeric.ratio(F.col("tp"), F.col("tp_total"), 0.0).alias("tpr"),

@@ -145,6 +145,27 @@ def running_sums(
     return joined.drop(bucket)
 
 
+def next_values(
+    df: DataFrame, columns: Sequence[str], *, bucket: str, order: Sequence[str | Column], first: Column
+) -> DataFrame:
+    """Add ``<column>__next``, the value of the next row along ``order``; missing in the last row.
+
+    Neighbours inside a bucket come from a window in the bucket. Across a border the next row is the first one
+    of the next bucket that has rows: one row per bucket carries it. ``first`` is the smallest along
+    ``order``, as a value that grows with it.
+    """
+    values = F.struct(*columns)
+    heads = df.groupBy(bucket).agg(F.min_by(values, first).alias("head"))
+    across = Window.partitionBy(F.lit(0)).orderBy(bucket)  # one row per bucket
+    follows = heads.select(bucket, F.lead("head").over(across).alias("border__next"))
+    inside = Window.partitionBy(bucket).orderBy(*order)
+    placed = df.withColumn("own__next", F.lead(values).over(inside))
+    joined = placed.join(follows, bucket, "left").withColumn("any__next", F.coalesce("own__next", "border__next"))
+    for c in columns:
+        joined = joined.withColumn(f"{c}__next", F.col(f"any__next.{c}"))
+    return joined.drop("own__next", "border__next", "any__next")
+
+
 def hash_rank(
     df: DataFrame,
     out: str,

@@ -9,7 +9,6 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,10 +56,6 @@ def exact_split(
     return ranked.withColumn(out, side).drop("split__rank", "split__rows")
 
 
-def _per_class(df: DataFrame, label: str, sizes: list, out: str, values: list[int]) -> DataFrame:
-    return classes.class_table(df, label, {label: (None, [c for c, _ in sizes]), out: (pa.int64(), values)})
-
-
 def stratified_split(
     df: DataFrame,
     key: Sequence[str],
@@ -71,11 +66,9 @@ def stratified_split(
     out: str = "split",
 ) -> DataFrame:
     """Random split with exactly ``ceil(test_fraction * rows)`` test rows and equal class shares."""
-    sizes = classes.class_sizes(df, label)
-    rows = sum(n for _, n in sizes)
-    train = rows - math.ceil(round(test_fraction * rows, 9))
-    quotas = _per_class(df, label, sizes, "split__quota", classes.class_quotas(sizes, train))
-    marked = classes.with_class_values(rank.hash_rank(df, "split__rank", key, seed, within=[label]), label, quotas)
+    train = lambda rows: rows - math.ceil(round(test_fraction * rows, 9))
+    ranked = rank.hash_rank(df, "split__rank", key, seed, within=[label])
+    marked = classes.with_values(ranked, label, classes.quotas(df, label, train, "split__quota"))
     side = F.when(F.col("split__rank") <= F.col("split__quota"), F.lit("train")).otherwise(F.lit("test"))
     return marked.withColumn(out, side).drop("split__rank", "split__quota")
 
@@ -94,8 +87,7 @@ def stratified_folds(
     Rows are dealt round robin through all classes in turn, so fold sizes differ by one
     row at most.
     """
-    sizes = classes.class_sizes(df, label)
-    starts = _per_class(df, label, sizes, "fold__start", classes.class_starts(sizes))
-    marked = classes.with_class_values(rank.hash_rank(df, "fold__rank", key, seed, within=[label]), label, starts)
+    ranked = rank.hash_rank(df, "fold__rank", key, seed, within=[label])
+    marked = classes.with_values(ranked, label, classes.starts(df, label, "fold__start"))
     dealt = (F.col("fold__start") + F.col("fold__rank") - 1) % F.lit(folds)
     return marked.withColumn(out, dealt.cast("int")).drop("fold__rank", "fold__start")

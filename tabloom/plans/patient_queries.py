@@ -91,6 +91,23 @@ def roc_points(spark: SparkSession, folder: str) -> DataFrame:
     return points.select("threshold", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
 
 
+@CATALOG.query(
+    """WITH ruled AS (SELECT CAST(dayofweek(ts) IN (0, 6) AS INT) AS y, round(value, 1) AS s FROM events),
+          steps AS (SELECT s, sum(y) AS pos, sum(1 - y) AS neg FROM ruled GROUP BY s),
+          placed AS (SELECT *, sum(pos) OVER (ORDER BY s DESC) AS tp, sum(neg) OVER (ORDER BY s DESC) AS fp,
+            lead(pos) OVER (ORDER BY s DESC) AS next_pos, lead(neg) OVER (ORDER BY s DESC) AS next_neg,
+            lag(pos) OVER (ORDER BY s DESC) AS last_pos FROM steps)
+        SELECT 'inf'::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+        UNION ALL SELECT s, round(fp / (SELECT sum(neg) FROM steps), 6), round(tp / (SELECT sum(pos) FROM steps), 6) FROM placed
+        WHERE last_pos IS NULL OR next_pos IS NULL OR pos <> next_pos OR neg <> next_neg"""
+)
+def roc_corners(spark: SparkSession, folder: str) -> DataFrame:
+    """ROC curve without the points inside straight pieces."""
+    ruled = _ruled(spark, folder).withColumn("s", F.round("s", 1))
+    points = metrics.roc_points(ruled, "y", "s", corners=True)
+    return points.select("threshold", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
+
+
 @CATALOG.query(
     f"""WITH {STUDY_SQL}, scored AS (SELECT quality, {_PLAIN_SQL} AS p1 FROM study)
         SELECT quality AS label, count(*) FILTER (p1 <= 0.5) AS predicted_0, count(*) FILTER (p1 > 0.5) AS predicted_1,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from tabloom.operators import metrics
+from tabloom.operators import metrics, rank
 
 
 @pytest.fixture(scope="module")
@@ -91,3 +91,18 @@ def test_missing_scores_are_errors(spark, score):
 def test_mean_and_spread(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0)], "k string, v double")
     assert tuple(metrics.mean_and_spread(df, ["k"], "v").first()) == ("a", 2.0, 1.0)
+
+
+def test_corners_of_the_curve(spark, scored, monkeypatch):
+    """Points stay unless their score has the counts of the next one, whatever the buckets."""
+    counts = scored.groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).orderBy(F.desc("s")).collect()
+    steps = [(r["pos"], r["neg"]) for r in counts]
+    kept = {r["s"] for i, r in enumerate(counts) if i in (0, len(steps) - 1) or steps[i] != steps[i + 1]}
+    for bits in (4, 6, 10):
+        monkeypatch.setattr(rank, "bucket_bits", lambda _, bits=bits: bits)
+        points = metrics.roc_points(scored, "y", "s", corners=True).collect()
+        assert {r["threshold"] for r in points} == kept | {float("inf")}
+        whole = {tuple(r) for r in metrics.roc_points(scored, "y", "s").collect()}
+        assert {tuple(r) for r in points} <= whole and len(points) < len(whole)
+    one = spark.createDataFrame([(1, 0.5), (0, 0.5)], "y int, s double")
+    assert metrics.roc_points(one, "y", "s", corners=True).count() == 2

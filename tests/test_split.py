@@ -73,3 +73,22 @@ def test_missing_class_keeps_its_rows(spark):
 def test_class_weights_sum_to_the_rows(rows):
     weighted = classes.with_class_weight(rows, "y").groupBy("y").agg(F.sum("weight").alias("w")).collect()
     assert [r["w"] for r in weighted] == pytest.approx([500.0, 500.0])
+
+
+def test_many_classes_are_handled_as_few_are(spark, monkeypatch):
+    """Tables made by Spark and by the driver agree; 20,000 classes, one of them missing and one with a third of the rows."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") == 7, F.lit(None)).otherwise(F.concat(F.lit("c"), (F.col("id") % 19_998).cast("string")))
+    df = spark.range(60_000).select("id", hot.alias("y"))
+    found = {}
+    for limit in (10, 100_000):
+        monkeypatch.setattr(classes, "MAX_CLASSES", limit)
+        found[limit] = [
+            sorted(map(str, table.collect()))
+            for table in (
+                split.stratified_split(df, ["id"], "y", 0.3, 42),
+                split.stratified_folds(df, ["id"], "y", 5, 42),
+                classes.class_weights(df, "y").select("y", "n", "weight"),
+                classes.with_class_weight(df, "y"),
+            )
+        ]
+    assert found[10] == found[100_000]
