@@ -132,13 +132,19 @@ def permutation_importance(scores: DataFrame) -> DataFrame:
 
 def dependence_grid(df: DataFrame, features: Sequence[str], *, points: int = 100) -> dict[str, list[float]]:
     """Grid per feature: its values if fewer than ``points``, else even steps from the 5th to the 95th percentile."""
-    long = df.select(*[F.col(f).cast("double").alias(f) for f in features]).unpivot([], list(features), "feature", "x")
-    values = long.filter(F.col("x").isNotNull() & ~F.isnan("x")).distinct()
-    counts = values.groupBy("feature").agg(F.count("*").alias("n"))
-    few = [r["feature"] for r in counts.filter(F.col("n") < points).collect()]
+    numbers = df.select(*[F.col(f).cast("double").alias(f) for f in features])
+    present = {f: F.when(~F.isnan(f), F.col(f)) for f in features}
+    # a sketch skips the features with far more values; the few it lets through are counted exactly
+    guess = numbers.agg(*[F.approx_count_distinct(x, 0.05).alias(f) for f, x in present.items()]).first()
+    close = [f for f in features if guess[f] < 2 * points]
     grid: dict[str, list[float]] = {}
-    for row in values.filter(F.col("feature").isin(few)).collect() if few else []:  # fewer than features * points
-        grid.setdefault(row["feature"], []).append(row["x"])
+    if close:
+        long = numbers.select(*close).unpivot([], close, "feature", "x").filter(F.col("x").isNotNull() & ~F.isnan("x"))
+        values = runtime.store(long.distinct(), "values")
+        counts = values.groupBy("feature").agg(F.count("*").alias("n"))
+        few = [r["feature"] for r in counts.filter(F.col("n") < points).collect()]
+        for row in values.filter(F.col("feature").isin(few)).collect() if few else []:  # fewer than features * points
+            grid.setdefault(row["feature"], []).append(row["x"])
     grid = {f: sorted(v) for f, v in grid.items()}
     rest = [f for f in features if f not in grid]
     if rest:
@@ -167,7 +173,7 @@ def partial_dependence(
     listed = json.dumps([{"feature": f, "grid": float(v)} for f in features for v in grid[f]])
     # one text literal, folded into an array once, is far quicker to plan than a literal per value
     spots = F.from_json(F.lit(listed), "array<struct<feature:string,grid:double>>")
-    moved = df.select(*features, F.explode(spots).alias("spot")).select(
+    moved = runtime.spread(df.select(*features), *features).select("*", F.explode(spots).alias("spot")).select(
         "spot.feature",
         "spot.grid",
         *[F.when(F.col("spot.feature") == f, F.col("spot.grid")).otherwise(F.col(f)).alias(f) for f in features],

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom import runtime
 from tabloom.functions import sequences, text
-from tabloom.operators import split, vocab
+from tabloom.operators import rank, split, vocab
 
 
 def pair_by_key(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -17,7 +18,7 @@ def pair_by_key(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 
 def tokenized_pairs(pairs: DataFrame, key: str) -> DataFrame:
-    return pairs.select(key, text.tokenize("source").alias("src_tokens"), text.tokenize("target").alias("tgt_tokens"))
+    return runtime.spread(pairs.select(key, "source", "target"), key).select(key, text.tokenize("source").alias("src_tokens"), text.tokenize("target").alias("tgt_tokens"))
 
 
 def training_pairs(
@@ -35,9 +36,10 @@ def training_pairs(
     ``int(train_fraction * rows)`` rows in a seeded random order train. Source and target
     are encoded separately and joined on the unique key they are both grouped by.
     """
-    tokens = tokenized_pairs(pairs, key)
+    # stored in the order of the key and numbered in it, once for both vocabularies and both encodings
+    tokens = runtime.store(rank.ordered_rank(tokenized_pairs(pairs, key), "pair__number", [key]), "tokens")
     if vocabs is None:
-        vocabs = (vocab.build_vocab(tokens, key, "src_tokens"), vocab.build_vocab(tokens, key, "tgt_tokens"))
+        vocabs = tuple(vocab.build_vocab(tokens, "pair__number", side) for side in ("src_tokens", "tgt_tokens"))
     source = vocab.encode(tokens, vocabs[0], key, length, tokens="src_tokens", out="src_ids")
     target = vocab.encode(tokens, vocabs[1], key, length, tokens="tgt_tokens", out="tgt_ids")
     shifted = source.join(target, key).select(

@@ -14,7 +14,7 @@ from tabloom.operators import lookup, rank
 
 def tokenized(df: DataFrame, key: str, column: str, **options) -> DataFrame:
     """Table (key, tokens)."""
-    return df.select(key, text.tokenize(column, **options).alias("tokens"))
+    return runtime.spread(df.select(key, column), key).select(key, text.tokenize(column, **options).alias("tokens"))
 
 
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -27,26 +27,26 @@ def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 def first_occurrences(df: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     """Table (token, n, first_key, first_pos): count and first place, in one aggregation.
 
-    Occurrences are combined before they leave their task, so a frequent token costs one
-    row per task. For an integer key the place is packed into one decimal, because Spark
-    sorts all occurrences to find a smallest struct but hashes to find a smallest number.
+    Occurrences are combined before they leave their task, so a frequent token costs one row per task. The
+    place is packed into one decimal, because Spark sorts all occurrences to find a smallest struct but
+    hashes to find a smallest number. Documents whose key is no integer are numbered in its order first.
     """
+    if not isinstance(df.schema[key].dataType, T.IntegralType):
+        numbered = rank.ordered_rank(df.select(key, tokens), "first__number", [key])
+        found = first_occurrences(numbered, "first__number", tokens).withColumnRenamed("first_key", "first__number")
+        keys = numbered.select("first__number", F.col(key).alias("first_key"))
+        return found.join(keys, "first__number").select("token", "n", "first_key", "first_pos")
     places = _places(df, key, tokens, "token").filter(F.col("token").isNotNull())
-    if isinstance(df.schema[key].dataType, T.IntegralType):
-        step = F.lit(1 << 31).cast("decimal(10,0)")
-        place = F.col(key).cast("decimal(19,0)") * step + F.col("pos")
-        found = places.groupBy("token").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-        pos = F.pmod("first", step)
-        return found.select(
-            "token",
-            "n",
-            ((F.col("first") - pos) / step).cast(df.schema[key].dataType).alias("first_key"),
-            pos.cast("int").alias("first_pos"),
-        )
-    found = places.groupBy("token").agg(
-        F.count("*").alias("n"), F.min(F.struct(F.col(key), F.col("pos"))).alias("first")
+    step = F.lit(1 << 31).cast("decimal(10,0)")
+    place = F.col(key).cast("decimal(19,0)") * step + F.col("pos")
+    found = places.groupBy("token").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    pos = F.pmod("first", step)
+    return found.select(
+        "token",
+        "n",
+        ((F.col("first") - pos) / step).cast(df.schema[key].dataType).alias("first_key"),
+        pos.cast("int").alias("first_pos"),
     )
-    return found.select("token", "n", F.col(f"first.{key}").alias("first_key"), F.col("first.pos").alias("first_pos"))
 
 
 def special_rows(spark: SparkSession) -> DataFrame:
@@ -96,16 +96,20 @@ def _regroup(places: DataFrame, key: str, item: str, out: str) -> DataFrame:
     """Arrays in position order, one per key.
 
     Elements of a row sit in one task after the broadcast join and are combined there, so
-    about one array per row is shuffled. Two rows with one key are an error.
+    about one array per row is shuffled. An id travels with its position in one long. Two rows with one key are an error.
     """
-    pair = F.when(F.col("pos").isNotNull(), F.struct("pos", item))
+    packed = isinstance(places.schema[item].dataType, T.IntegerType)
+    pair = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col(item).cast("long")) if packed else F.struct("pos", item)
+    pair = F.when(F.col("pos").isNotNull(), pair)
     gathered = places.groupBy(key).agg(
         F.array_sort(F.collect_list(pair)).alias("items"), F.count("*").alias("n"), F.max("pos").alias("last")
     )
     message = F.concat(F.lit("rows share the key "), F.col(key).cast("string"))
     shared = F.col("n") != F.coalesce(F.col("last") + 1, F.lit(1))
     checked = F.when(shared, F.raise_error(message).cast(gathered.schema["items"].dataType)).otherwise(F.col("items"))
-    return gathered.select(key, F.transform(checked, lambda x: x[item]).alias(out))
+    low = F.lit((1 << 32) - 1)
+    value = (lambda x: x.bitwiseAND(low).cast("int")) if packed else (lambda x: x[item])
+    return gathered.select(key, F.transform(checked, value).alias(out))
 
 
 def encode(

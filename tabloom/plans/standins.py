@@ -81,9 +81,8 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     Features are computed before the join, so it moves six numbers per document, not texts.
     """
     labels = table(spark, folder, "labels").select("doc_id", "quality")
-    docs = table(spark, folder, "documents").join(labels.select("doc_id"), "doc_id", "left_semi").select(
-        "doc_id", "text", "n_chars", text.tokenize("text").alias("tokens")
-    )
+    docs = table(spark, folder, "documents").join(labels.select("doc_id"), "doc_id", "left_semi")
+    docs = runtime.spread(docs.select("doc_id", "text", "n_chars"), "doc_id").withColumn("tokens", text.tokenize("text"))
     words = F.size("tokens").cast("double")
     letters = F.length(F.array_join("tokens", "")).cast("double")
     features = docs.select(

@@ -1,7 +1,8 @@
 """Session defaults, size limits and the shared scratch folder.
 
-Every place in the library that broadcasts compares a counted size with the limits below and
-has a distributed path beyond them.
+A place in the library that broadcasts either compares a counted size with the limits below and has a
+distributed path beyond them, or sends a table whose size is bounded by construction: one row per
+partition, or per class where classes have been counted.
 """
 
 from __future__ import annotations
@@ -77,6 +78,20 @@ def store(df: DataFrame, name: str = "stored", partition_by: Sequence[str] = ())
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a small table out by ``keys`` so that every core has some; others stay as they are.
+
+    A small file is often read by one task. Small is a table that Spark estimates to fill less than one file
+    split per core. Give a table that is read or filtered, not one that was just joined or
+    aggregated, since the estimate is best there.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores, *keys) if size < cores * split else df
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Estimated size of a row: 16 bytes per column, and the length of texts, bytes and nested values."""
     size = F.lit(16 * len(df.columns)).cast("long")
