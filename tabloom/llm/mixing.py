@@ -4,8 +4,8 @@ Sizes are summed per source (combined on the map side, so a source that holds mo
 no more than another). Targets share the total by weight; a target stops at ``most`` times its
 source's size and the excess goes to the others. The repetition rate of a source is
 target / size: every document is emitted floor(rate) times, and once more if a seeded hash falls
-below the fraction. The hash is of the key, as in the SQL of ``op7_mixing``; ``mix`` adds the text if
-``body`` names it, so different texts under one key or without a key are decided one by one.
+below the fraction. The hash is of the key and of the text, so different texts under one key or without a
+key are decided one by one (:func:`mix` without ``body`` goes by the key alone).
 
 Defined cases: a missing text has size 0; a missing source is a source of its own, ordered
 last; a source of size 0 has target 0 and none of its documents is emitted; equal rows get the
@@ -107,7 +107,7 @@ def mix(
 @CATALOG.query(
     rf"""
     WITH sized AS (
-      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+      SELECT doc_id, source, md5(coalesce(text, '')) AS body_hash, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
       FROM documents
     ),
     sums AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
@@ -130,7 +130,7 @@ def mix(
     rated AS (
       SELECT s.doc_id, s.size, t.source_size, t.target,
         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-        ('0x' || substr(md5('{SEED}|' || coalesce(s.doc_id::VARCHAR, 'null')), 1, 12))::BIGINT
+        ('0x' || substr(md5('{SEED}|' || coalesce(s.doc_id::VARCHAR, 'null') || '|' || s.body_hash), 1, 12))::BIGINT
           / 281474976710656.0::DOUBLE AS u
       FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
     )
@@ -141,8 +141,9 @@ def mix(
 )
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = text.table(spark, folder, "documents")
-    sized = runtime.store(docs.select("doc_id", "source", text.word_count(F.col("text")).alias("size")), "sized")
-    counted = with_copies(sized, source_rates(sized, "source", "size"), "source", "doc_id")
+    own = [text.word_count(F.col("text")).alias("size"), F.md5(text.whole(F.col("text"))).alias("body_hash")]
+    sized = runtime.store(docs.select("doc_id", "source", *own), "sized")
+    counted = with_copies(sized, source_rates(sized, "source", "size"), "source", "doc_id", "body_hash")
     return counted.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )

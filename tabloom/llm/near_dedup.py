@@ -13,7 +13,8 @@ border is doubled.
 2. In every band bucket, nodes meet the bucket's leader: the node that shares most buckets with
    others, so the text that a group of copies comes from leads in most of their buckets. Pairs
    of leader and node are distinct over all bands and are checked exactly, on all shingles of
-   both texts. Verified links are joined to classes by connected components.
+   both texts: first each node with the leader it shares most buckets with, then the pairs that are not
+   in one class by that. Verified links are joined to classes by connected components.
 3. Nodes that share a bucket share its leader. So for every leader, those of its nodes that are
    not in its class meet all its other nodes, again exactly. Both sides are cut into blocks of
    about ``_BLOCK`` nodes; a task holds two blocks and returns one link per pair of classes. If
@@ -300,18 +301,52 @@ def _classes(docs: DataFrame, key: str, body: str, shingle: int, similarity: flo
 
 def _groups(signed: DataFrame, similarity: float) -> DataFrame:
     """``leader`` and ``node``, distinct, for every node that shares a bucket; ``near`` if their
-    sizes allow the similarity."""
-    spread = signed.filter(F.col("node").isNotNull()).select("node", "size", F.posexplode("keys").alias("band", "value"))
-    placed = spread.select("node", "size", F.xxhash64("band", "value").alias("bucket")).distinct()
+    sizes allow the similarity, and ``shares``, the number of buckets they share."""
+    nodes = signed.filter(F.col("node").isNotNull()).select("node", "size", "keys").distinct()  # before there is a row per band
+    spread = nodes.select("node", "size", F.posexplode("keys").alias("band", "value"))
+    placed = spread.select("node", "size", F.xxhash64("band", "value").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    buckets = runtime.store(placed.join(runtime.store(shared, "shared"), "bucket"), "buckets")
+    buckets = runtime.store(placed.join(_small(runtime.store(shared, "shared")), "bucket"), "buckets")
     central = buckets.groupBy("node").agg(F.sum("n").alias("central"))
     ranked = runtime.store(buckets.join(central, "node"), "ranked")
     lead = F.max_by(F.struct("node", "size"), F.struct("central", "node")).alias("lead")
     leaders = runtime.store(ranked.groupBy("bucket").agg(lead).select("bucket", "lead"), "leaders")
     met = ranked.join(leaders, "bucket").filter(F.col("node") != F.col("lead.node"))
     near = F.least("size", "lead.size") >= similarity * F.greatest("size", "lead.size")
-    return met.select(F.col("lead.node").alias("leader"), "node", near.alias("near")).distinct()
+    pairs = met.select(F.col("lead.node").alias("leader"), "node", near.alias("near"))
+    return pairs.groupBy("leader", "node", "near").agg(F.count("*").alias("shares"))
+
+
+def _texts_of(narrow: DataFrame, sources: DataFrame) -> DataFrame:
+    """``node`` and ``body``: one text of each node, taken out of the documents.
+
+    Documents meet the wanted ones on the map side if those fit a broadcast; beyond that their texts are shuffled once.
+    """
+    texts = narrow.withColumn("body_hash", F.xxhash64("body"))
+    return texts.join(_small(sources), ["doc", "body_hash"]).select("node", "body")
+
+
+def _small(stored: DataFrame) -> DataFrame:
+    """The table with a broadcast hint if its counted size allows one."""
+    rows, size = stored.agg(F.count("*"), F.sum(runtime.row_bytes(stored))).first()
+    return F.broadcast(stored) if runtime.fits_broadcast(rows, size) else stored
+
+
+def _leader_links(groups: DataFrame, strips: DataFrame, similarity: float) -> DataFrame:
+    """Verified links of leaders and nodes: enough of them to tell which leaders a node is in one class with.
+
+    Every node first meets the leader that it shares most buckets with. Of the other pairs only those are compared
+    that are in different classes after this, so a node of a group of copies is compared about once.
+    """
+    near = groups.filter("near").select("leader", "node", "shares")
+    best = near.groupBy("node").agg(F.max_by("leader", F.struct("shares", "leader")).alias("leader"))
+    first = runtime.store(_verified(best, strips, similarity), "links")
+    found = runtime.store(components.connected_components(first, "a", "b"), "found")
+    of = lambda end: found.select(F.col("node").alias(end), F.col("component").alias(f"{end}_root"))
+    roots = near.join(of("node"), "node", "left").join(of("leader"), "leader", "left")
+    apart = F.coalesce("node_root", "node") != F.coalesce("leader_root", "leader")
+    rest = roots.filter(apart).select("leader", "node").join(best, ["leader", "node"], "left_anti")
+    return runtime.store(first.union(_verified(rest, strips, similarity)), "links")
 
 
 def _links(narrow: DataFrame, signed: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -324,14 +359,14 @@ def _links(narrow: DataFrame, signed: DataFrame, shingle: int, similarity: float
         .agg(F.min(F.struct("doc", "body_hash")).alias("at"))
         .select("node", "at.doc", "at.body_hash")
     )
-    texts = narrow.withColumn("body_hash", F.xxhash64("body")).join(sources, ["doc", "body_hash"])
-    strips = runtime.store(_strips(texts.select("node", "body"), shingle), "strips")
-    links = runtime.store(_verified(groups.filter("near").drop("near"), strips, similarity), "links")
+    sources = runtime.store(sources, "sources")
+    strips = runtime.store(_strips(_texts_of(narrow, sources), shingle), "strips")
+    links = _leader_links(groups, strips, similarity)
     found = runtime.store(components.connected_components(links, "a", "b"), "found")
     own = found.select("node", F.col("component").alias("root"))
     led = found.select(F.col("node").alias("leader"), F.col("component").alias("lead_root"))
     rooted = (
-        groups.drop("near")
+        groups.select("leader", "node")
         .join(own, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
         .join(led, "leader", "left")

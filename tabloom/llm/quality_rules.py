@@ -7,7 +7,8 @@ so copies do not make their own lines look like boilerplate. Only lines above th
 the documents again.
 
 A line is above the limits if at least ``least_docs`` distinct documents of its host hold it and
-they are more than ``most_share`` of the host's distinct documents.
+they are more than ``most_share`` of the host's distinct documents or more than ``most_docs``,
+whichever is less, so that the limit does not grow with the host.
 
 Everything is a column expression or a join; the words of one document are handled inside its row.
 
@@ -31,6 +32,7 @@ LEAST_WORDS = 50
 REPEAT_PERCENT = 50
 LEAST_DOCS = 10
 MOST_SHARE = 0.1
+MOST_DOCS = 100
 
 
 def repeated_words(words: Column) -> Column:
@@ -121,6 +123,7 @@ def frequent_lines(
     body: str = "text",
     least_docs: int = LEAST_DOCS,
     most_share: float = MOST_SHARE,
+    most_docs: int = MOST_DOCS,
 ) -> DataFrame:
     """``host_key``, ``line_hash`` and ``line_docs`` of lines above the limits.
 
@@ -130,7 +133,7 @@ def frequent_lines(
     sizes = docs.select(*body_keys(docs, host, body)).distinct().groupBy("host_key").agg(F.count("*").alias("host_docs"))
     held = line_table(docs, host, body).select("host_key", "line_hash", "body_hash").distinct()
     counted = held.groupBy("host_key", "line_hash").agg(F.count("*").alias("line_docs"))
-    over = F.col("line_docs") > F.col("host_docs") * F.lit(most_share)
+    over = F.col("line_docs") > F.least(F.col("host_docs") * F.lit(most_share), F.lit(float(most_docs)))
     often = counted.filter(F.col("line_docs") >= least_docs)
     return often.join(sizes, "host_key").filter(over).select("host_key", "line_hash", "line_docs")
 
@@ -161,6 +164,7 @@ def judge(
     repeat_percent: int = REPEAT_PERCENT,
     least_docs: int = LEAST_DOCS,
     most_share: float = MOST_SHARE,
+    most_docs: int = MOST_DOCS,
     limits: DataFrame | None = None,
 ) -> DataFrame:
     """Add the counts of :func:`shape`, ``base_failed`` and ``kept``.
@@ -169,7 +173,8 @@ def judge(
     """
     if limits is None:
         limits = runtime.store(
-            frequent_lines(docs, host=host, body=body, least_docs=least_docs, most_share=most_share), "lines"
+            frequent_lines(docs, host=host, body=body, least_docs=least_docs, most_share=most_share, most_docs=most_docs),
+            "lines",
         )
     rejected = runtime.store(depleted(docs, limits, host=host, body=body, least_words=least_words), "depleted")
     counts = shape(F.col(body))
@@ -192,16 +197,24 @@ def without_frequent_lines(docs: DataFrame, limits: DataFrame, *, host: str = "s
     """The documents with lines above the limits taken out of their text.
 
     The limits of one host travel as one array to its documents; a host has fewer such lines
-    than 1 / ``most_share`` times the lines of its longest document.
+    than 1 / ``most_share`` times the lines of its longest document, or 1 / ``most_docs`` of all its lines. A
+    document first takes the limits that it meets out of them, so a long one costs lines plus limits.
     """
-    own = limits.groupBy("host_key").agg(F.collect_set("line_hash").alias("own_limits"))
-    keyed = docs.withColumn("host_key", _host_key(F.col(host))).join(own, "host_key", "left")
-    stays = F.filter(
-        F.split(F.col(body), "\n"),
-        lambda line: ~has_word(line)
-        | ~F.array_contains(F.coalesce("own_limits", F.array().cast("array<bigint>")), F.xxhash64(normal_line(line))),
-    )
-    return keyed.withColumn(body, F.array_join(stays, "\n")).select(*docs.columns)
+    own = limits.groupBy(F.col("host_key").alias("quality__host")).agg(F.collect_set("line_hash").alias("quality__limits"))
+    keyed = docs.withColumn("quality__key", _host_key(F.col(host)))
+    joined = keyed.join(own, F.col("quality__key") == F.col("quality__host"), "left")
+    none = F.array().cast("array<bigint>")
+
+    def rest(lines: Column) -> Column:
+        hashes = F.transform(lines, lambda line: F.when(has_word(line), F.xxhash64(normal_line(line))))
+        met = lambda own_hashes: F.array_intersect(own_hashes, F.coalesce("quality__limits", none))
+        stay = lambda pair: F.filter(
+            lines, lambda _, i: ~F.coalesce(F.array_contains(pair["met"], F.get(pair["hashes"], i)), F.lit(False))
+        )
+        return text.let(hashes, lambda h: text.let(F.struct(h.alias("hashes"), met(h).alias("met")), stay))
+
+    left = text.let(F.split(F.col(body), "\n"), rest)
+    return joined.withColumn(body, F.array_join(left, "\n")).select(*docs.columns)
 
 
 @CATALOG.query(
@@ -227,7 +240,7 @@ def without_frequent_lines(docs: DataFrame, limits: DataFrame, *, host: str = "s
     limits AS (
       SELECT n.source, n.key FROM normal n JOIN hosts h ON n.source IS NOT DISTINCT FROM h.source
       GROUP BY n.source, n.key
-      HAVING count(DISTINCT body) >= {LEAST_DOCS} AND count(DISTINCT body) > any_value(host_docs) * {MOST_SHARE}::DOUBLE
+      HAVING count(DISTINCT body) >= {LEAST_DOCS} AND count(DISTINCT body) > least(any_value(host_docs) * {MOST_SHARE}::DOUBLE, {MOST_DOCS})
     ),
     lost AS (
       SELECT source, body, sum(line_words) AS lost FROM (

@@ -58,3 +58,10 @@ def test_texts_without_an_id_are_decided_one_by_one(spark):
     taken = mixing.mix(documents(spark, rows), text.word_count(F.col("text")), body="text").groupBy("source").count().collect()
     for source, (_, target, _) in rates(spark, rows).items():
         assert abs({r["source"]: 20 * r["count"] for r in taken}[source] - target) < 0.15 * target
+
+
+def test_query_reaches_targets_where_ids_are_missing_or_repeat(spark, tmp_path):
+    rows = [(None if i % 2 else 5, prose(i, 20), "ab"[i % 3 == 0]) for i in range(900)]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = mixing.op7_mixing(spark, str(tmp_path)).groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+    assert len(found) == 2 and all(abs(r["taken"] - r["target"]) < 0.15 * r["target"] for r in found)

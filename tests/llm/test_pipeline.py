@@ -3,9 +3,12 @@ import collections
 import corpus_pipeline
 import pytest
 from helpers import documents, near_classes, prose, words
+from pyspark.sql import functions as F
 from test_decontaminate import brute as leaks
 from test_line_dedup import brute as lines_once
 
+from tabloom import runtime
+
 
 @pytest.fixture
 def folder(spark, tmp_path):
@@ -66,3 +69,41 @@ def test_the_quality_stage_removes_frequent_lines(spark):
     want = {i: prose(i, 80) for i in range(20)} | {99: rows[-1][1]}
     assert {r["doc_id"]: r["text"] for r in good} == want
     assert all(r["n_chars"] == len(r["text"]) for r in good)
+
+
+CLASHES = (
+    "host_key body_hash shape own_limits kept depleted n_words n_lines n_dropped row key size of doc node "
+    "line_dedup__doc line_dedup__drop near_dedup__doc decontaminate__hit mix__source quality__limits item_id"
+).split()
+
+
+def test_other_columns_pass_through_whatever_their_names(spark, tmp_path):
+    item = prose(1, 40)
+    rows = [(i, prose(100 + i, 70), f"s{i % 3}") for i in range(12)]
+    rows += [(None, prose(300 + i, 70), "s0") for i in range(6)] + [(4, prose(400 + i, 70), None) for i in range(4)]
+    rows += [(5, prose(105, 70), "s2")] * 3  # repeated rows
+    rows += [(30, prose(500, 60) + " " + item, "s1"), (None, prose(501, 60) + " " + item, "s1")]
+    rows += [(31, prose(502, 60_000), "s2"), (32, None, "s1"), (33, "", None)]
+    frame = documents(spark, rows)
+    for i, name in enumerate(CLASHES):
+        frame = frame.withColumn(name, F.concat(F.lit(f"{i} "), F.substring("text", 1, 20)))
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = runtime.store(stage(spark, docs, str(tmp_path)), name)
+        assert docs.columns == (columns if name != "mixing" else [*columns, "copy"])
+        for row in docs.collect():
+            assert all(row[c] == f"{i} {row['text'][:20]}" for i, c in enumerate(CLASHES))
+            assert row["n_chars"] == len(row["text"])
+        if name == "decontaminate":  # nothing clean is lost on the way
+            left = {(r["doc_id"], r["text"]) for r in docs.collect()}
+            assert left == {(d, t) for d, t, _ in rows if t and item not in t}
+
+
+def test_a_hot_host_does_not_raise_the_limit(spark):
+    """A line in nearly a tenth of a large host's documents is taken out."""
+    rows = [(i, prose(i, 55) + ("\nRead more on our home page" if i < 150 else ""), "h") for i in range(1600)]
+    good = dict(corpus_pipeline.STAGES)["quality_rules"](spark, documents(spark, rows), "").collect()
+    assert {r["doc_id"]: r["text"] for r in good} == {i: prose(i, 55) for i in range(1600)}
