@@ -173,7 +173,7 @@ def partial_dependence(
     listed = json.dumps([{"feature": f, "grid": float(v)} for f in features for v in grid[f]])
     # one text literal, folded into an array once, is far quicker to plan than a literal per value
     spots = F.from_json(F.lit(listed), "array<struct<feature:string,grid:double>>")
-    moved = runtime.spread(df.select(*features), *features).select("*", F.explode(spots).alias("spot")).select(
+    moved = runtime.dealt(df.select(*features), *features).select("*", F.explode(spots).alias("spot")).select(
         "spot.feature",
         "spot.grid",
         *[F.when(F.col("spot.feature") == f, F.col("spot.grid")).otherwise(F.col(f)).alias(f) for f in features],

@@ -129,9 +129,7 @@ def exact_quantiles(
     saves a pass where the numbers of present values are known.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    dealt = runtime.spread(numbers, *columns)
-    if dealt is not numbers:  # a small table is written once, so that each of the passes below uses every core
-        numbers = runtime.store(dealt, "numbers")
+    numbers = runtime.dealt(numbers, *columns)  # read by several passes
     if counts is None:
         present = numbers.agg(*[F.count_if(F.col(c).isNotNull() & ~F.isnan(c)).alias(c) for c in columns]).first()
         counts = {c: present[i] for i, c in enumerate(columns)}

@@ -78,18 +78,26 @@ def store(df: DataFrame, name: str = "stored", partition_by: Sequence[str] = ())
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal the rows of a small table out by ``keys`` so that every core has some; others stay as they are.
-
-    A small file is often read by one task. Small is a table that Spark estimates to fill less than one file
-    split per core. Give a table that is read or filtered, not one that was just joined or
-    aggregated, since the estimate is best there.
-    """
+def _is_small(df: DataFrame) -> bool:
+    """Whether Spark estimates the table to fill less than one file split per core."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
     split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores, *keys) if size < cores * split else df
+    return size < spark.sparkContext.defaultParallelism * split
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a small table out by ``keys``; others stay as they are.
+
+    A small file is often read by one task, however costly its rows are. Give a table that is read or
+    filtered, not one that was just joined or aggregated, since the estimate is best there.
+    """
+    return df.repartition(*keys) if _is_small(df) else df
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Store a small table with a file per core, for steps that read it often or multiply its rows; like :func:`spread`."""
+    return store(df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys), "dealt") if _is_small(df) else df
 
 
 def row_bytes(df: DataFrame) -> Column:

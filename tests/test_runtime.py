@@ -21,3 +21,17 @@ def test_scratch_files_lie_below_the_shared_folder(spark):
 def test_size_of_nested_values_is_measured(spark):
     wide = spark.createDataFrame([(["x" * 100_000],)], "a array<string>")
     assert wide.select(runtime.row_bytes(wide)).first()[0] > 100_000
+
+
+def test_small_tables_are_dealt_out_and_others_left_alone(spark):
+    small = runtime.store(spark.range(1000).repartition(1).withColumn("text", F.lit("x")))
+    assert small.rdd.getNumPartitions() == 1
+    dealt = runtime.dealt(small, "id")
+    assert dealt.rdd.getNumPartitions() > 1 and dealt.count() == 1000
+    assert sorted(r["id"] for r in runtime.spread(small, "id").collect()) == list(range(1000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
+    try:
+        assert runtime.spread(small, "id") is small and runtime.dealt(small, "id") is small
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
