@@ -8,13 +8,17 @@ Two Bloom filters say which keys may be in more than one document. Each task set
 keys of its documents; the bits of all tasks are merged segment by segment, streaming, into a
 filter of bits set once and one of bits set twice or more. Only the second is sent out. A key
 whose bits are all in it is a suspect, and only suspects are shuffled: a 16-byte digest and the
-document, from which documents are counted exactly. A filter of ``filter_bits`` bits has that
-size whatever the table; beyond about a fifth as many lines, more keys are suspects by chance,
+row, from which documents are counted exactly.
+
+The filters grow with the table: ``LINE_BITS`` bits for every line that may have a key, counted
+first. They are cut by hash into slices of at most ``SLICE_BITS``, and one slice at a time is sent out,
+with one scan of the texts each, so what an executor holds of them is bounded. From ``MOST_SLICES``
+slices on (about a billion lines) the filters stay as they are; more keys are then suspects by chance,
 which costs shuffled rows and changes no result.
 
 Defined cases: a missing text is an empty one, and an empty text is one empty line; a missing
 document id counts as the smallest; rows that share an id are one document, and keep or lose
-their lines together. An empty table gives an empty result. Added columns replace columns of
+their lines together, each row by a list of its own. An empty table gives an empty result. Added columns replace columns of
 the same name.
 """
 
@@ -37,7 +41,9 @@ CATALOG = Catalog()
 
 LEAST_CHARS = 20
 LEAST_DOCS = 3
-FILTER_BITS = 1 << 27
+LINE_BITS = 8
+SLICE_BITS = 1 << 29
+MOST_SLICES = 16
 _SEGMENT_BITS = 1 << 17
 _FLUSH = 500_000
 _WHITE = text.WHITE.encode()
@@ -61,8 +67,21 @@ def _digests(column: pa.Array, least_chars: int) -> Iterator[set[bytes]]:
         yield found
 
 
+def counted_bits(texts: DataFrame, least_chars: int) -> int:
+    """Bits for all lines of the texts that may have a key, a power of two."""
+    body = text.whole(F.col(texts.columns[0]))
+    lines = F.octet_length(body) - F.octet_length(F.replace(body, F.lit("\n"), F.lit(""))) + 1
+    fitting = F.floor((F.octet_length(body) + 1) / (least_chars + 1))
+    most = texts.agg(F.sum(F.least(lines, fitting)).alias("n")).first()["n"] or 0
+    return min(max(1 << (LINE_BITS * most - 1).bit_length(), _SEGMENT_BITS), MOST_SLICES * SLICE_BITS)
+
+
 def _positions(digests: list[bytes], bits: int) -> np.ndarray:
-    return np.frombuffer(b"".join(digests), "<u8") & np.uint64(bits - 1)
+    """Two bits of the filter for each digest, both in the slice that its last bits name."""
+    words = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
+    own = min(bits, SLICE_BITS)
+    slices = np.uint64(bits // own)
+    return (words & np.uint64(own - 1)) + ((words[:, 1:] >> np.uint64(40)) % slices) * np.uint64(own)
 
 
 def _set_bits(texts: DataFrame, bits: int, least_chars: int) -> DataFrame:
@@ -91,7 +110,7 @@ def _set_bits(texts: DataFrame, bits: int, least_chars: int) -> DataFrame:
     return texts.mapInArrow(task, "segment int, once binary, twice binary")
 
 
-def _merge_bits(parts: DataFrame) -> DataFrame:
+def _merge_bits(parts: DataFrame, segments: int) -> DataFrame:
     """``segment`` and ``bits`` set twice; a task holds its segments' two filters and streams the parts."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,49 +128,64 @@ def _merge_bits(parts: DataFrame) -> DataFrame:
         packed = [np.packbits(filters[s][1], bitorder="little").tobytes() for s in ids]
         yield pa.record_batch([pa.array(ids, pa.int32()), pa.array(packed, pa.binary())], ["segment", "bits"])
 
-    parallel = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parallel = max(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")), segments // 128)  # 32 MB a task
     return parts.repartition(parallel, "segment").mapInArrow(task, "segment int, bits binary")
 
 
-def twice_filter(texts: DataFrame, bits: int, least_chars: int) -> np.ndarray:
-    """The packed filter of bits set twice, ``bits`` / 8 bytes."""
-    merged = np.zeros(bits // 8, np.uint8)
-    for row in _merge_bits(_set_bits(texts, bits, least_chars)).collect():  # at most the filter itself
-        start = row["segment"] * (_SEGMENT_BITS // 8)
-        merged[start : start + _SEGMENT_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
-    return merged
-
-
-def suspects(docs: DataFrame, key: str, body: str, bits: int, least_chars: int) -> DataFrame:
-    """``doc`` and ``digest`` of keys whose bits are all set twice, once per row and key."""
-    narrow = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_SMALLEST)).alias("doc"), F.col(body).alias("body"))
-    sent = docs.sparkSession.sparkContext.broadcast(twice_filter(narrow.select("body"), bits, least_chars))
+def twice_filter(merged: DataFrame, number: int, bits: int) -> np.ndarray:
+    """One packed slice of the filter of bits set twice, ``bits`` / 8 bytes."""
+    packed, width = np.zeros(bits // 8, np.uint8), _SEGMENT_BITS // 8
+    first = number * (bits // _SEGMENT_BITS)
+    own = merged.filter((F.col("segment") >= first) & (F.col("segment") < first + bits // _SEGMENT_BITS))
+    for row in own.toLocalIterator():  # at most the slice
+        start = (row["segment"] - first) * width
+        packed[start : start + width] = np.frombuffer(row["bits"], np.uint8)
+    return packed
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = sent.value
-        for batch in batches:
-            per_doc = [list(found) for found in _digests(batch.column(1), least_chars)]
-            flat = [d for found in per_doc for d in found]
-            if not flat:
-                continue
-            at = _positions(flat, bits)
-            hit = (packed[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-            keep = np.flatnonzero(hit.reshape(-1, 2).all(axis=1))
-            doc = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(found) for found in per_doc])[keep]
-            yield pa.record_batch(
-                [pa.array(doc, pa.int64()), pa.array([flat[i] for i in keep], pa.binary())], ["doc", "digest"]
-            )
 
-    return narrow.mapInArrow(task, "doc long, digest binary")
+def suspects(docs: DataFrame, key: str, body: str, bits: int | None, least_chars: int) -> DataFrame:
+    """``doc``, ``body_hash`` and ``digest`` of keys whose bits are all set twice, once per row and key; stored."""
+    narrow = docs.select(
+        F.coalesce(F.col(key).cast("long"), F.lit(_SMALLEST)).alias("doc"), F.xxhash64(body).alias("body_hash"), F.col(body).alias("body")
+    )
+    bits = bits or counted_bits(narrow.select("body"), least_chars)
+    own = min(bits, SLICE_BITS)
+    merged = _merge_bits(_set_bits(narrow.select("body"), bits, least_chars), bits // _SEGMENT_BITS)
+    merged = runtime.store(merged, "filter")
+    found = None
+    for number in range(bits // own):
+        sent = docs.sparkSession.sparkContext.broadcast(twice_filter(merged, number, own))
+
+        def task(batches: Iterator[pa.RecordBatch], sent=sent, number=number) -> Iterator[pa.RecordBatch]:
+            packed = sent.value
+            for batch in batches:
+                per_doc = [list(found) for found in _digests(batch.column(2), least_chars)]
+                flat = [d for found in per_doc for d in found]
+                if not flat:
+                    continue
+                at = _positions(flat, bits)
+                row = np.repeat(np.arange(len(per_doc)), [len(found) for found in per_doc])
+                mine = np.flatnonzero(at[:, 0] // np.uint64(own) == number)
+                inside = at[mine] & np.uint64(own - 1)
+                hit = (packed[inside >> np.uint64(3)] >> (inside & np.uint64(7)).astype(np.uint8)) & 1
+                keep = mine[hit.all(axis=1)]
+                place = pa.array(row[keep])
+                digests = pa.array([flat[i] for i in keep], pa.binary())
+                yield pa.record_batch([batch.column(0).take(place), batch.column(1).take(place), digests], ["doc", "body_hash", "digest"])
+
+        part = runtime.store(narrow.mapInArrow(task, "doc long, body_hash long, digest binary"), "suspects")
+        sent.unpersist()
+        found = part if found is None else found.union(part)
+    return found
 
 
 def lines_to_drop(found: DataFrame, least_docs: int) -> DataFrame:
-    """``doc`` and ``drop``, the digests of the lines it loses. Counts are combined on the map side."""
+    """``doc``, ``body_hash`` and ``drop``, the digests of the lines a row loses. Counts are combined on the map side."""
     counted = found.groupBy("digest").agg(F.count_distinct("doc").alias("docs"), F.max("doc").alias("keeper"))
     # stored, so that the join below has a plain exchange of suspects that Spark can split
     decided = runtime.store(counted.filter(F.col("docs") >= least_docs).select("digest", "keeper"), "decided")
     lost = found.join(decided, "digest").filter(F.col("doc") != F.col("keeper"))
-    return lost.groupBy("doc").agg(F.collect_set("digest").alias("drop"))
+    return lost.groupBy("doc", "body_hash").agg(F.collect_set("digest").alias("drop"))
 
 
 def dedup_lines(
@@ -161,18 +195,20 @@ def dedup_lines(
     body: str = "text",
     least_docs: int = LEAST_DOCS,
     least_chars: int = LEAST_CHARS,
-    filter_bits: int = FILTER_BITS,
+    filter_bits: int | None = None,
 ) -> DataFrame:
-    """The documents without the dropped lines, ``n_lines`` (before) and ``n_dropped``."""
+    """The documents without the dropped lines, ``n_lines`` (before) and ``n_dropped``.
+
+    ``filter_bits`` sets the size of a filter, a power of two, in place of the counted one.
+    """
     text.bound_batches(docs.sparkSession)
     plain = docs.drop("n_lines", "n_dropped")
-    found = runtime.store(suspects(plain, key, body, filter_bits, least_chars), "suspects")
-    drops = lines_to_drop(found, least_docs)
-    place = "line_dedup__doc"
+    drops = lines_to_drop(suspects(plain, key, body, filter_bits, least_chars), least_docs)
+    place, hashed = "line_dedup__doc", "line_dedup__body"
     joined = (
-        plain.withColumn(place, F.coalesce(F.col(key).cast("long"), F.lit(_SMALLEST)))
-        .join(drops.withColumnsRenamed({"doc": place, "drop": "line_dedup__drop"}), place, "left")
-        .drop(place)
+        plain.withColumns({place: F.coalesce(F.col(key).cast("long"), F.lit(_SMALLEST)), hashed: F.xxhash64(body)})
+        .join(drops.withColumnsRenamed({"doc": place, "body_hash": hashed, "drop": "line_dedup__drop"}), [place, hashed], "left")
+        .drop(place, hashed)
     )
     names = plain.columns
     at = names.index(body)
