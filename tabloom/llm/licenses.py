@@ -5,7 +5,8 @@ documents. A header is a line with a licence cue together with the lines that fo
 (``HEADER_LINES`` at most; every shorter run is tried as well); a licence file is a text that as a
 whole resembles a template. Headers, texts and templates are sparse TF-IDF vectors; words that
 no template holds count with the largest weight in the length of a vector, so they pull the
-cosine down. The best template above the limit is the licence of the header or file.
+cosine down. The best template above the limit is the licence of the header or file. An SPDX tag and
+the identifier after it are one term, so a tag with an identifier of no template is no licence.
 
 A document without a header of its own takes the licence of the nearest directory above it that
 holds a licence file: every distinct directory meets its ancestors by an equi-join on paths.
@@ -41,35 +42,65 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance "
         "with the License.",
+        "SPDX-License-Identifier: Apache-2.0",
     ),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met.",
+        "SPDX-License-Identifier: BSD-3-Clause",
+    ),
+    "CC-BY-4.0": (
+        "Licensed under CC BY 4.0.",
+        "This work is licensed under a Creative Commons Attribution 4.0 License.",
+        "SPDX-License-Identifier: CC-BY-4.0",
     ),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 License."),
     "CC-BY-NC-4.0": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 License.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
+    ),
+    "CC0-1.0": (
+        "To the extent possible under law, the author has dedicated this work to the public domain, CC0 1.0.",
+        "SPDX-License-Identifier: CC0-1.0",
+    ),
+    "GPL-3.0": (
+        "This work is licensed under the GNU General Public License, version 3.",
+        "SPDX-License-Identifier: GPL-3.0",
+        "SPDX-License-Identifier: GPL-3.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+    ),
+    "LGPL-3.0": (
+        "This library is licensed under the GNU Lesser General Public License, version 3.",
+        "SPDX-License-Identifier: LGPL-3.0",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
     ),
-    "CC0-1.0": ("To the extent possible under law, the author has dedicated this work to the public domain, CC0 1.0.",),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.",),
-    "LGPL-3.0": ("This library is licensed under the GNU Lesser General Public License, version 3.",),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.",
+        "SPDX-License-Identifier: MIT",
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
     ),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
 CUE = r"(?i)licen[cs]e|copyright|spdx|permission is hereby|redistribution and use|public domain"
 LEAST_COSINE = 0.4
 HEADER_LINES = 4
 _TERM = r"[^0-9a-z.-]+"
+_TAG = "spdx-license-identifier"
 
 
 def terms(body: Column) -> Column:
-    """Lower-case words of letters, digits, dots and dashes, without dots and dashes at their ends."""
-    cut = F.split(F.lower(body), _TERM)
+    """Lower-case words of letters, digits, dots and dashes, without dots and dashes at their ends.
+
+    An SPDX tag takes the identifier after it into its own word.
+    """
+    lower = F.lower(body)
+    tagged = F.when(F.contains(lower, F.lit(_TAG)), F.regexp_replace(lower, f"{_TAG} *: *", f"{_TAG}-")).otherwise(lower)
+    cut = F.split(tagged, _TERM)
     return F.filter(F.transform(cut, lambda t: F.regexp_replace(t, r"^[.-]+|[.-]+$", "")), lambda t: t != "")
 
 
@@ -99,14 +130,14 @@ def units(docs: DataFrame, path: str, body: str) -> DataFrame:
         F.xxhash64(F.coalesce(path, F.lit("")), F.col(body)).alias("doc"), F.col(body).alias("whole")
     ).distinct()
     lines = cued.withColumn("lines", F.split("whole", "\n"))
-    places = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.element_at("lines", i).rlike(CUE))
-    at = lines.select("doc", "lines", F.explode(places).alias("at"))
-    runs = at.select("doc", "at", "lines", F.explode(F.array(*[F.lit(k) for k in range(1, HEADER_LINES + 1)])).alias("take"))
-    headers = runs.filter(F.col("at") + F.col("take") - 1 <= F.size("lines")).select(
+    cue = lambda line, i: F.when(line.rlike(CUE), F.struct((i + 1).alias("at"), F.slice("lines", i + 1, HEADER_LINES).alias("some")))
+    starts = lines.select("doc", F.explode(F.filter(F.transform("lines", cue), lambda s: s.isNotNull())).alias("start"))
+    runs = starts.select("doc", "start.*", F.explode(F.array(*[F.lit(k) for k in range(1, HEADER_LINES + 1)])).alias("take"))
+    headers = runs.filter(F.col("take") <= F.size("some")).select(
         "doc",
         F.lit("header").alias("kind"),
         F.concat_ws(":", "at", "take").alias("part"),
-        F.array_join(F.slice("lines", F.col("at"), F.col("take")), " ").alias("body"),
+        F.array_join(F.slice("some", F.lit(1), F.col("take")), " ").alias("body"),
     )
     return headers.union(cued.select("doc", F.lit("file"), F.lit("whole"), "whole"))
 
@@ -209,7 +240,7 @@ def scan(
 def _terms_sql(body: str) -> str:
     return (
         f"list_filter([regexp_replace(t, '^[.-]+|[.-]+$', '', 'g') FOR t IN "
-        f"string_split_regex(lower({body}), '{_TERM}')], lambda t: t <> '')"
+        f"string_split_regex(regexp_replace(lower({body}), '{_TAG} *: *', '{_TAG}-', 'g'), '{_TERM}')], lambda t: t <> '')"
     )
 
 

@@ -52,3 +52,20 @@ def test_long_texts_repeated_rows_clashes_and_empty_tables(spark):
     out = licenses.scan(docs).collect()
     assert sorted((r["id"], r["license"]) for r in out) == [(1, "GPL-3.0"), (2, "MIT"), (2, "MIT")]
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_spdx_tags_name_the_licence_and_unknown_ones_none(spark):
+    known = {"MIT": "MIT", "Apache-2.0": "Apache-2.0", "GPL-3.0-only": "GPL-3.0", "LGPL-3.0-or-later": "LGPL-3.0", "BSD-3-Clause": "BSD-3-Clause"}
+    filler = "\nmit ihr und mit uns on this day\n" + "word " * 300
+    rows = [(i, f"d{i}/f", f"// SPDX-License-Identifier: {name}{filler}") for i, name in enumerate(known)]
+    rows += [(100, "u/f", "# SPDX-License-Identifier: GPL-2.0-only" + filler), (101, "v/f", "/* spdx-license-identifier:mit */" + filler)]
+    got = {i: found[0] for i, found in scan(spark, rows).items()}
+    assert [got[i] for i in range(len(known))] == list(known.values())
+    assert got[100] is None and got[101] == "MIT"
+
+
+def test_many_cue_lines_in_one_text(spark):
+    lines = ["this licence line %d says nothing of use" % i for i in range(8000)]
+    rows = [(1, "a/f", "\n".join(lines)), (2, "b/f", "\n".join([*lines, GPL])), (3, "c/f", "\n".join([*lines[:4000], MIT, *lines[4000:]]))]
+    got = scan(spark, rows)
+    assert [got[i][0] for i in (1, 2, 3)] == [None, "GPL-3.0", "MIT"]
