@@ -2,10 +2,13 @@
 
 Terms are words of the templates. Their inverse document frequency is counted over all
 documents. A header is a line with a licence cue together with the lines that follow it
-(``HEADER_LINES`` at most; every shorter run is tried as well); a licence file is a text that as a
-whole resembles a template. Headers, texts and templates are sparse TF-IDF vectors; words that
+(``HEADER_LINES`` at most; every shorter run is tried as well), or a whole block between blank lines that holds a
+cue and has more lines than that; a licence file is a text that as a whole resembles a template. Headers and files
+are compared with the notices of ``TEMPLATES``, files also with whole licence texts, if a table of them is given
+(see :func:`licence_texts`). Headers, texts and templates are sparse TF-IDF vectors; words that
 no template holds count with the largest weight in the length of a vector, so they pull the
-cosine down. The best template above the limit is the licence of the header or file. An SPDX tag and
+cosine down. The best template above the limit (``LEAST_FILE`` is the higher one, for a long text shares its common words
+with every notice) is the licence of the header or file. An SPDX tag and
 the identifier after it are one term, so a tag with an identifier of no template is no licence.
 
 A document without a header of its own takes the licence of the nearest directory above it that
@@ -42,8 +45,10 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance "
         "with the License.",
+        "Apache License Version 2.0, January 2004",
         "SPDX-License-Identifier: Apache-2.0",
     ),
+    "Artistic-1.0": ("The Artistic License",),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
@@ -62,16 +67,45 @@ TEMPLATES = {
     ),
     "CC0-1.0": (
         "To the extent possible under law, the author has dedicated this work to the public domain, CC0 1.0.",
+        "CC0 1.0 Universal",
         "SPDX-License-Identifier: CC0-1.0",
     ),
+    "GFDL-1.2": (
+        "GNU Free Documentation License, Version 1.2",
+        "GNU Free Documentation License Version 1.2, November 2002",
+    ),
+    "GFDL-1.3": (
+        "GNU Free Documentation License, Version 1.3",
+        "GNU Free Documentation License Version 1.3, 3 November 2008",
+    ),
+    "GPL-1.0": (
+        "GNU GENERAL PUBLIC LICENSE Version 1, February 1989",
+    ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+        "it under the terms of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version.",
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        "it under the terms of the GNU General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
         "SPDX-License-Identifier: GPL-3.0",
         "SPDX-License-Identifier: GPL-3.0-only",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
+    "LGPL-2.0": (
+        "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991",
+    ),
+    "LGPL-2.1": (
+        "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    ),
     "LGPL-3.0": (
         "This library is licensed under the GNU Lesser General Public License, version 3.",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
         "SPDX-License-Identifier: LGPL-3.0",
         "SPDX-License-Identifier: LGPL-3.0-only",
         "SPDX-License-Identifier: LGPL-3.0-or-later",
@@ -79,16 +113,39 @@ TEMPLATES = {
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the Software), to deal in the Software without restriction, including without limitation "
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+        "to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "SPDX-License-Identifier: MIT",
     ),
+    "MPL-1.1": ("MOZILLA PUBLIC LICENSE Version 1.1",),
     "MPL-2.0": (
+        "Mozilla Public License Version 2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
     ),
 }
-CUE = r"(?i)licen[cs]e|copyright|spdx|permission is hereby|redistribution and use|public domain"
+# Identifiers of older licences. A scan with ``TEMPLATES`` alone knows these licences by their titles only.
+OLDER_TAGS = {
+    "Artistic-1.0": ("Artistic-1.0",),
+    "GFDL-1.2": ("GFDL-1.2", "GFDL-1.2-only", "GFDL-1.2-or-later"),
+    "GFDL-1.3": ("GFDL-1.3", "GFDL-1.3-only", "GFDL-1.3-or-later"),
+    "GPL-1.0": ("GPL-1.0", "GPL-1.0-only", "GPL-1.0-or-later"),
+    "GPL-2.0": ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later"),
+    "LGPL-2.0": ("LGPL-2.0", "LGPL-2.0-only", "LGPL-2.0-or-later"),
+    "LGPL-2.1": ("LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later"),
+    "MPL-1.1": ("MPL-1.1",),
+}
+WITH_OLDER_TAGS = {
+    name: notices + tuple(f"SPDX-License-Identifier: {tag}" for tag in OLDER_TAGS.get(name, ()))
+    for name, notices in TEMPLATES.items()
+}
+CUE = r"(?i)licen[cs]e|copyright|spdx|permission is hereby|redistribution and use|public domain|\bcc0\b"
 LEAST_COSINE = 0.4
+LEAST_FILE = 0.6
 HEADER_LINES = 4
+_BREAK = r"\n[ \t\r]*\n"
 _TERM = r"[^0-9a-z.-]+"
 _TAG = "spdx-license-identifier"
 
@@ -104,12 +161,26 @@ def terms(body: Column) -> Column:
     return F.filter(F.transform(cut, lambda t: F.regexp_replace(t, r"^[.-]+|[.-]+$", "")), lambda t: t != "")
 
 
-def template_terms(spark: SparkSession, templates: Mapping[str, Sequence[str]]) -> DataFrame:
-    """``license``, ``variant``, ``term``, ``tf``: as many rows as the templates have distinct terms."""
+def licence_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """``license`` (the file's name) and ``body`` of a folder that holds one whole licence text per file."""
+    read = spark.read.text(folder, wholetext=True)
+    name = F.regexp_extract(F.col("_metadata.file_path"), "[^/]+$", 0)
+    return read.select(F.url_decode(name).alias("license"), F.col("value").alias("body"))
+
+
+def template_terms(spark: SparkSession, templates: Mapping[str, Sequence[str]], whole: DataFrame | None = None) -> DataFrame:
+    """``kind``, ``license``, ``variant``, ``term``, ``tf``: as many rows as the templates have distinct terms, for each kind.
+
+    Notices stand for headers and files, the licence texts of ``whole`` for files only (``variant`` -1).
+    """
     schema = pa.schema([("license", pa.string()), ("variant", pa.int32()), ("body", pa.string())])
     rows = [{"license": k, "variant": i, "body": v} for k, vs in sorted(templates.items()) for i, v in enumerate(vs)]
-    exploded = runtime.local_table(spark, rows, schema).withColumn("term", F.explode(terms(F.col("body"))))
-    return exploded.groupBy("license", "variant", "term").agg(F.count("*").alias("tf"))
+    notices = runtime.local_table(spark, rows, schema)
+    bodies = notices.select(F.explode(F.array(F.lit("header"), F.lit("file"))).alias("kind"), "*")
+    if whole is not None:
+        bodies = bodies.union(whole.select(F.lit("file"), "license", F.lit(-1), text.whole(F.col("body"))))
+    exploded = bodies.withColumn("term", F.explode(terms(F.col("body"))))
+    return exploded.groupBy("kind", "license", "variant", "term").agg(F.count("*").alias("tf"))
 
 
 def inverse_frequencies(docs: DataFrame, body: str, vocabulary: list[str]) -> DataFrame:
@@ -139,11 +210,19 @@ def units(docs: DataFrame, path: str, body: str) -> DataFrame:
         F.concat_ws(":", "at", "take").alias("part"),
         F.array_join(F.slice("some", F.lit(1), F.col("take")), " ").alias("body"),
     )
-    return headers.union(cued.select("doc", F.lit("file"), F.lit("whole"), "whole"))
+    blocks = cued.select("doc", F.posexplode(F.split("whole", _BREAK)).alias("at", "block"))
+    long = F.col("block").rlike(CUE) & (F.size(F.split("block", "\n")) > HEADER_LINES)  # runs cover the others
+    whole_blocks = blocks.filter(long).select("doc", F.lit("header"), F.concat_ws(":", F.lit("block"), F.col("at") + 1), "block")
+    return headers.union(whole_blocks).union(cued.select("doc", F.lit("file"), F.lit("whole"), "whole"))
 
 
 def best_matches(
-    found: DataFrame, weights: DataFrame, templates: DataFrame, total: int, least: float = LEAST_COSINE
+    found: DataFrame,
+    weights: DataFrame,
+    templates: DataFrame,
+    total: int,
+    least: float = LEAST_COSINE,
+    least_file: float = LEAST_FILE,
 ) -> DataFrame:
     """The best template of every ``doc`` and ``kind``: ``license`` and ``score`` (rounded cosine)."""
     spread = found.select("doc", "kind", "part", F.explode(terms(F.col("body"))).alias("word"))
@@ -156,16 +235,17 @@ def best_matches(
     )
     lengths = counted.groupBy(*unit).agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("length"))
     vectors = templates.join(F.broadcast(weights), "term").withColumn("t_weight", F.col("tf") * F.col("idf"))
-    norms = vectors.groupBy("license", "variant").agg(F.sqrt(F.sum(F.col("t_weight") ** 2)).alias("t_length"))
-    sides = vectors.withColumnRenamed("term", "word").drop("tf", "idf").join(norms, ["license", "variant"])
+    norms = vectors.groupBy("kind", "license", "variant").agg(F.sqrt(F.sum(F.col("t_weight") ** 2)).alias("t_length"))
+    sides = vectors.withColumnRenamed("term", "word").drop("tf", "idf").join(norms, ["kind", "license", "variant"])
     dots = (
         counted.filter(F.col("idf").isNotNull())
-        .join(F.broadcast(sides), "word")
+        .join(F.broadcast(sides), ["kind", "word"])
         .groupBy(*unit, "license", "variant", "t_length")
         .agg(F.sum(F.col("weight") * F.col("t_weight")).alias("dot"))
     )
     cosine = F.round(F.col("dot") / (F.col("length") * F.col("t_length")), 4)
-    scored = dots.join(lengths, unit).withColumn("score", cosine).filter(F.col("score") >= least)
+    limit = F.when(F.col("kind") == "file", least_file).otherwise(least)
+    scored = dots.join(lengths, unit).withColumn("score", cosine).filter(F.col("score") >= limit)
     found = scored.groupBy("doc", "kind").agg(_best().alias("best"))
     return found.select("doc", "kind", "best.license", (-F.col("best.under")).alias("score"))
 
@@ -196,17 +276,20 @@ def scan(
     path: str = "path",
     body: str = "text",
     templates: Mapping[str, Sequence[str]] = TEMPLATES,
+    whole: DataFrame | None = None,
     least: float = LEAST_COSINE,
+    least_file: float = LEAST_FILE,
 ) -> DataFrame:
     """The columns of ``docs`` but the text, and ``license``, ``score``, ``origin`` and ``from_dir``.
 
-    ``origin`` is ``header``, ``inherited`` or missing; ``from_dir`` is the directory a licence comes from.
+    ``origin`` is ``header``, ``inherited`` or missing; ``from_dir`` is the directory a licence comes from. ``whole`` is a
+    table of licence texts (``license``, ``body``), whose distinct words are few enough to be held by the driver.
     """
     spark = docs.sparkSession
-    sides = template_terms(spark, templates)
+    sides = template_terms(spark, templates, whole)
     vocabulary = sorted({row["term"] for row in sides.select("term").collect()})  # of the templates
     weights = runtime.store(inverse_frequencies(docs, body, vocabulary), "weights")
-    best = runtime.store(best_matches(units(docs, path, body), weights, sides, docs.count(), least), "matches")
+    best = runtime.store(best_matches(units(docs, path, body), weights, sides, docs.count(), least, least_file), "matches")
     plain = docs.drop("license", "score", "origin", "from_dir", "scan__dir", "scan__doc")
     keyed = plain.withColumns(
         {
@@ -245,7 +328,7 @@ def _terms_sql(body: str) -> str:
 
 
 def _templates_sql() -> str:
-    return ", ".join(f"('{k}', {i}, '{v}')" for k, vs in TEMPLATES.items() for i, v in enumerate(vs))
+    return ", ".join(f"('{k}', {i}, '{v}')" for k, vs in WITH_OLDER_TAGS.items() for i, v in enumerate(vs))
 
 
 @CATALOG.query(
@@ -272,6 +355,9 @@ def _templates_sql() -> str:
         array_to_string(lines[at_line : at_line + take - 1], ' ') AS body
       FROM starts, range(1, {HEADER_LINES + 1}) r(take)
       WHERE regexp_matches(lines[at_line], '{CUE}') AND at_line + take - 1 <= len(lines)
+      UNION ALL SELECT doc_id, 'header', 'block:' || at_block, blocks[at_block] FROM (
+        SELECT doc_id, string_split_regex(body, '{_BREAK}') AS blocks, unnest(range(1, len(blocks) + 1)) AS at_block FROM cued
+      ) WHERE regexp_matches(blocks[at_block], '{CUE}') AND len(string_split(blocks[at_block], chr(10))) > {HEADER_LINES}
       UNION ALL SELECT doc_id, 'file', 'whole', body FROM cued
     ),
     counted AS (
@@ -291,7 +377,7 @@ def _templates_sql() -> str:
       GROUP BY doc_id, kind, part, license, variant
     ),
     best AS (
-      SELECT doc_id, kind, license, score FROM scored WHERE score >= {LEAST_COSINE}
+      SELECT doc_id, kind, license, score FROM scored WHERE score >= CASE kind WHEN 'file' THEN {LEAST_FILE} ELSE {LEAST_COSINE} END
       QUALIFY row_number() OVER (PARTITION BY doc_id, kind ORDER BY score DESC, license) = 1
     ),
     files AS (
@@ -312,4 +398,4 @@ def _templates_sql() -> str:
 def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
     docs = text.table(spark, folder, "documents")
     place = F.concat_ws("/", "source", "lang", F.format_string("%06d", F.floor(F.col("doc_id") / 100)), "doc_id")
-    return scan(docs.select("doc_id", place.alias("path"), "text"))
+    return scan(docs.select("doc_id", place.alias("path"), "text"), templates=WITH_OLDER_TAGS)

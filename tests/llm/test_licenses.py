@@ -1,3 +1,7 @@
+from pathlib import Path
+
+import pytest
+
 from tabloom.llm import licenses
 
 GPL = "This work is licensed under the GNU General Public License, version 3."
@@ -69,3 +73,60 @@ def test_many_cue_lines_in_one_text(spark):
     rows = [(1, "a/f", "\n".join(lines)), (2, "b/f", "\n".join([*lines, GPL])), (3, "c/f", "\n".join([*lines[:4000], MIT, *lines[4000:]]))]
     got = scan(spark, rows)
     assert [got[i][0] for i in (1, 2, 3)] == [None, "GPL-3.0", "MIT"]
+
+
+COMMON = Path("/usr/share/common-licenses")
+# file of the folder, licence that its title names
+NAMED = {
+    "Apache-2.0": "Apache-2.0",
+    "Artistic": "Artistic-1.0",
+    "CC0-1.0": "CC0-1.0",
+    "GFDL-1.2": "GFDL-1.2",
+    "GFDL-1.3": "GFDL-1.3",
+    "GPL-1": "GPL-1.0",
+    "GPL-2": "GPL-2.0",
+    "GPL-3": "GPL-3.0",
+    "LGPL-2": "LGPL-2.0",
+    "LGPL-2.1": "LGPL-2.1",
+    "LGPL-3": "LGPL-3.0",
+    "MPL-1.1": "MPL-1.1",
+    "MPL-2.0": "MPL-2.0",
+}
+
+
+def licence_rows():
+    rows = [(i, f"p{i}/LICENSE", (COMMON / n).read_text()) for i, n in enumerate(NAMED)]
+    rows += [(100 + i, f"p{i}/src/code.py", f"x = {i}") for i in range(len(NAMED))]
+    return rows + [(1000 + i, f"other/{i}", f"filler text of document {i} about the sea and the ships") for i in range(500)]
+
+
+@pytest.mark.skipif(not COMMON.is_dir(), reason="needs a folder of licence texts")
+def test_whole_licence_texts_name_themselves_and_are_inherited(spark):
+    whole = licenses.licence_texts(spark, str(COMMON)).filter(licenses.F.col("license").isin(*NAMED))
+    got = scan(spark, licence_rows(), whole=whole)
+    assert {n: got[i][:2] for i, n in enumerate(NAMED)} == {n: (v, "header") for n, v in NAMED.items()}
+    assert {n: got[100 + i] for i, n in enumerate(NAMED)} == {n: (n, "inherited", f"p{i}") for i, n in enumerate(NAMED)}
+    assert all(got[1000 + i][0] is None for i in range(500))
+
+
+@pytest.mark.skipif(not COMMON.is_dir(), reason="needs a folder of licence texts")
+def test_without_licence_texts_no_directory_inherits_a_wrong_licence(spark):
+    got = scan(spark, licence_rows())
+    assert {n: got[i][0] for i, n in enumerate(NAMED)} == NAMED
+    assert all(got[100 + i][0] in (None, v) for i, v in enumerate(NAMED.values()))
+
+
+def test_a_header_longer_than_a_run_is_read_to_the_end_of_its_block(spark):
+    notice = licenses.TEMPLATES["MIT"][2].split()
+    header = "\n".join("# " + " ".join(notice[i : i + 6]) for i in range(0, len(notice), 6))
+    rows = [(1, "a/f", "#!/bin/sh\n\n" + header + "\n\n" + "word " * 500), (2, "b/f", "first line\n \t\n" + header)]
+    rows += [(100 + i, f"c/{i}", "the software and the rights to use it") for i in range(50)]
+    got = scan(spark, rows, least=0.9)
+    assert got[1][0] == got[2][0] == "MIT"
+
+
+def test_tags_of_older_licences_are_found_if_asked_for(spark):
+    tags = [(name, tag) for name, known in licenses.OLDER_TAGS.items() for tag in known]
+    rows = [(i, f"d{i}/f", f"# SPDX-License-Identifier: {tag}\n" + "word " * 300) for i, (_, tag) in enumerate(tags)]
+    got = scan(spark, rows, templates=licenses.WITH_OLDER_TAGS)
+    assert [got[i][0] for i in range(len(tags))] == [name for name, _ in tags]
