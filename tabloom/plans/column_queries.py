@@ -44,6 +44,35 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_csv(spark, path, customers.schema)
 
 
+@CATALOG.query(
+    """
+    WITH long AS (
+      UNPIVOT (SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey,
+        printf('%.2f', c_acctbal) AS c_acctbal, c_mktsegment, (c_custkey::BIGINT * 3000000000)::VARCHAR AS wide,
+        (c_acctbal > 0)::VARCHAR AS positive FROM customer)
+      ON * INTO NAME name VALUE value
+    )
+    SELECT name, count(*) AS n, CASE
+      WHEN bool_and(regexp_full_match(value, '[+-]?[0-9]+')) THEN
+        CASE WHEN bool_and(try_cast(value AS INTEGER) IS NOT NULL) THEN 'int' ELSE 'bigint' END
+      WHEN bool_and(regexp_full_match(value, '[+-]?[0-9]+[.][0-9]+')) THEN 'double'
+      WHEN bool_and(value IN ('true', 'false')) THEN 'boolean' ELSE 'string' END AS type
+    FROM long GROUP BY 1
+    """
+)
+def csv_inferred_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the customers as CSV, read them without a schema and report the type of every column."""
+    customers = table(spark, folder, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", F.round("c_acctbal", 2).alias("c_acctbal"), "c_mktsegment",
+        (F.col("c_custkey").cast("long") * 3_000_000_000).alias("wide"), (F.col("c_acctbal") > 0).alias("positive"),
+    )
+    path = runtime.scratch_path(spark, "inferred")
+    tables.write_table(customers, path, fmt="csv", header=True)
+    typed = tables.read_csv(spark, path)
+    facts = [F.struct(F.lit(c).alias("name"), F.count(c).alias("n"), F.lit(t).alias("type")) for c, t in typed.dtypes]
+    return typed.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
+
+
 @CATALOG.query("SELECT o_orderkey, o_totalprice FROM orders")
 def result_sink(spark: SparkSession, folder: str) -> DataFrame:
     """Write a result as Parquet and read it back."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,8 +16,44 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header line and a declared schema; a malformed row is an error."""
+# Column types that a CSV value can have, narrowest first, and the form a value of each has.
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_KINDS = (
+    (T.IntegerType(), r"^\s*[+-]?[0-9]+\s*$"),
+    (T.LongType(), r"^\s*[+-]?[0-9]+\s*$"),
+    (T.DoubleType(), _NUMBER),
+    (T.BooleanType(), r"(?i)^\s*(true|false)\s*$"),
+    (T.TimestampType(), r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"),
+)
+
+
+def inferred_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Names from the header line of a CSV, and per column the narrowest type that all of its values have.
+
+    One aggregation over all rows counts, per column and type, the values that do not fit it. Missing values fit every type; a
+    column without any value is text.
+    """
+    plain = spark.read.csv(path, header=True, escape='"')
+    names = plain.columns
+    plain = plain.toDF(*[f"c{i}" for i in range(len(names))])
+
+    def misfits(name: str, kind: T.DataType, form: str) -> Column:
+        fits = F.col(name).rlike(form) & F.col(name).try_cast(kind).isNotNull()
+        return F.count_if(F.col(name).isNotNull() & ~fits)
+
+    facts = [F.struct(F.count(c), *[misfits(c, *kind) for kind in _KINDS]).alias(c) for c in plain.columns]
+    found = plain.agg(*facts).first() if names else ()
+
+    def narrowest(filled: int, *wrong: int) -> T.DataType:
+        fitting = (kind for (kind, _), n in zip(_KINDS, wrong, strict=True) if filled and not n)
+        return next(fitting, T.StringType())
+
+    return T.StructType([T.StructField(name, narrowest(*counts)) for name, counts in zip(names, found, strict=True)])
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """CSV with a header line and a declared schema, or an inferred one; a malformed row is an error."""
+    schema = inferred_schema(spark, path) if schema is None else schema
     return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST", escape='"')
 
 

@@ -2,7 +2,7 @@ import random
 
 from tabloom.operators import profile
 from tabloom.plans import patient
-from tabloom.sources import schemas
+from tabloom.sources import schemas, tables
 
 
 def write_patients(path, rows=240):
@@ -37,3 +37,24 @@ def test_patient_study(spark, tmp_path):
     dependence = patient.dependence_table(study, train, logit, points=20)
     glucose = [r["mean_probability"] for r in dependence.filter("feature = 'Glucose'").orderBy("grid").collect()]
     assert glucose == sorted(glucose) and len(glucose) == 20
+
+
+def test_types_of_a_csv_without_a_schema(spark, tmp_path):
+    path = str(tmp_path / "patients.csv")
+    write_patients(path)
+    assert tables.inferred_schema(spark, path) == schemas.PATIENT_SCHEMA
+    assert tables.read_csv(spark, path).collect() == tables.read_csv(spark, path, schemas.PATIENT_SCHEMA).collect()
+
+    odd = tmp_path / "odd.csv"
+    odd.write_text(
+        "whole,wide,real,flag,day,word,none,late,a.b,text 1\n"
+        '1,5,1.5,true,2020-01-02,1d,,1,7,"a,b"\n'
+        ",3000000000,-2e3,FALSE,2020-01-02 03:04:05,2,,2,8,\n"
+        "-3,7,4,true,2021-12-31T00:00:00,3,,x,9,c\n"
+    )
+    assert tables.read_csv(spark, str(odd)).dtypes == [
+        ("whole", "int"), ("wide", "bigint"), ("real", "double"), ("flag", "boolean"), ("day", "timestamp"),
+        ("word", "string"), ("none", "string"), ("late", "string"), ("a.b", "int"), ("text 1", "string"),
+    ]
+    odd.write_text("a,b\n")
+    assert tables.read_csv(spark, str(odd)).dtypes == [("a", "string"), ("b", "string")]
