@@ -158,7 +158,7 @@ def terms(body: Column) -> Column:
     lower = F.lower(body)
     tagged = F.when(F.contains(lower, F.lit(_TAG)), F.regexp_replace(lower, f"{_TAG} *: *", f"{_TAG}-")).otherwise(lower)
     cut = F.split(tagged, _TERM)
-    return F.filter(F.transform(cut, lambda t: F.regexp_replace(t, r"^[.-]+|[.-]+$", "")), lambda t: t != "")
+    return F.filter(F.transform(cut, lambda t: F.btrim(t, F.lit(".-"))), lambda t: t != "")
 
 
 def licence_texts(spark: SparkSession, folder: str) -> DataFrame:
