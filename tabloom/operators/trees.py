@@ -2,8 +2,8 @@
 
 A fitted model is written in Spark's own form and read back, so that its structure can be counted,
 changed and scored. Like the model itself, the nodes are held by the driver: their number depends on the
-trees and their depth, not on the data, and is checked. Spark's model routes rows to its leaves, in a
-single scan without a join; what the leaves say is looked up in literal arrays, and only counts per leaf come back.
+trees and their depth, not on the data, and is checked. Changed nodes are saved as a model again, so that Spark's
+own model scores rows and routes them to its leaves, in a single scan without a join; of the leaves only counts come back.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tabloom import runtime
 from tabloom.operators import models
@@ -63,11 +65,42 @@ class NodeForest:
         rows = [node for tree in self.trees for node in tree.values()]
         return runtime.local_table(spark, rows, _SCHEMA)
 
+    @cached_property
+    def pruned(self) -> models.Fitted:
+        """Spark's model of the nodes that are left, saved and loaded once."""
+        return self.fitted if self.trees == self.grown else _model_of(self)
+
     def apply(self, df: DataFrame) -> DataFrame:
         """Add ``prediction`` (class) and ``p1`` (probability of class 1); a missing feature is an error."""
         return scored(self, df)
 
 
+def _model_of(forest: NodeForest) -> models.Fitted:
+    """The model with the nodes of ``forest`` in place of its own."""
+    spark, model = SparkSession.active(), forest.fitted.model
+    path = runtime.scratch_path(spark, "model")
+    model.save(path)
+    schema = spark.read.parquet(f"{path}/data").schema
+    rows = []
+    for nodes in forest.trees:
+        places = {number: place for place, number in enumerate(sorted(nodes))}  # numbers without gaps
+        for number, place in places.items():
+            node = nodes[number]
+            inner, most = node["low"] is not None, max(node["weights"])
+            split = (forest.features.index(node["feature"]), [node["threshold"]], -1) if inner else (-1, [], -1)
+            children = (places[node["low"]], places[node["high"]]) if inner else (-1, -1)
+            gain = node["gain"] if inner else -1.0
+            said = float(node["weights"].index(most))
+            data = {
+                "id": place, "prediction": said, "impurity": node["impurity"], "impurityStats": node["weights"],
+                "rawCount": node["bag"], "gain": gain, "leftChild": children[0], "rightChild": children[1],
+                "split": dict(zip(("featureIndex", "leftCategoriesOrThreshold", "numCategories"), split, strict=True)),
+            }
+            rows.append({"treeID": node["tree"], "nodeData": data} if "treeID" in schema.names else data)
+    runtime.local_table(spark, rows, to_arrow_schema(schema)).write.mode("overwrite").parquet(f"{path}/data")
+    return models.Fitted(type(model).load(path), forest.features)
+
+
 def read_nodes(spark: SparkSession, fitted: models.Fitted) -> NodeForest:
     """The nodes of a fitted tree or forest of continuous features."""
     path = runtime.scratch_path(spark, "model")
@@ -133,40 +166,22 @@ def _routed(forest: NodeForest, df: DataFrame) -> DataFrame:
     return found.withColumn("forest__leaves", numbers).drop("forest__leaf")
 
 
-def _spoken(forest: NodeForest) -> list[dict]:
-    """For each leaf of the model the leaf that now speaks for it: itself or the nearest ancestor that is left."""
-    found = []
-    for leaf in _leaves(forest.grown):
-        kept, at = forest.trees[leaf["tree"]], leaf
-        while at["node"] not in kept:
-            at = forest.grown[leaf["tree"]][at["parent"]]
-        found.append(kept[at["node"]])
-    return found
-
-
 def scored(forest: NodeForest, df: DataFrame) -> DataFrame:
     """Every tree votes with the class shares of the leaf; the class with most votes wins, the first on ties."""
-    weights = [(node["weights"], sum(node["weights"])) for node in _spoken(forest)]
-    shares = [_literal([w[c] / whole if whole else 0.0 for w, whole in weights], "double") for c in range(len(weights[0][0]))]
-    voted = _routed(forest, df).withColumn("forest__votes", F.array(*map(_sum_of, shares))).drop("forest__leaves")
-    whole = F.aggregate("forest__votes", F.lit(0.0), lambda total, v: total + v)
-    winner = F.array_position("forest__votes", F.array_max("forest__votes")) - 1
-    p1 = F.get("forest__votes", F.lit(1)) / whole
-    return voted.withColumn("prediction", winner.cast("double")).withColumn("p1", p1).drop("forest__votes")
-
-
-def _sum_of(shares: Column) -> Column:
-    """Sum of what the reached leaves have in ``shares``, in the order of the trees."""
-    return F.aggregate("forest__leaves", F.lit(0.0), lambda total, leaf: total + F.get(shares, leaf))
+    found = forest.pruned.model.transform(models.assemble(df, forest.features, "features__vector"))
+    p1 = F.get(vector_to_array("probability"), F.lit(1))
+    return found.withColumn("p1", p1).drop("features__vector", "rawPrediction", "probability")
 
 
 def with_rows(forest: NodeForest, df: DataFrame) -> NodeForest:
     """Fill ``rows``: how many rows of ``df`` pass each node.
 
-    The model's leaves are counted in one scan, combined on the map side; an inner node has the rows of its children.
+    Rows with the same features are counted first, so each feature vector is routed through the trees once, however many
+    rows have it. The model's leaves are counted on the map side; an inner node has the rows of its children.
     """
-    reached = _routed(forest, df.select(*forest.features)).select(F.explode("forest__leaves").alias("leaf"))
-    counted = {r["leaf"]: r["n"] for r in reached.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # a row per leaf
+    vectors = df.groupBy(*forest.features).agg(F.count("*").alias("forest__n"))
+    reached = _routed(forest, vectors).select("forest__n", F.explode("forest__leaves").alias("leaf"))
+    counted = {r["leaf"]: r["n"] for r in reached.groupBy("leaf").agg(F.sum("forest__n").alias("n")).collect()}  # a row per leaf
     rows = {(leaf["tree"], leaf["node"]): counted.get(i, 0) for i, leaf in enumerate(_leaves(forest.grown))}
     for nodes in forest.grown:
         for number in sorted(nodes, reverse=True):  # children before their parents

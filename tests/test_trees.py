@@ -75,6 +75,34 @@ def test_a_minimum_split_size(spark, labelled):
     assert all(len(t) == 1 for t in trees.collapsed(whole, 10**6).trees)
 
 
+def test_each_feature_vector_is_routed_once(spark, labelled, monkeypatch):
+    fitted = models.fit_forest(models.fixed_layout(labelled, ["id"], 300), ("u",), "y", trees=5)
+    routed, seen = trees._routed, []
+    monkeypatch.setattr(trees, "_routed", lambda forest, df: seen.append(df.count()) or routed(forest, df))
+    nodes = trees.with_rows(trees.read_nodes(spark, fitted), labelled)
+    assert seen == [3]  # u has three values
+    assert all(tree[0]["rows"] == 900 for tree in nodes.trees)
+
+
+@pytest.mark.parametrize("label", ["y", "kind"])
+def test_a_cut_forest_scores_with_spark_own_model(spark, labelled, label):
+    for fitted in (forest(spark, labelled, label, depth=8), models.fit_tree(labelled, FEATURES, label, depth=8)):
+        cut = trees.collapsed(trees.with_rows(trees.read_nodes(spark, fitted), labelled), 60)
+        told = cut.apply(labelled)
+        assert "lambda" not in told._jdf.queryExecution().optimizedPlan().toString()
+        again = trees.read_nodes(spark, cut.pruned)
+        paths = lambda found: [sorted((n["path"], n["feature"], n["threshold"]) for n in t.values()) for t in found]
+        assert paths(again.trees) == paths(cut.trees) != paths(cut.grown)
+        for row in told.limit(200).collect():
+            votes = [0.0] * len(cut.trees[0][0]["weights"])
+            for tree in cut.trees:
+                at = 0
+                while tree[at]["low"] is not None:
+                    at = tree[at]["low"] if row[tree[at]["feature"]] <= tree[at]["threshold"] else tree[at]["high"]
+                votes = [v + w / sum(tree[at]["weights"]) for v, w in zip(votes, tree[at]["weights"], strict=True)]
+            assert row["prediction"] == votes.index(max(votes)) and row["p1"] == pytest.approx(votes[1] / sum(votes))
+
+
 def test_a_missing_feature_is_an_error(spark, labelled):
     nodes = trees.read_nodes(spark, models.fit_tree(labelled, FEATURES, "y"))
     broken = labelled.withColumn("x", F.when(F.col("id") != 5, F.col("x")))
