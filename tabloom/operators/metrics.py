@@ -47,15 +47,19 @@ def class_pairs(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count("*").alias("n"))
 
 
-def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequence[object]) -> DataFrame:
+def confusion_matrix(
+    df: DataFrame, label: str, prediction: str, classes: Sequence[object], *, count: str | None = None
+) -> DataFrame:
     """One row per label present, one count column ``predicted_<class>`` per class, and ``predicted_other``.
 
     The last column holds predictions outside of ``classes`` and missing ones, so a row's cells
-    add up to its label.
+    add up to its label. ``count`` names a column that says how many rows a row stands for.
     """
-    cells = [F.count_if(F.col(prediction) == F.lit(c)).alias(f"predicted_{c}") for c in classes]
+    number = F.col(count) if count else F.lit(1).cast("long")
+    cell = lambda met: F.sum(F.when(met, number).otherwise(F.lit(0).cast("long")))
+    cells = [cell(F.col(prediction) == F.lit(c)).alias(f"predicted_{c}") for c in classes]
     listed = F.coalesce(F.col(prediction).isin(list(classes)), F.lit(False))
-    cells.append(F.count_if(~listed).alias("predicted_other"))
+    cells.append(cell(~listed).alias("predicted_other"))
     return df.groupBy(F.col(label).alias("label")).agg(*cells)
 
 

@@ -158,8 +158,10 @@ def rule_forests(spark: SparkSession, folder: str) -> DataFrame:
         patient.fit_forest(rows, study, balance=True),
         patient.fit_balanced_tree(rows, study),
     )
+    # a prediction depends on the features alone: rows that share them are scored once
+    cases = runtime.store(rows.groupBy(*_STEPS, "y").agg(F.count("*").alias("n")), "cases")
     tables = [
-        metrics.confusion_matrix(fitted.apply(rows), "y", "prediction", (0, 1)).withColumn("model", F.lit(name))
+        metrics.confusion_matrix(fitted.apply(cases), "y", "prediction", (0, 1), count="n").withColumn("model", F.lit(name))
         for name, fitted in zip(_FORESTS, found, strict=True)
     ]
     stacked = tables[0]

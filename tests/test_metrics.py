@@ -106,3 +106,10 @@ def test_corners_of_the_curve(spark, scored, monkeypatch):
         assert {tuple(r) for r in points} <= whole and len(points) < len(whole)
     one = spark.createDataFrame([(1, 0.5), (0, 0.5)], "y int, s double")
     assert metrics.roc_points(one, "y", "s", corners=True).count() == 2
+
+
+def test_confusion_matrix_of_counted_rows(spark):
+    df = spark.createDataFrame([(0, 0.0, 3), (0, 1.0, 2), (1, None, 4), (1, 1.0, 0), (None, 1.0, 5)], "y int, p double, n long")
+    told = {tuple(r) for r in metrics.confusion_matrix(df, "y", "p", (0, 1), count="n").collect()}
+    assert told == {(0, 3, 2, 0), (1, 0, 0, 4), (None, 0, 5, 0)}
+    assert {tuple(r) for r in metrics.confusion_matrix(df, "y", "p", (0, 1)).collect()} == {(0, 1, 1, 0), (1, 0, 1, 1), (None, 0, 1, 0)}
