@@ -39,6 +39,7 @@ def lookup_join(
     key: str,
     *,
     null_safe: bool = False,
+    counts: str | None = None,
 ) -> DataFrame:
     """Left-join ``table``, which holds one row per ``key``, on ``column`` of any skew.
 
@@ -46,9 +47,12 @@ def lookup_join(
     larger table only the entries that ``df`` uses are kept, together with how often it
     uses them. The frequent ones are broadcast, and only rows with rare values are
     shuffled, so no key of the shuffle is hot, be it known to the table or not.
+
+    ``counts`` names a column of ``table`` that holds how often ``df`` uses each key. It is not part of the
+    result, and spares the pass that counts the uses; every value of ``df`` but NULL should be in the table then.
     """
-    rows, size = table.agg(F.count("*"), F.sum(runtime.row_bytes(table))).first()
-    values = [c for c in table.columns if c != key]
+    values = [c for c in table.columns if c not in (key, counts)]
+    rows, size = table.agg(F.count("*"), F.sum(runtime.row_bytes(table.select(key, *values)))).first()
     right = table.select(F.col(key).alias("lookup__key"), *values)
 
     def same(left: DataFrame) -> Column:
@@ -58,6 +62,19 @@ def lookup_join(
     if runtime.fits_broadcast(rows, size):
         return df.join(F.broadcast(right), same(df), "left").drop("lookup__key")
 
+    if counts and not null_safe:
+        floor = frequent_floor(table, counts)
+        if floor is None:
+            return df.join(right, same(df), "left").drop("lookup__key")
+        named = F.col(key).alias("lookup__key")
+        often = _octave(counts) >= F.lit(floor)
+        head, tail = F.broadcast(table.filter(often).select(named, *values)), table.filter(~often).select(named, *values)
+        # a missing value finds nothing; it stays where it is, as all of them would meet in one task
+        common = df.join(head, same(df), "left").filter(F.col("lookup__key").isNotNull() | F.col(column).isNull())
+        rest = df.filter(F.col(column).isNotNull())
+        rest = rest.join(head.select("lookup__key"), same(rest), "left_anti")
+        return common.unionByName(rest.join(tail, same(rest), "left")).drop("lookup__key")
+
     used = df.groupBy(column).agg(F.count("*").alias("lookup__n"))
     found = runtime.store(
         used.join(right, same(used), "left").select(F.col(column).alias("lookup__used"), "lookup__n", *values), "found"

@@ -28,8 +28,9 @@ def first_occurrences(df: DataFrame, key: str, tokens: str = "tokens") -> DataFr
     """Table (token, n, first_key, first_pos): count and first place, in one aggregation.
 
     Occurrences are combined before they leave their task, so a frequent token costs one row per task. The
-    place is packed into one decimal, because Spark sorts all occurrences to find a smallest struct but
-    hashes to find a smallest number. Documents whose key is no integer are numbered in its order first.
+    place is packed into one number, because Spark sorts all occurrences to find a smallest struct but
+    hashes to find a smallest number: a long, or a decimal if a key needs more than 32 bits. Documents whose
+    key is no integer are numbered in its order first.
     """
     if not isinstance(df.schema[key].dataType, T.IntegralType):
         numbered = rank.ordered_rank(df.select(key, tokens), "first__number", [key])
@@ -37,15 +38,15 @@ def first_occurrences(df: DataFrame, key: str, tokens: str = "tokens") -> DataFr
         keys = numbered.select("first__number", F.col(key).alias("first_key"))
         return found.join(keys, "first__number").select("token", "n", "first_key", "first_pos")
     places = _places(df, key, tokens, "token").filter(F.col("token").isNotNull())
-    step = F.lit(1 << 31).cast("decimal(10,0)")
-    place = F.col(key).cast("decimal(19,0)") * step + F.col("pos")
+    least, most = df.agg(F.min(key), F.max(key)).first()
+    fits = least is None or (least >= -(1 << 31) and most < 1 << 31)
+    step = F.lit(1 << 31).cast("long" if fits else "decimal(10,0)")
+    place = F.col(key).cast("long" if fits else "decimal(19,0)") * step + F.col("pos")
     found = places.groupBy("token").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     pos = F.pmod("first", step)
+    whole = F.shiftright("first", 31) if fits else (F.col("first") - pos) / step
     return found.select(
-        "token",
-        "n",
-        ((F.col("first") - pos) / step).cast(df.schema[key].dataType).alias("first_key"),
-        pos.cast("int").alias("first_pos"),
+        "token", "n", whole.cast(df.schema[key].dataType).alias("first_key"), pos.cast("int").alias("first_pos")
     )
 
 
@@ -139,13 +140,16 @@ def encode_strict(
     *,
     tokens: str = "tokens",
     out: str = "ids",
+    own: bool = False,
 ) -> DataFrame:
     """Table (key, ids) without marks and padding.
 
     An unknown token fails the job when the result is computed; :func:`unknown_tokens`
-    lists them beforehand.
+    lists them beforehand. ``own`` says that the vocabulary is that of these very texts, so that its
+    counts are theirs and need not be taken again.
     """
-    found = lookup.lookup_join(_places(df, key, tokens, "token"), "token", vocab.drop("n"), "token")
+    places, words = _places(df, key, tokens, "token"), vocab if own else vocab.drop("n")
+    found = lookup.lookup_join(places, "token", words, "token", counts="n" if own else None)
     known = _required(found, "token", "token_id").withColumn("token_id", F.col("token_id").cast("int"))
     return _regroup(known, key, "token_id", out)
 

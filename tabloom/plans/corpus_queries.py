@@ -135,9 +135,9 @@ def oov_tokens(spark: SparkSession, folder: str) -> DataFrame:
 )
 def encode_strict(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents as ids, without marks and padding."""
-    tokens = _documents(spark, folder)
+    tokens = runtime.store(_documents(spark, folder), "tokens")  # read by each pass over the words
     words = vocab.build_vocab(tokens, "doc_id")
-    ids = vocab.encode_strict(tokens, words, "doc_id")
+    ids = vocab.encode_strict(tokens, words, "doc_id", own=True)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.md5(joined).alias("digest"))
 

@@ -125,3 +125,32 @@ def test_rows_that_share_a_key_are_errors(spark, length):
     tokens = vocab.tokenized(spark.createDataFrame([(1, "a b"), (1, "c d e")], "k long, s string"), "k", "s")
     with pytest.raises(Exception, match="rows share the key"):
         vocab.encode(tokens, vocab.build_vocab(tokens, "k"), "k", length).collect()
+
+
+@pytest.mark.parametrize("rows", [10**6, 4, 0])
+def test_own_counts_spare_the_pass_that_takes_them(spark, monkeypatch, rows):
+    from tabloom import runtime
+    from tabloom.operators import lookup
+
+    texts = [(1, "a b a c"), (2, ""), (3, "a d b e f"), (None, "a g"), (5, None)]
+    tokens = vocab.tokenized(spark.createDataFrame(texts, "k long, s string"), "k", "s")
+    words = vocab.build_vocab(tokens, "k")
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", rows)
+    expected = {r["k"]: r["ids"] for r in vocab.encode_strict(tokens, words, "k").collect()}
+    monkeypatch.setattr(lookup.runtime, "store", lambda *_: pytest.fail("the uses were counted"))
+    assert {r["k"]: r["ids"] for r in vocab.encode_strict(tokens, words, "k", own=True).collect()} == expected
+    assert expected[2] == expected[5] == [] and len(expected[3]) == 5 and expected[1][0] == expected[1][2]
+    lost = vocab.tokenized(spark.createDataFrame([(1, "a x")], "k long, s string"), "k", "s")
+    with pytest.raises(PySparkException, match="not in the vocabulary"):
+        vocab.encode_strict(lost, words, "k", own=True).collect()
+
+
+@pytest.mark.parametrize("shift", [0, -(1 << 31), (1 << 31) - 3, 1 << 31, (1 << 62) + 1, -(1 << 63)])
+def test_first_places_of_small_and_large_keys(spark, shift):
+    df = spark.createDataFrame([(shift + 2, ["b", "a", "b"]), (shift, ["c", "b"]), (None, ["d", "a"])], "k long, tokens array<string>")
+    found = vocab.first_occurrences(df, "k")
+    kind = "decimal" if not -(1 << 31) <= shift < (1 << 31) - 2 else "bigint"
+    assert {tuple(r) for r in found.collect()} == {
+        ("a", 2, shift + 2, 1), ("b", 3, shift, 1), ("c", 1, shift, 0), ("d", 1, None, None)
+    }
+    assert ("decimal" in found._jdf.queryExecution().optimizedPlan().toString()) == (kind == "decimal")
