@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,6 +97,35 @@ def _required(found: DataFrame, item: str, value: str) -> DataFrame:
     return found.withColumn(value, F.when(lost, F.raise_error(message).cast(kind)).otherwise(F.col(value)))
 
 
+def _regroup_pieces(places: DataFrame, key: str, item: str, out: str) -> DataFrame:
+    """Like :func:`_regroup` for integer items, with neighbours put together before the rows are grouped.
+
+    Spark's aggregation sorts all elements of a task that has more than a few keys; here it gets about a row per key.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = pc.run_end_encode(batch.column(0))
+            edges = np.concatenate([[0], runs.run_ends.to_numpy()]).astype(np.int32)
+            items = pa.ListArray.from_arrays(pa.array(edges), batch.column(1))
+            counts = pa.array(np.diff(edges).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([runs.values, items, counts], ["key", "items", "n"])
+
+    pair = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col(item).cast("long"))
+    kind = places.schema[key].dataType.simpleString()
+    pieces = places.select(F.col(key).alias("key"), F.when(F.col("pos").isNotNull(), pair).alias("item")).mapInArrow(
+        task, f"key {kind}, items array<bigint>, n bigint"
+    )
+    gathered = pieces.groupBy("key").agg(F.flatten(F.collect_list("items")).alias("items"), F.sum("n").alias("n"))
+    gathered = gathered.select("key", F.array_sort(F.array_compact("items")).alias("items"), "n")
+    last = F.shiftright(F.try_element_at("items", F.lit(-1)), 32)
+    message = F.concat(F.lit("rows share the key "), F.col("key").cast("string"))
+    shared = F.col("n") != F.coalesce(last + 1, F.lit(1))
+    checked = F.when(shared, F.raise_error(message).cast("array<bigint>")).otherwise(F.col("items"))
+    low = F.lit((1 << 32) - 1)
+    return gathered.select(F.col("key").alias(key), F.transform(checked, lambda x: x.bitwiseAND(low).cast("int")).alias(out))
+
+
 def _regroup(places: DataFrame, key: str, item: str, out: str) -> DataFrame:
     """Arrays in position order, one per key.
 
@@ -151,7 +184,8 @@ def encode_strict(
     places, words = _places(df, key, tokens, "token"), vocab if own else vocab.drop("n")
     found = lookup.lookup_join(places, "token", words, "token", counts="n" if own else None)
     known = _required(found, "token", "token_id").withColumn("token_id", F.col("token_id").cast("int"))
-    return _regroup(known, key, "token_id", out)
+    runs = isinstance(df.schema[key].dataType, (T.IntegralType, T.StringType))
+    return (_regroup_pieces if runs else _regroup)(known, key, "token_id", out)
 
 
 def decode(df: DataFrame, vocab: DataFrame, key: str, *, ids: str = "ids", skip: int = 1, out: str = "text") -> DataFrame:

@@ -154,3 +154,20 @@ def test_first_places_of_small_and_large_keys(spark, shift):
         ("a", 2, shift + 2, 1), ("b", 3, shift, 1), ("c", 1, shift, 0), ("d", 1, None, None)
     }
     assert ("decimal" in found._jdf.queryExecution().optimizedPlan().toString()) == (kind == "decimal")
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "date"])
+def test_long_rows_are_put_together_before_they_are_grouped(spark, kind):
+    key = F.date_add(F.lit("2020-01-01"), F.col("id").cast("int")) if kind == "date" else F.col("id").cast(kind)
+    words = F.transform(F.sequence(F.lit(0), F.col("id") * 97), lambda i: F.concat(F.lit("w"), F.pmod(i * 7, F.lit(1009))))
+    df = spark.range(1, 300).select(key.alias("k"), words.alias("tokens"))
+    df = df.unionByName(spark.createDataFrame([(None, ["w3", "w1"])], f"k {kind}, tokens array<string>")).repartition(3)
+    every = F.transform(F.sequence(F.lit(0), F.lit(1008)), lambda i: F.concat(F.lit("w"), i))
+    table = vocab.build_vocab(spark.range(1).select("id", every.alias("tokens")), "id")
+    numbers = {r["token"]: r["token_id"] for r in table.collect()}
+    encoded = vocab.encode_strict(df, table, "k")
+    assert ("MapInArrow" in encoded._jdf.queryExecution().executedPlan().toString()) == (kind != "date")
+    told = {r["k"]: r["ids"] for r in encoded.collect()}
+    assert told == {r["k"]: [numbers[t] for t in r["tokens"]] for r in df.collect()}
+    with pytest.raises(Exception, match="rows share the key"):
+        vocab.encode_strict(df.filter("k IS NOT NULL").unionByName(df.filter("k IS NOT NULL")), table, "k").collect()
